@@ -33,9 +33,10 @@ def floor_hour(time: Column) -> Column:
     return F.to_date(time).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(time))
 
 
-def hour_number(time: Column) -> Column:
-    """The hour as the number yyyymmddhh, the folder value of hour-partitioned tables."""
-    return F.year(time) * 1000000 + F.month(time) * 10000 + F.day(time) * 100 + F.hour(time)
+def part_number(time: Column, grain: str) -> Column:
+    """The folder value of a partitioned table: yyyymmdd or, by the hour, yyyymmddhh."""
+    day = F.year(time) * 10000 + F.month(time) * 100 + F.day(time)
+    return day * 100 + F.hour(time) if grain == "hour" else day
 
 
 def trailing_cutoff(as_of: Instant, lookback: str, floor: str | None = None) -> Column:

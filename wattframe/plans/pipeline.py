@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
-
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -17,7 +15,7 @@ from wattframe.operators.quality import run_checks
 from wattframe.operators.rollup import daily, hourly
 from wattframe.sources.tables import Warehouse
 
-NEAR = timedelta(days=2)
+NEAR_DAYS = 2
 
 
 def readings_from_raw(raw: DataFrame, as_of: Instant, keep_hour: bool = False) -> DataFrame:
@@ -40,13 +38,9 @@ def days_from_raw(raw: DataFrame, as_of: Instant) -> DataFrame:
     return daily(hours_from_raw(raw, as_of), lookback=None)
 
 
-def _hour_part(part: int, shift: timedelta) -> int:
-    return int((datetime.strptime(str(part), "%Y%m%d%H") + shift).strftime("%Y%m%d%H"))
-
-
-def _merge_tails(wh: Warehouse, winners: DataFrame, hours: list[int]) -> None:
-    """Tails of the touched hours; at equal times the new reading counts."""
-    old = wh.read("tails", hours).withColumn("fresh", F.lit(0))
+def _merge_tails(wh: Warehouse, winners: DataFrame, parts: list[int]) -> None:
+    """Tails of the touched partitions; at equal times the new reading counts."""
+    old = wh.read("tails", parts).withColumn("fresh", F.lit(0))
     new = reading_tails(winners).withColumn("fresh", F.lit(1))
     both = old.unionByName(new, allowMissingColumns=True)
     last = F.struct("reading_time", "fresh")
@@ -54,10 +48,13 @@ def _merge_tails(wh: Warehouse, winners: DataFrame, hours: list[int]) -> None:
         F.max("reading_time").alias("reading_time"), F.max_by("energy_kwh", last).alias("energy_kwh")))
 
 
-def _affected_hours(wh: Warehouse, winners: DataFrame, hours: list[int]) -> list[int]:
-    """Touched hours plus, per device, the next hour with readings: its first delta changes too."""
+def _affected_parts(wh: Warehouse, winners: DataFrame, parts: list[int]) -> list[int]:
+    """Touched partitions plus, per device, that of the next hour with readings.
+
+    The first delta of that hour starts from a reading that changed.
+    """
     touched = reading_tails(winners).select(*S.HOUR_GRAIN, F.lit(True).alias("touched"))
-    later = wh.read("tails", since=hours[0]).join(
+    later = wh.read("tails", since=parts[0]).join(
         touched.select(*S.DEVICE).distinct(), S.DEVICE, "left_semi")
     before = F.lag("touched").over(W.partitionBy(*S.DEVICE).orderBy("hour_start"))
     rows = (later.join(touched, S.HOUR_GRAIN, "left").withColumn("follows", before)
@@ -65,16 +62,16 @@ def _affected_hours(wh: Warehouse, winners: DataFrame, hours: list[int]) -> list
     return wh.parts("tails", rows)
 
 
-def _carry_tails(wh: Warehouse, hours: list[int]) -> DataFrame:
-    """Tails that may precede a reading of the affected hours.
+def _carry_tails(wh: Warehouse, parts: list[int]) -> DataFrame:
+    """Tails that may precede a reading of the affected partitions.
 
     Two days back are enough for devices that report; only if some device was
     silent for longer are older tails searched, and then for those devices only.
     """
-    bound = _hour_part(hours[0], -NEAR)
-    near = wh.read("tails", since=bound, before=_hour_part(hours[-1], timedelta(hours=1)))
-    silent = (wh.placed("tails", near).groupBy(*S.DEVICE).agg(F.min("reading_hour").alias("first"))
-              .filter(F.col("first") >= hours[0]))
+    bound = wh.shifted(parts[0], -NEAR_DAYS)
+    near = wh.read("tails", since=bound, before=parts[-1] + 1)
+    silent = (near.groupBy(*S.DEVICE).agg(F.min("reading_part").alias("first"))
+              .filter(F.col("first") >= parts[0]))
     older = wh.read("tails", before=bound)
     if older.isEmpty() or silent.isEmpty():
         return near
@@ -88,31 +85,28 @@ def _carry_tails(wh: Warehouse, hours: list[int]) -> DataFrame:
 def absorb(wh: Warehouse, winners: DataFrame, rollups: bool = True) -> None:
     """Merges stored winners into the readings and refreshes all that depends on them.
 
-    Work follows the hours touched, not the history.  Deltas, hours and days
+    Work follows the partitions touched, not the history.  Deltas, hours and days
     are recomputed for whole partitions, so repeating a run changes nothing.
     """
-    hours = wh.parts("readings", winners)
-    if not hours:
+    touched = wh.parts("readings", winners)
+    if not touched:
         return
-    _merge_tails(wh, winners, hours)
-    affected = _affected_hours(wh, winners, hours)
+    _merge_tails(wh, winners, touched)
+    affected = _affected_parts(wh, winners, touched)
     base = upsert(wh.read("readings", affected), wh.placed("readings", winners), S.FACT_GRAIN)
-    tails = _carry_tails(wh, affected)
-    wh.replace("readings", energy_delta(base.drop("reading_hour"), tails=tails.drop("reading_hour")))
+    wh.replace("readings", energy_delta(base, tails=_carry_tails(wh, affected).drop("reading_part")))
     if not rollups:
         return
     wh.replace("hourly", hourly(wh.read("readings", affected), lookback=None))
-    days = sorted({part // 100 for part in affected})
-    of_days = [day * 100 + hour for day in days for hour in range(24)]
-    wh.replace("daily", daily(wh.read("hourly", of_days), lookback=None))
+    wh.replace("daily", daily(wh.read("hourly", wh.day_parts(affected)), lookback=None))
 
 
 def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None) -> None:
     """One run over the unprocessed raw readings.
 
-    ``since`` (an hour number) may name the ingest hour of the last run; rows
-    land in the hour they arrive, so earlier folders hold nothing new.  Raw
-    rows are marked last: a run that failed half-way finds them again.
+    ``since`` may name the raw partition of the last run; rows land in the
+    partition of their arrival, so earlier ones hold nothing new.  Raw rows
+    are marked last: a run that failed half-way finds them again.
     """
     fresh = wh.read("raw", since=since).filter(~F.col("is_processed"))
     winners = wh.stage("winners", dedupe_readings(fresh, as_of))
@@ -122,12 +116,9 @@ def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None) -> Non
         wh.replace("raw", settle(wh.read("raw", touched), as_of))
 
 
-def run_quality(wh: Warehouse, as_of: Instant) -> None:
-    """Appends the results of the six checks to the quality log."""
-    since = _hour_part(int(_text(as_of)), -timedelta(hours=3))
-    wh.append("quality_log", run_checks(wh.read("devices"), wh.read("raw", since=since), as_of))
-
+def run_quality(wh: Warehouse, as_of: Instant, since: int | None = None) -> None:
+    """Appends the results of the six checks to the quality log.
 
-def _text(as_of: Instant) -> str:
-    moment = as_of if isinstance(as_of, datetime) else datetime.fromisoformat(as_of)
-    return moment.strftime("%Y%m%d%H")
+    ``since`` may name the first raw partition within the two hours' reach.
+    """
+    wh.append("quality_log", run_checks(wh.read("devices"), wh.read("raw", since=since), as_of))

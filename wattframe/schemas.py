@@ -112,16 +112,17 @@ class Layer:
     part: str | None = None
 
 
-# ``part`` holds an hour as the number yyyymmddhh, so a lookback is a range of
-# folders and a run rewrites only the hours it touches.  Days use their date.
+# ``part`` holds a day (yyyymmdd) or an hour (yyyymmddhh) as a number, so a
+# lookback is a range of folders and a run rewrites only the parts it touches.
+# The daily table is placed by its own date.
 LAYERS = {
     layer.name: layer for layer in (
-        Layer("raw", raw_schema, ["id"], "ingested_at", "ingested_hour"),
-        Layer("readings", fact_schema, FACT_GRAIN, "reading_time", "reading_hour"),
-        Layer("tails", tails_schema, HOUR_GRAIN, "hour_start", "reading_hour"),
-        Layer("hourly", hourly_schema, HOUR_GRAIN, "hour_start", "reading_hour"),
+        Layer("raw", raw_schema, ["id"], "ingested_at", "ingested_part"),
+        Layer("readings", fact_schema, FACT_GRAIN, "reading_time", "reading_part"),
+        Layer("tails", tails_schema, HOUR_GRAIN, "hour_start", "reading_part"),
+        Layer("hourly", hourly_schema, HOUR_GRAIN, "hour_start", "reading_part"),
         Layer("daily", daily_schema, DAY_GRAIN, None, "reading_date"),
-        Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_month"),
+        Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
         Layer("sites", sites_schema, ["site_id"]),
         Layer("devices", devices_schema, ["device_id"]),

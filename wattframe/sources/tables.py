@@ -2,33 +2,46 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import schemas as S
-from wattframe.functions import hour_number
+from wattframe.functions import part_number
 from wattframe.operators.merge import upsert
 
 
-def _month_number(time: Column) -> Column:
-    return F.year(time) * 100 + F.month(time)
-
-
-# How a row's time column becomes its folder value.
-PLACES = {"ingested_hour": hour_number, "reading_hour": hour_number, "window_month": _month_number}
-
-
 class Warehouse:
     """The layers below one root folder.  One writer at a time.
 
     Every change replaces whole partitions through the dynamic-overwrite commit,
     so lost executors only repeat tasks and a failed run is simply run again.
+    ``grain`` sets how large a partition is: by the day, or by the hour where an
+    hour alone fills files of good size and a day is too much to rewrite per run.
     """
 
-    def __init__(self, spark: SparkSession, root: str, key: T.DataType = S.STRING):
-        self.spark, self.root, self.key = spark, root.rstrip("/"), key
+    def __init__(self, spark: SparkSession, root: str, key: T.DataType = S.STRING, grain: str = "day"):
+        if grain not in ("day", "hour"):
+            raise ValueError(f"grain must be day or hour, not {grain}")
+        self.spark, self.root, self.key, self.grain = spark, root.rstrip("/"), key, grain
+
+    def on(self, spark: SparkSession) -> Warehouse:
+        """The same tables seen from another session, as a micro-batch needs."""
+        return Warehouse(spark, self.root, self.key, self.grain)
+
+    def shifted(self, part: int, days: int) -> int:
+        """The partition that lies ``days`` away."""
+        pattern = "%Y%m%d%H" if self.grain == "hour" else "%Y%m%d"
+        return int((datetime.strptime(str(part), pattern) + timedelta(days=days)).strftime(pattern))
+
+    def day_parts(self, parts: list[int]) -> list[int]:
+        """All partitions of the days that ``parts`` lie in."""
+        if self.grain == "day":
+            return parts
+        return [day * 100 + hour for day in sorted({p // 100 for p in parts}) for hour in range(24)]
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -70,8 +83,8 @@ class Warehouse:
         layer = S.LAYERS[name]
         cast = []
         for f in self.schema(name):
-            if f.name in PLACES and f.name == layer.part:
-                value = PLACES[f.name](F.col(layer.time))
+            if f.name == layer.part and layer.time:
+                value = part_number(F.col(layer.time), self.grain)
             elif f.name in df.columns:
                 value = F.col(f.name)
             else:
@@ -80,7 +93,7 @@ class Warehouse:
         return df.select(*cast)
 
     def parts(self, name: str, df: DataFrame) -> list:
-        """The partitions ``df`` falls into: at most one value per hour, day or month."""
+        """The partitions ``df`` falls into: at most one value per day or hour."""
         part = S.LAYERS[name].part
         return sorted(row[0] for row in self.placed(name, df).select(part).distinct().collect())
 

@@ -39,10 +39,6 @@ def _start(stream: DataFrame, step: Callable, checkpoint: str, trigger: dict | N
     return writer.foreachBatch(step).trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _at(wh: Warehouse, batch: DataFrame) -> Warehouse:
-    return Warehouse(batch.sparkSession, wh.root, wh.key)
-
-
 def with_site_name(stream: DataFrame, sites: DataFrame) -> DataFrame:
     """Stream-static join: each row with the name of its site, NULL if unknown."""
     return stream.join(sites.select("site_id", "site_name"), "site_id", "left")
@@ -57,7 +53,7 @@ def stream_clean(raw: DataFrame, wh: Warehouse, checkpoint: str, clock: Clock =
     wins.  The table is the state, so no reading is ever too late.
     """
     def step(batch: DataFrame, _: int) -> None:
-        tables = _at(wh, batch)
+        tables = wh.on(batch.sparkSession)
         tables.merge("readings", tables.stage("clean_batch", dedupe_readings(batch, clock())))
     return _start(raw, step, checkpoint, trigger)
 
@@ -71,7 +67,7 @@ def stream_energy_delta(raw: DataFrame, wh: Warehouse, checkpoint: str, clock: C
     corrects its own and its successor's delta.
     """
     def step(batch: DataFrame, _: int) -> None:
-        tables = _at(wh, batch)
+        tables = wh.on(batch.sparkSession)
         absorb(tables, tables.stage("delta_batch", dedupe_readings(batch, clock())), rollups)
     return _start(raw, step, checkpoint, trigger)
 
@@ -100,7 +96,7 @@ def stream_hourly(fact: DataFrame, wh: Warehouse, checkpoint: str, sites: DataFr
              .withColumn("hour_start", F.col("bucket.start").cast("timestamp_ntz")))
 
     def step(batch: DataFrame, _: int) -> None:
-        tables = _at(wh, batch)
+        tables = wh.on(batch.sparkSession)
         tables.merge("hourly", tables.stage("hourly_batch", tables.placed("hourly", batch)))
     return _start(hours, step, checkpoint, trigger)
 
@@ -132,6 +128,6 @@ def stream_quality(raw: DataFrame, wh: Warehouse, checkpoint: str,
     counts = sliding_counts(timed.withWatermark("event_time", LATENESS))
 
     def step(batch: DataFrame, _: int) -> None:
-        tables = _at(wh, batch)
+        tables = wh.on(batch.sparkSession)
         tables.merge("quality_windows", tables.stage("quality_batch", tables.placed("quality_windows", batch)))
     return _start(counts, step, checkpoint, trigger)
