@@ -24,17 +24,19 @@ def exact_mean(value: str) -> Column:
     return F.sum(value).cast("double") / F.nullif(F.count(value), F.lit(0))
 
 
-# Fixed value: what a plain decimal or exponent number looks like.
-NUMBER = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
+# Fixed value: digits joined into groups by single underscores.
+GROUPED = r"^\s*[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?\s*$"
 
 
 def safe_double(text: Column) -> Column:
     """Text as a finite double; anything else (bad text, nan, inf, NULL) is NULL.
 
-    Digit groups may be joined by single underscores.  The pattern keeps out
-    forms that only a cast would accept, such as ``1.0d``.
+    Letters other than the exponent's keep out forms that only a cast would
+    accept, such as ``1.0d``.  Grouped digits are rare and take the second way.
     """
-    number = F.when(text.rlike(NUMBER), F.trim(F.replace(text, F.lit("_"), F.lit(""))).try_cast("double"))
+    simple = F.when(~text.rlike("[A-DF-Za-df-z]"), text.try_cast("double"))
+    grouped = F.when(text.rlike(GROUPED), F.replace(text, F.lit("_"), F.lit("")).try_cast("double"))
+    number = F.coalesce(simple, grouped)
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
 

@@ -85,7 +85,7 @@ def quality_log(metrics: DataFrame, as_of: Instant, checks: tuple[Check, ...] =
         "status": F.when(F.col("metric_value") <= F.col("threshold_value"), "PASS").otherwise("FAIL"),
         "site_id": F.lit(None), "device_id": F.lit(None),
     })
-    return log.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in S.log_schema()))
+    return log.selectExpr(*S.casts(S.log_schema()))
 
 
 def run_checks(devices: DataFrame, raw: DataFrame, as_of: Instant) -> DataFrame:

@@ -9,11 +9,6 @@ from wattframe import schemas as S
 from wattframe.functions import Instant, floor_hour, mean_rounded, trailing_cutoff
 
 
-def _typed(df: DataFrame, schema) -> DataFrame:
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) if f.name not in S.DEVICE
-                       else F.col(f.name) for f in schema))
-
-
 def trailing(df: DataFrame, time: str, as_of: Instant | None, lookback: str | None,
              aligned: bool, bucket: str) -> DataFrame:
     """Rows of the lookback window; ``aligned`` widens it to whole buckets.
@@ -46,7 +41,7 @@ def hourly(fact: DataFrame, as_of: Instant | None = None, lookback: str | None =
         mean_rounded("power_factor", 4).alias("avg_pf"),
         mean_rounded("voltage_avg", 2).alias("avg_voltage"),
         F.count("*").alias("reading_count"))
-    return _typed(grouped, S.hourly_schema())
+    return grouped.selectExpr(*S.casts(S.hourly_schema(), as_is=S.DEVICE))
 
 
 def daily(hours: DataFrame, as_of: Instant | None = None, lookback: str | None = "2 days",
@@ -63,4 +58,4 @@ def daily(hours: DataFrame, as_of: Instant | None = None, lookback: str | None =
         mean_rounded("avg_pf", 4).alias("avg_pf"),
         mean_rounded("avg_voltage", 2).alias("avg_voltage"),
         F.sum("reading_count").alias("reading_count")))
-    return _typed(grouped, S.daily_schema())
+    return grouped.selectExpr(*S.casts(S.daily_schema(), as_is=S.DEVICE))

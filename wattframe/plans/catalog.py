@@ -32,11 +32,11 @@ KEY = T.LongType()
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as doubles and whole numbers as longs, for comparison across engines."""
-    def kind(f: T.StructField):
+    def kind(f: T.StructField) -> str:
         if isinstance(f.dataType, T.DecimalType):
-            return T.DoubleType()
-        return T.LongType() if isinstance(f.dataType, T.IntegralType) else f.dataType
-    return df.select(*(F.col(f.name).cast(kind(f)).alias(f.name) for f in df.schema))
+            return f"cast({f.name} as double) as {f.name}"
+        return f"cast({f.name} as bigint) as {f.name}" if isinstance(f.dataType, T.IntegralType) else f.name
+    return df.selectExpr(*map(kind, df.schema))
 
 
 # Batch operators
@@ -112,9 +112,14 @@ def _pipeline(*ticks: str):
 
 # Checks
 
+def _landed(spark, folder):
+    """Raw as it stood midway: what had been ingested by then."""
+    return D.raw(spark, folder).filter(F.col("ingested_at") <= ntz(MIDWAY))
+
+
 def _check(name: str, lookback: str | None):
     def query(spark, folder):
-        metrics = Q.reading_checks(D.raw(spark, folder), MIDWAY, lookback)
+        metrics = Q.reading_checks(_landed(spark, folder), MIDWAY, lookback)
         return metrics.filter(F.col("check_type") == name)
     return query
 
@@ -124,15 +129,15 @@ def _all_checks(spark, folder):
 
 
 def _gap(spark, folder):
-    return Q.ingestion_gap(D.devices(spark, folder), D.raw(spark, folder), MIDWAY)
+    return Q.ingestion_gap(D.devices(spark, folder), _landed(spark, folder), MIDWAY)
 
 
 def _silent(spark, folder):
-    return Q.silent_devices(D.devices(spark, folder), D.raw(spark, folder), MIDWAY).select("device_id", "site_id")
+    return Q.silent_devices(D.devices(spark, folder), _landed(spark, folder), MIDWAY).select("device_id", "site_id")
 
 
 def _log(spark, folder):
-    log = Q.run_checks(D.devices(spark, folder), D.raw(spark, folder), MIDWAY)
+    log = Q.run_checks(D.devices(spark, folder), _landed(spark, folder), MIDWAY)
     return plain(log.drop("site_id", "device_id"))
 
 
@@ -409,10 +414,11 @@ def _check_metrics(as_of: str) -> dict[str, str]:
     }
 
 
-RECENT = f"ingested_at > timestamp '{MIDWAY}' - interval '2 hours'"
+LANDED = f"ingested_at <= timestamp '{MIDWAY}'"
+RECENT = f"ingested_at > timestamp '{MIDWAY}' - interval '2 hours' and {LANDED}"
 SILENT = f"""from devices d where d.is_active and not exists (
   select 1 from raw r where r.device_id = d.device_id
-    and r.ingested_at > timestamp '{MIDWAY}' - interval '10 minutes')"""
+    and r.ingested_at > timestamp '{MIDWAY}' - interval '10 minutes' and r.{LANDED})"""
 GAP_SQL = f"select 'INGESTION_GAP' as check_type, count(distinct device_id) as metric_value {SILENT}"
 
 

@@ -22,14 +22,15 @@ RAW = {
     "collected_at": f"{START} + interval '1' minute * ({MINUTE}"
                     " + case when event_id % 211 = 17 then 7200 else 0 end)",
     "ingested_at": f"{START} + interval '1' minute * {MINUTE} + interval '1' second * (event_id % 5)",
-    "voltage_avg": "cast(case when event_id % 500 = 9 then 300 else 218 + (event_id % 41) * 0.1 end as decimal(8,2))",
-    "current_avg": "cast(1 + (event_id % 97) * 0.125 as decimal(10,3))",
+    "voltage_avg": "cast(case when event_id % 500 = 9 then 300 else 205 + event_id % 41 end as decimal(8,2))",
+    "current_avg": "cast(1 + event_id % 97 as decimal(10,3))",
     "active_power": "cast(case when event_id % 125 = 3 then null when event_id % 167 = 5"
                     " then -value else value end as decimal(12,2))",
-    "reactive_power": "cast((event_id % 313) * 0.1 as decimal(12,2))",
-    "power_factor": "cast(0.9 + (event_id % 100) * 0.001 as decimal(5,4))",
-    "frequency": "cast(60 + (event_id % 11) * 0.01 as decimal(5,2))",
-    "energy_kwh": f"cast({DAY_MINUTE} * (1 + user_id % 7) * 0.25 + (event_id % 13) * 0.10 as decimal(14,2))",
+    "reactive_power": "cast(event_id % 313 as decimal(12,2))",
+    "power_factor": "cast(case event_id % 4 when 0 then 0.9050 when 1 then 0.9125 when 2 then 0.9417"
+                    " else 0.9869 end as decimal(5,4))",
+    "frequency": "cast(case event_id % 3 when 0 then 59.95 when 1 then 60.00 else 60.04 end as decimal(5,2))",
+    "energy_kwh": f"cast({DAY_MINUTE} * (1 + user_id % 7) + event_id % 13 as decimal(14,2))",
     "demand_kw": "cast(value as decimal(10,2))",
     "is_processed": "false",
     "quality_flag": "case when event_id % 200 = 13 then 'ANOMALY' else 'RAW' end",
@@ -57,6 +58,16 @@ DEVICES = {
 }
 
 
+# The columns read here; a declared schema spares a look into the files.
+TABLES = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+}
+
+
 def select_list(columns: dict[str, str], ts: str) -> list[str]:
     return [f"{text.replace('{ts}', ts)} as {name}" for name, text in columns.items()]
 
@@ -66,7 +77,7 @@ def _view(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def as_raw(events: DataFrame) -> DataFrame:
@@ -83,8 +94,7 @@ def raw_stream(spark: SparkSession, folder: str) -> DataFrame:
     A file stream takes a folder or a pattern; the pattern here matches the
     table whether it is one file or a folder of files.
     """
-    schema = table(spark, folder, "events").schema
-    return as_raw(spark.readStream.schema(schema).parquet(f"{folder}/event[s].parquet"))
+    return as_raw(spark.readStream.schema(TABLES["events"]).parquet(f"{folder}/event[s].parquet"))
 
 
 def sites(spark: SparkSession, folder: str) -> DataFrame:

@@ -39,6 +39,16 @@ def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in fields])
 
 
+def casts(schema: T.StructType, given: list[str] | None = None, as_is: list[str] = ()) -> list[str]:
+    """Select expressions that bring columns into the types of ``schema``.
+
+    Columns not ``given`` become NULL; those named in ``as_is`` keep their type.
+    """
+    return [f.name if f.name in as_is else
+            f"cast({f.name if given is None or f.name in given else 'null'} as {f.dataType.simpleString()})"
+            f" as {f.name}" for f in schema]
+
+
 def raw_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("id", LONG), ("site_id", key), ("device_id", key),
                    ("collected_at", NTZ), ("ingested_at", NTZ), *MEASURES.items(),

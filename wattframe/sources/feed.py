@@ -69,7 +69,9 @@ def decode_feed(responses: DataFrame, channels: DataFrame, ingested_at: Instant)
     its size allows.  Columns without a mapped field are NULL.  The id is a
     digest of the reading, the same whenever the same response is decoded.
     """
-    entries = responses.select("channel_id", F.explode("feeds").alias("entry")).join(channels, "channel_id")
+    # explode would add a filter on the array size below, parsing each payload again for it.
+    entries = (responses.select("channel_id", F.explode_outer("feeds").alias("entry"))
+               .filter(F.col("entry").isNotNull()).join(channels, "channel_id"))
 
     def measure(name: str) -> Column:
         source = F.try_element_at("source_of", F.lit(name))

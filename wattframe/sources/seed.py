@@ -44,7 +44,7 @@ def _frame(spark: SparkSession, rows: list[tuple], names: list[str], schema, cre
     kinds = ", ".join(f"{n} {'int' if n.endswith('_kw') else 'string'}" for n in names)
     df = spark.createDataFrame(rows, kinds).withColumns(
         {"is_active": F.lit(True), "created_at": ntz(created_at)})
-    return df.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema))
+    return df.selectExpr(*S.casts(schema))
 
 
 def seed_sites(spark: SparkSession, created_at: Instant) -> DataFrame:

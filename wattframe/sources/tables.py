@@ -81,16 +81,9 @@ class Warehouse:
         Columns that ``df`` lacks are NULL.
         """
         layer = S.LAYERS[name]
-        cast = []
-        for f in self.schema(name):
-            if f.name == layer.part and layer.time:
-                value = part_number(F.col(layer.time), self.grain)
-            elif f.name in df.columns:
-                value = F.col(f.name)
-            else:
-                value = F.lit(None)
-            cast.append(value.cast(f.dataType).alias(f.name))
-        return df.select(*cast)
+        if layer.part and layer.time:
+            df = df.withColumn(layer.part, part_number(F.col(layer.time), self.grain))
+        return df.selectExpr(*S.casts(self.schema(name), df.columns))
 
     def parts(self, name: str, df: DataFrame) -> list:
         """The partitions ``df`` falls into: at most one value per day or hour."""
