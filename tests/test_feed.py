@@ -92,3 +92,25 @@ def test_high_water_mark_is_strict_and_per_key(spark):
                                    ("S1", "D2", datetime(2020, 1, 1))], kinds)
     assert rows(new_since(batch, existing), "device_id", "collected_at") == [
         ("D1", datetime(2026, 3, 27, 10, 1)), ("D2", datetime(2020, 1, 1))]
+
+
+def test_ingest_appends_only_what_is_new(spark, tmp_path):
+    from helpers import raw
+    from wattframe.plans.ingest import ingest_responses
+    from wattframe.sources.tables import Warehouse
+    tables = Warehouse(spark, str(tmp_path))
+    known = {"site_id": "SITE_EXT_01", "device_id": "DEV_EXT_PZEM", "collected_at": "2026-03-27 10:00:00"}
+    tables.append("raw", raw(spark, [known, {}]))
+
+    def land(*times):
+        feeds = [{"created_at": f"2026-03-27T{t}:00Z", "field2": "5"} for t in times]
+        payloads = spark.createDataFrame([(972755, response(*feeds))], "channel_id long, payload string")
+        ingest_responses(tables, parse_feed(payloads), channel_table(spark), NOW)
+        return [r[0].strftime("%H:%M") for r in rows(
+            tables.read("raw").filter("device_id = 'DEV_EXT_PZEM'"), "collected_at")]
+
+    assert land("09:59", "10:00", "10:01") == ["10:00", "10:01"]
+    assert land("10:01") == ["10:00", "10:01"]
+    assert land("10:01", "10:02") == ["10:00", "10:01", "10:02"]
+    assert rows(tables.read("high_water"), "device_id", "collected_at") == [
+        ("D1", datetime(2026, 3, 27, 10)), ("DEV_EXT_PZEM", datetime(2026, 3, 27, 10, 2))]

@@ -35,8 +35,12 @@ def orphan_keys(df: DataFrame, key: str, parent: DataFrame) -> DataFrame:
 
 
 def quarantine(df: DataFrame, key: str, parent: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(kept, orphans): rows with and without a parent; a NULL key refers to none."""
-    known = parent.select(key).distinct()
+    """(kept, orphans): rows with and without a parent; a NULL key refers to none.
+
+    The parent is joined as it is stored, not reduced first, so that a key
+    with too many rows can be split at run time.
+    """
+    known = parent.select(key)
     orphans = df.filter(F.col(key).isNotNull()).join(known, key, "left_anti").select(*df.columns)
     kept = df.join(known, key, "left_semi").select(*df.columns)
     return kept.unionByName(df.filter(F.col(key).isNull())), orphans

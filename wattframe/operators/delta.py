@@ -46,9 +46,9 @@ def with_delta(fact: DataFrame, tails: DataFrame, keep: Column | None = None) ->
         carry = carry.filter(keep)
     rows = own.unionByName(carry.withColumn("carried", F.lit(True)), allowMissingColumns=True)
     slices = W.partitionBy(*S.HOUR_GRAIN).orderBy("reading_time")
-    delta = F.col("energy_kwh") - F.lag("energy_kwh").over(slices)
-    return (rows.withColumn("delta", F.when(delta >= 0, delta).cast(DELTA))
-            .filter(~F.col("carried")).drop("carried"))
+    used = F.col("energy_kwh") - F.col("previous")
+    return (rows.withColumn("previous", F.lag("energy_kwh").over(slices)).filter(~F.col("carried"))
+            .withColumn("delta", F.when(used >= 0, used).cast(DELTA)).drop("carried", "previous"))
 
 
 def energy_delta(fact: DataFrame, as_of: Instant | None = None, lookback: str | None = None,

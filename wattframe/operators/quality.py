@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant, ntz, trailing_cutoff
+from wattframe.operators.joins import join_figures
 
 
 @dataclass(frozen=True)
@@ -99,13 +100,12 @@ def power_scores(raw: DataFrame) -> DataFrame:
 
     Mean and sample deviation are aggregated per device and joined back
     instead of computed in a window, which would draw all rows of a device
-    into one task.  Small device counts are broadcast by size; otherwise
-    adaptive execution splits a device whose rows are too many.
+    into one task.
     """
     power = F.col("active_power").cast("double")
     stats = raw.groupBy("device_id").agg(F.avg(power).alias("mean"), F.stddev_samp(power).alias("deviation"))
     z = (power - F.col("mean")) / F.nullif(F.col("deviation"), F.lit(0.0))
-    return raw.join(stats, "device_id", "left").select(*raw.columns, z.alias("z"))
+    return join_figures(raw, stats, ["device_id"]).select(*raw.columns, z.alias("z"))
 
 
 def flag_anomalies(raw: DataFrame, z: float = 3.0) -> DataFrame:

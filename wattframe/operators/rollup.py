@@ -14,10 +14,14 @@ def trailing(df: DataFrame, time: str, as_of: Instant | None, lookback: str | No
     """Rows of the lookback window; ``aligned`` widens it to whole buckets.
 
     Unaligned, the oldest bucket is cut through, and a later upsert would
-    replace a whole bucket by its rest.
+    replace a whole bucket by its rest.  Rows that still carry the hour their
+    deltas were computed by are bounded by it as well, which, unlike a bound on
+    the time, may pass below that computation down to the scan.
     """
     if lookback is None:
         return df
+    if time != "hour_start" and "hour_start" in df.columns:
+        df = df.filter(F.col("hour_start") >= trailing_cutoff(as_of, lookback, "hour"))
     if aligned:
         return df.filter(F.col(time) >= trailing_cutoff(as_of, lookback, bucket))
     return df.filter(F.col(time) > trailing_cutoff(as_of, lookback))

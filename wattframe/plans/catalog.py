@@ -13,7 +13,7 @@ from wattframe.functions import ntz
 from wattframe.operators import audit as A
 from wattframe.operators import quality as Q
 from wattframe.operators import reads as R
-from wattframe.operators.clean import dedupe_readings, mark_processed, mark_rejected
+from wattframe.operators.clean import dedupe_readings, mark_processed, mark_rejected, settle
 from wattframe.operators.delta import energy_delta
 from wattframe.operators.merge import upsert
 from wattframe.operators.rollup import daily, hourly
@@ -54,6 +54,10 @@ def _mark_processed(spark, folder):
     return mark_processed(raw, dedupe_readings(raw, AS_OF)).select("id", "is_processed", "quality_flag")
 
 
+def _settle(spark, folder):
+    return settle(D.raw(spark, folder), AS_OF).select("id", "is_processed", "quality_flag")
+
+
 def _delta(spark, folder):
     return plain(readings_from_raw(D.raw(spark, folder), AS_OF).select(
         *S.FACT_GRAIN, "energy_kwh", "energy_delta", "raw_reading_id"))
@@ -65,6 +69,12 @@ def _delta_literal(spark, folder):
     return plain(literal.select(*S.FACT_GRAIN, "energy_kwh", "energy_delta"))
 
 
+def _delta_recent(spark, folder):
+    """Only the last two hours are filled, but their first readings see their predecessors."""
+    fact = dedupe_readings(D.raw(spark, folder), MIDWAY)
+    return plain(energy_delta(fact, MIDWAY, "2 hours").select(*S.FACT_GRAIN, "energy_kwh", "energy_delta"))
+
+
 def _hourly(spark, folder):
     return plain(hours_from_raw(D.raw(spark, folder), AS_OF))
 
@@ -154,6 +164,12 @@ def _audit_orphans(spark, folder):
     return A.orphan_keys(D.raw(spark, folder), "device_id", D.devices(spark, folder))
 
 
+def _quarantine(spark, folder):
+    kept, orphans = A.quarantine(D.raw(spark, folder), "device_id", D.devices(spark, folder))
+    return (kept.select("id", "device_id", F.lit(False).alias("is_orphan"))
+            .unionByName(orphans.select("id", "device_id", F.lit(True).alias("is_orphan"))))
+
+
 def _audit_nulls(spark, folder):
     return A.null_counts(D.raw(spark, folder), S.raw_schema().names)
 
@@ -258,6 +274,16 @@ def _run_quality(spark, folder, tables, checkpoint):
     return "quality_windows"
 
 
+def _site_names(spark, folder):
+    """Raw stream enriched with its site names, written by the file sink."""
+    child, root = streaming_session(spark), shared_folder(spark)
+    named = jobs.with_site_name(D.raw_stream(child, folder), D.sites(child, folder))
+    writer = named.select("id", "site_id", "site_name").writeStream.format("parquet")
+    writer = writer.option("path", f"{root}/named").option("checkpointLocation", f"{root}/_checkpoint")
+    writer.trigger(availableNow=True).start().awaitTermination()
+    return spark.read.schema("id bigint, site_id bigint, site_name string").parquet(f"{root}/named")
+
+
 def _columns(query, *names):
     return lambda spark, folder: query(spark, folder).select(*names)
 
@@ -269,7 +295,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dedupe_readings": _dedupe,
     "mark_rejected": _mark_rejected,
     "mark_processed": _mark_processed,
+    "settle_raw": _settle,
     "energy_delta": _delta,
+    "energy_delta_recent": _delta_recent,
     "energy_delta_literal": _delta_literal,
     "hourly_energy": _hourly,
     "hourly_energy_recent": _hourly_window(True),
@@ -293,6 +321,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_unique": _audit_unique,
     "audit_orphans": _audit_orphans,
     "audit_nulls": _audit_nulls,
+    "audit_quarantine": _quarantine,
     "audit_contract": _audit_contract,
     "list_sites": lambda spark, folder: plain(R.list_sites(D.sites(spark, folder))),
     "list_sites_camel": _camel,
@@ -311,6 +340,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                     "raw_reading_id"),
     "stream_hourly": _columns(_streaming(_run_hourly), *S.hourly_schema().names),
     "stream_quality": _columns(_streaming(_run_quality), *S.windows_schema().names),
+    "stream_site_names": _site_names,
 }
 
 
@@ -530,7 +560,20 @@ select id,
 from raw""",
     "mark_processed": _ctes(AS_OF) + """
 select id, id in (select raw_reading_id from fact) as is_processed, quality_flag from raw""",
+    "settle_raw": _ctes(AS_OF) + f"""
+select id, true as is_processed,
+       case when quality_flag = 'ANOMALY' then 'ANOMALY'
+            when active_power is null then 'REJECTED_NULL'
+            when active_power < 0 then 'REJECTED_NEGATIVE'
+            when collected_at > timestamp '{AS_OF}' then 'REJECTED_FUTURE'
+            else quality_flag end as quality_flag
+from raw""",
     "energy_delta": _ctes(AS_OF) + f"select {DELTAS} from reading",
+    "energy_delta_recent": _ctes(MIDWAY) + f"""
+select site_id, device_id, reading_time, cast(energy_kwh as double) as energy_kwh,
+       cast(case when reading_time > timestamp '{MIDWAY}' - interval '2 hours' then energy_delta end as double)
+         as energy_delta
+from reading""",
     "energy_delta_literal": _ctes(MIDWAY) + f""", recent as (
   select raw_reading_id, energy_kwh - lag(energy_kwh) over (
            partition by site_id, device_id order by reading_time) as step
@@ -565,6 +608,8 @@ select device_id, count(*) as orphan_rows from raw
 where device_id not in (select device_id from devices) group by device_id""",
     "audit_nulls": _nulls_sql(),
     "audit_contract": CONTRACT_SQL,
+    "audit_quarantine": _ctes(AS_OF) + """
+select id, device_id, device_id not in (select device_id from devices) as is_orphan from raw""",
     "list_sites": _ctes(AS_OF) + f"select {SITE_LIST} from sites order by site_id",
     "list_sites_camel": _ctes(AS_OF) + """
 select site_id as "siteId", site_name as "siteName", site_type as "siteType", region, city,
@@ -596,4 +641,6 @@ select site_id, device_id, reading_time, raw_reading_id, {MEASURES} from fact"""
     "stream_energy_delta": _ctes(AS_OF) + f"select {DELTAS} from reading",
     "stream_hourly": _ctes(AS_OF) + f"select {HOURS} from hours",
     "stream_quality": WINDOWS_SQL,
+    "stream_site_names": _ctes(AS_OF) + """
+select r.id, r.site_id, s.site_name from raw r left join sites s on r.site_id = s.site_id""",
 }

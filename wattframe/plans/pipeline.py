@@ -13,6 +13,7 @@ from wattframe.operators.delta import energy_delta, reading_tails
 from wattframe.operators.merge import upsert
 from wattframe.operators.quality import run_checks
 from wattframe.operators.rollup import daily, hourly
+from wattframe.session import fit_shuffles
 from wattframe.sources.tables import Warehouse
 
 NEAR_DAYS = 2
@@ -109,6 +110,7 @@ def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None) -> Non
     are marked last: a run that failed half-way finds them again.
     """
     fresh = wh.read("raw", since=since).filter(~F.col("is_processed"))
+    fit_shuffles(fresh)
     winners = wh.stage("winners", dedupe_readings(fresh, as_of))
     absorb(wh, winners)
     touched = wh.parts("raw", fresh)

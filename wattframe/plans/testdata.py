@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from wattframe.session import fit_shuffles
+
 # Fixed values.  Thirty days fold into three at minute grain, which makes duplicates.
 MINUTE = "cast(floor(((day(ts) - 1) * 1440 + hour(ts) * 60 + minute(ts)) / 10) as bigint)"
 DAY_MINUTE = f"({MINUTE} % 1440)"
@@ -85,7 +87,9 @@ def as_raw(events: DataFrame) -> DataFrame:
 
 
 def raw(spark: SparkSession, folder: str) -> DataFrame:
-    return as_raw(table(spark, folder, "events"))
+    events = table(spark, folder, "events")
+    fit_shuffles(events)
+    return as_raw(events)
 
 
 def raw_stream(spark: SparkSession, folder: str) -> DataFrame:

@@ -99,6 +99,10 @@ def log_schema(key: T.DataType = STRING) -> T.StructType:
                    ("threshold_value", _dec(14, 4)), ("message", STRING))
 
 
+def marks_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("site_id", key), ("device_id", key), ("collected_at", NTZ))
+
+
 def windows_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("window_start", NTZ), ("window_end", NTZ), ("null_power", LONG),
                    ("negative_power", LONG), ("voltage_range", LONG), ("future_timestamp", LONG))
@@ -134,6 +138,7 @@ LAYERS = {
         Layer("daily", daily_schema, DAY_GRAIN, None, "reading_date"),
         Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
+        Layer("high_water", marks_schema, DEVICE),
         Layer("sites", sites_schema, ["site_id"]),
         Layer("devices", devices_schema, ["device_id"]),
     )

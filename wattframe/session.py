@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,20 +30,42 @@ def build_session(master: str | None = None, app: str = "wattframe", **extra: st
     return builder.getOrCreate()
 
 
+UNSET_PARTITIONS = 200  # Spark's own default for spark.sql.shuffle.partitions
+SHUFFLE_BYTES = 256 * 1024 * 1024
+MOST_PARTITIONS = 200_000
+
+
+def fit_shuffles(df: DataFrame) -> None:
+    """Raises the number of shuffle partitions for jobs over ``df`` to suit its size.
+
+    Adaptive execution merges partitions that turn out small but cannot split a
+    shuffle that began with too few, so large inputs need more than the default.
+    Sessions whose setting already suffices stay as they are.
+    """
+    spark = df.sparkSession
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    wanted = min(-(-size // SHUFFLE_BYTES), MOST_PARTITIONS)
+    key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+    now = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
+    if wanted > now:
+        spark.conf.set(key, str(wanted))
+
+
 def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session fit for stateful streams; the caller's settings stay as they are.
 
     Watermarks need zoned timestamps, so the zone must be UTC for readings to
     come back unchanged.  The number of state partitions is fixed when a stream
-    first starts and adaptive execution cannot merge them, so it follows the
-    cores at hand where the session asks for more than those.
+    first starts and is never merged at run time, so unless the session chose
+    one it follows the cores at hand.
     """
     child = spark.newSession()
     for key, value in SETTINGS.items():
         child.conf.set(key, value)
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    child.conf.set("spark.sql.shuffle.partitions",
-                   str(min(wanted, max(spark.sparkContext.defaultParallelism, 1))))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if partitions == UNSET_PARTITIONS:
+        partitions = spark.sparkContext.defaultParallelism
+    child.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return child
 
 

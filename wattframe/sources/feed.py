@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant, ntz, safe_double, utc_naive
+from wattframe.operators.joins import join_figures
 
 FEEDS = "array<map<string,string>>"
 
@@ -92,4 +93,4 @@ def new_since(batch: DataFrame, existing: DataFrame, keys: list[str] = S.DEVICE,
     """
     marks = existing.groupBy(*keys).agg(F.max(time).alias("high_water"))
     late = F.col("high_water").isNull() | (F.col(time) > F.col("high_water"))
-    return batch.join(marks, keys, "left").filter(late).select(*batch.columns)
+    return join_figures(batch, marks, keys).filter(late).select(*batch.columns)

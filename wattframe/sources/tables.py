@@ -14,6 +14,9 @@ from wattframe.functions import part_number
 from wattframe.operators.merge import upsert
 
 
+MOST_FOLDERS = 1000
+
+
 class Warehouse:
     """The layers below one root folder.  One writer at a time.
 
@@ -28,10 +31,6 @@ class Warehouse:
             raise ValueError(f"grain must be day or hour, not {grain}")
         self.spark, self.root, self.key, self.grain = spark, root.rstrip("/"), key, grain
 
-    def on(self, spark: SparkSession) -> Warehouse:
-        """The same tables seen from another session, as a micro-batch needs."""
-        return Warehouse(spark, self.root, self.key, self.grain)
-
     def shifted(self, part: int, days: int) -> int:
         """The partition that lies ``days`` away."""
         pattern = "%Y%m%d%H" if self.grain == "hour" else "%Y%m%d"
@@ -58,16 +57,20 @@ class Warehouse:
         """A layer with its partition column; a layer never written is empty.
 
         ``parts`` lists partitions, ``since`` and ``before`` bound them; all
-        three prune folders before any file is opened.
+        three prune folders before any file is opened.  A short list is read by
+        its folders alone, without listing the files of the whole history.
         """
-        layer, schema = S.LAYERS[name], self.schema(name)
+        layer, schema, path = S.LAYERS[name], self.schema(name), self.path(name)
+        reader, wanted = self.spark.read.schema(schema).option("basePath", path), path
+        if parts is not None and len(parts) <= MOST_FOLDERS:
+            wanted = f"{path}/{{{','.join(f'{layer.part}={p}' for p in parts)}}}"
         try:
-            df = self.spark.read.schema(schema).parquet(self.path(name)).select(*schema.names)
+            df = reader.parquet(wanted).select(*schema.names)
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], schema)
-        if parts is not None:
+        if parts is not None and wanted == path:
             df = df.filter(F.col(layer.part).isin(parts))
         if since is not None:
             df = df.filter(F.col(layer.part) >= since)
@@ -108,16 +111,23 @@ class Warehouse:
         self._write(name, df, "overwrite")
 
     def merge(self, name: str, source: DataFrame) -> None:
-        """Upserts a stored ``source`` by the layer's grain, touching only its partitions."""
-        parts = self.parts(name, source)
-        if parts:
-            target = self.read(name, parts)
-            self.replace(name, upsert(target, self.placed(name, source), S.LAYERS[name].grain))
+        """Upserts a stored ``source`` by the layer's grain, touching only its partitions.
+
+        A layer without partitions is rewritten from a staged copy.
+        """
+        layer = S.LAYERS[name]
+        parts = self.parts(name, source) if layer.part else None
+        if parts == []:
+            return
+        merged = upsert(self.read(name, parts), self.placed(name, source), layer.grain)
+        self.replace(name, merged if layer.part else self.stage(f"new_{name}", merged))
 
     def stage(self, name: str, df: DataFrame) -> DataFrame:
         """Writes a result that several later steps read, and returns the written table.
 
-        The folder is reused by the next run, so at most one copy is kept.
+        The folder is reused by the next run, so at most one copy is kept.  A
+        micro-batch is staged first thing: its own session runs without adaptive
+        execution, whereas the table comes back in the session of the warehouse.
         """
         path = f"{self.root}/_staged/{name}"
         df.write.mode("overwrite").parquet(path)

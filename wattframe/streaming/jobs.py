@@ -53,8 +53,7 @@ def stream_clean(raw: DataFrame, wh: Warehouse, checkpoint: str, clock: Clock =
     wins.  The table is the state, so no reading is ever too late.
     """
     def step(batch: DataFrame, _: int) -> None:
-        tables = wh.on(batch.sparkSession)
-        tables.merge("readings", tables.stage("clean_batch", dedupe_readings(batch, clock())))
+        wh.merge("readings", wh.stage("clean_batch", dedupe_readings(batch, clock())))
     return _start(raw, step, checkpoint, trigger)
 
 
@@ -67,8 +66,7 @@ def stream_energy_delta(raw: DataFrame, wh: Warehouse, checkpoint: str, clock: C
     corrects its own and its successor's delta.
     """
     def step(batch: DataFrame, _: int) -> None:
-        tables = wh.on(batch.sparkSession)
-        absorb(tables, tables.stage("delta_batch", dedupe_readings(batch, clock())), rollups)
+        absorb(wh, wh.stage("delta_batch", dedupe_readings(batch, clock())), rollups)
     return _start(raw, step, checkpoint, trigger)
 
 
@@ -77,12 +75,10 @@ def stream_hourly(fact: DataFrame, wh: Warehouse, checkpoint: str, sites: DataFr
     """Stream of readings with deltas to the hourly table.
 
     Each hour stays open for three hours of event time, the reach of the
-    batch lookback; an updated hour replaces its row.  With ``sites``, only
-    readings of known sites count.
+    batch lookback; an updated hour replaces its row.  With ``sites``, hours of
+    unknown sites are left out; they are joined once grouped, not per reading.
     """
     _require_utc(fact)
-    if sites is not None:
-        fact = fact.join(sites.select("site_id"), "site_id", "left_semi")
     timed = fact.withColumn("event_time", F.col("reading_time").cast("timestamp"))
     hours = (timed.withWatermark("event_time", LATENESS)
              .groupBy(*S.DEVICE, F.window("event_time", "1 hour").alias("bucket"))
@@ -96,8 +92,10 @@ def stream_hourly(fact: DataFrame, wh: Warehouse, checkpoint: str, sites: DataFr
              .withColumn("hour_start", F.col("bucket.start").cast("timestamp_ntz")))
 
     def step(batch: DataFrame, _: int) -> None:
-        tables = wh.on(batch.sparkSession)
-        tables.merge("hourly", tables.stage("hourly_batch", tables.placed("hourly", batch)))
+        changed = wh.stage("hourly_batch", wh.placed("hourly", batch))
+        if sites is not None:
+            changed = changed.join(sites.select("site_id"), "site_id", "left_semi")
+        wh.merge("hourly", changed)
     return _start(hours, step, checkpoint, trigger)
 
 
@@ -128,6 +126,5 @@ def stream_quality(raw: DataFrame, wh: Warehouse, checkpoint: str,
     counts = sliding_counts(timed.withWatermark("event_time", LATENESS))
 
     def step(batch: DataFrame, _: int) -> None:
-        tables = wh.on(batch.sparkSession)
-        tables.merge("quality_windows", tables.stage("quality_batch", tables.placed("quality_windows", batch)))
+        wh.merge("quality_windows", wh.stage("quality_batch", wh.placed("quality_windows", batch)))
     return _start(counts, step, checkpoint, trigger)
