@@ -52,8 +52,12 @@ def _merge_tails(wh: Warehouse, winners: DataFrame, parts: list[int]) -> None:
 def _affected_parts(wh: Warehouse, winners: DataFrame, parts: list[int]) -> list[int]:
     """Touched partitions plus, per device, that of the next hour with readings.
 
-    The first delta of that hour starts from a reading that changed.
+    The first delta of that hour starts from a reading that changed.  When no
+    later partition exists beside the touched ones, as in an ordinary run, there
+    is nothing to search.
     """
+    if set(wh.parts("tails", wh.read("tails", since=parts[0]))) <= set(parts):
+        return parts
     touched = reading_tails(winners).select(*S.HOUR_GRAIN, F.lit(True).alias("touched"))
     later = wh.read("tails", since=parts[0]).join(
         touched.select(*S.DEVICE).distinct(), S.DEVICE, "left_semi")
