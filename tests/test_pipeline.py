@@ -33,7 +33,7 @@ def story(seed):
             elif fault < 0.25:
                 row.update(quality_flag="ANOMALY")
             made.append(row)
-            time += timedelta(minutes=chance.choice([1, 7, 50, 600, 4000]))
+            time += timedelta(minutes=chance.choices([1, 7, 50, 600, 4000], [40, 30, 23, 5, 2])[0])
     return made
 
 
@@ -96,7 +96,7 @@ def test_quality_log_grows_by_six(spark, tmp_path):
     tables.append("devices", devices)
     tables.append("raw", raw(spark, [{}]))
     for _ in range(2):
-        run_quality(tables, "2026-03-27 10:05:00", since=20260327)
+        run_quality(tables, "2026-03-27 10:05:00")
     assert tables.read("quality_log").count() == 12
 
 
@@ -113,3 +113,14 @@ def test_partition_bounds_prune_folders(spark, tmp_path):
     assert found.count() == 2
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(ingested_part" in plan
+
+
+@pytest.mark.parametrize("grain", ["day", "hour"])
+def test_recent_reads_only_the_partitions_in_reach(spark, tmp_path, grain):
+    tables = Warehouse(spark, str(tmp_path), grain=grain)
+    tables.append("raw", raw(spark, [{"ingested_at": f"2026-03-27 {h:02}:30:00"} for h in range(24)]))
+    found = tables.recent("raw", "2026-03-27 23:59:00", "2 hours")
+    assert found.count() == (24 if grain == "day" else 3)
+    assert tables.recent("raw", "2026-03-27 23:59:00", "2 hours", "day").count() == 24
+    assert "PartitionFilters: [isnotnull(ingested_part" in found._jdf.queryExecution().executedPlan().toString()
+    assert tables.recent("raw", "2026-03-29 02:00:00", "2 hours").isEmpty()

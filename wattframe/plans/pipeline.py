@@ -122,9 +122,7 @@ def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None) -> Non
         wh.replace("raw", settle(wh.read("raw", touched), as_of))
 
 
-def run_quality(wh: Warehouse, as_of: Instant, since: int | None = None) -> None:
-    """Appends the results of the six checks to the quality log.
-
-    ``since`` may name the first raw partition within the two hours' reach.
-    """
-    wh.append("quality_log", run_checks(wh.read("devices"), wh.read("raw", since=since), as_of))
+def run_quality(wh: Warehouse, as_of: Instant) -> None:
+    """Appends the results of the six checks to the quality log."""
+    raw = wh.recent("raw", as_of, "2 hours")
+    wh.append("quality_log", run_checks(wh.read("devices"), raw, as_of))

@@ -32,23 +32,26 @@ def build_session(master: str | None = None, app: str = "wattframe", **extra: st
 
 UNSET_PARTITIONS = 200  # Spark's own default for spark.sql.shuffle.partitions
 SHUFFLE_BYTES = 256 * 1024 * 1024
-MOST_PARTITIONS = 200_000
+MOST_PARTITIONS = 32_768  # beyond this, blocks per map task grow too many and small
 
 
 def fit_shuffles(df: DataFrame) -> None:
     """Raises the number of shuffle partitions for jobs over ``df`` to suit its size.
 
     Adaptive execution merges partitions that turn out small but cannot split a
-    shuffle that began with too few, so large inputs need more than the default.
-    Sessions whose setting already suffices stay as they are.
+    shuffle that began with too few, so large inputs need more than the default,
+    and larger scan and output pieces to keep the number of blocks and files low.
+    Sessions whose settings already suffice stay as they are.
     """
-    spark = df.sparkSession
+    conf = df.sparkSession.conf
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     wanted = min(-(-size // SHUFFLE_BYTES), MOST_PARTITIONS)
     key = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-    now = int(spark.conf.get(key, None) or spark.conf.get("spark.sql.shuffle.partitions"))
-    if wanted > now:
-        spark.conf.set(key, str(wanted))
+    if wanted > int(conf.get(key, None) or conf.get("spark.sql.shuffle.partitions")):
+        conf.set(key, str(wanted))
+        conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(SHUFFLE_BYTES))
+        if wanted == MOST_PARTITIONS:
+            conf.set("spark.sql.files.maxPartitionBytes", str(2 * SHUFFLE_BYTES))
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import schemas as S
-from wattframe.functions import part_number
+from wattframe.functions import Instant, part_number, trailing_cutoff
 from wattframe.operators.merge import upsert
 
 
@@ -78,6 +78,13 @@ class Warehouse:
             df = df.filter(F.col(layer.part) < before)
         return df
 
+    def recent(self, name: str, as_of: Instant, lookback: str, floor: str | None = None) -> DataFrame:
+        """The partitions an operator with this lookback can need; it still filters rows itself.
+
+        ``floor`` widens the reach to whole hours or days, as aligned rollups do.
+        """
+        return self.read(name, since=part_number(trailing_cutoff(as_of, lookback, floor), self.grain))
+
     def placed(self, name: str, df: DataFrame) -> DataFrame:
         """``df`` in the column order and types of the layer, partition column filled.
 
