@@ -48,17 +48,19 @@ def violation_counts(as_of: Instant) -> dict:
     }
 
 
-def reading_checks(raw: DataFrame, as_of: Instant, lookback: str | None = "2 hours") -> DataFrame:
+def reading_checks(raw: DataFrame, as_of: Instant, lookback: str | None = "2 hours",
+                   only: list[str] | None = None) -> DataFrame:
     """(check_type, metric_value) of the five reading checks from one scan.
 
-    The duplicate count compares whole keys as structs, which also counts keys
-    with a NULL member.  Keys are reduced in each map task before the shuffle.
+    ``only`` names the checks to run.  The duplicate count compares whole keys
+    as structs, which also counts keys with a NULL member.  Keys are reduced
+    in each map task before the shuffle.
     """
-    counts = {name: metric.alias(name) for name, metric in violation_counts(as_of).items()}
-    counts["DUPLICATE_RATE"] = (F.count("*") - F.count_distinct(F.struct(*S.RAW_GRAIN))
-                                ).alias("DUPLICATE_RATE")
-    row = _recent(raw, as_of, lookback).agg(*counts.values())
-    return row.unpivot([], list(counts), "check_type", "metric_value")
+    counts = violation_counts(as_of)
+    counts["DUPLICATE_RATE"] = F.count("*") - F.count_distinct(F.struct(*S.RAW_GRAIN))
+    names = [name for name in counts if only is None or name in only]
+    row = _recent(raw, as_of, lookback).agg(*(counts[name].alias(name) for name in names))
+    return row.unpivot([], names, "check_type", "metric_value")
 
 
 def silent_devices(devices: DataFrame, raw: DataFrame, as_of: Instant,

@@ -18,7 +18,8 @@ from wattframe.operators.delta import energy_delta
 from wattframe.operators.merge import upsert
 from wattframe.operators.rollup import daily, hourly
 from wattframe.plans import testdata as D
-from wattframe.plans.pipeline import days_from_raw, hours_from_raw, readings_from_raw, run_pipeline
+from wattframe.plans.pipeline import (days_from_raw, hours_from_raw, readings_from_raw, run_pipeline,
+                                      tails_from_raw)
 from wattframe.session import shared_folder, streaming_session
 from wattframe.sources.feed import METER_FIELDS, decode_feed, new_since, parse_feed
 from wattframe.sources.tables import Warehouse
@@ -71,8 +72,9 @@ def _delta_literal(spark, folder):
 
 def _delta_recent(spark, folder):
     """Only the last two hours are filled, but their first readings see their predecessors."""
-    fact = dedupe_readings(D.raw(spark, folder), MIDWAY)
-    return plain(energy_delta(fact, MIDWAY, "2 hours").select(*S.FACT_GRAIN, "energy_kwh", "energy_delta"))
+    raw = D.raw(spark, folder)
+    filled = energy_delta(dedupe_readings(raw, MIDWAY), MIDWAY, "2 hours", tails=tails_from_raw(raw, MIDWAY))
+    return plain(filled.select(*S.FACT_GRAIN, "energy_kwh", "energy_delta"))
 
 
 def _hourly(spark, folder):
@@ -129,8 +131,7 @@ def _landed(spark, folder):
 
 def _check(name: str, lookback: str | None):
     def query(spark, folder):
-        metrics = Q.reading_checks(_landed(spark, folder), MIDWAY, lookback)
-        return metrics.filter(F.col("check_type") == name)
+        return Q.reading_checks(_landed(spark, folder), MIDWAY, lookback, [name])
     return query
 
 
@@ -165,9 +166,8 @@ def _audit_orphans(spark, folder):
 
 
 def _quarantine(spark, folder):
-    kept, orphans = A.quarantine(D.raw(spark, folder), "device_id", D.devices(spark, folder))
-    return (kept.select("id", "device_id", F.lit(False).alias("is_orphan"))
-            .unionByName(orphans.select("id", "device_id", F.lit(True).alias("is_orphan"))))
+    return A.tag_orphans(D.raw(spark, folder), "device_id", D.devices(spark, folder)).select(
+        "id", "device_id", "is_orphan")
 
 
 def _audit_nulls(spark, folder):

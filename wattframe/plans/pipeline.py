@@ -19,16 +19,18 @@ from wattframe.sources.tables import Warehouse
 NEAR_DAYS = 2
 
 
+def tails_from_raw(raw: DataFrame, as_of: Instant) -> DataFrame:
+    """Hour tails straight from the clean raw rows: last by time, then as duplicates are decided."""
+    return reading_tails(clean_readings(raw, as_of), "collected_at", ["collected_at", "ingested_at", "id"])
+
+
 def readings_from_raw(raw: DataFrame, as_of: Instant, keep_hour: bool = False) -> DataFrame:
     """Clean, deduplicated readings with deltas as one lazy plan.
 
-    The hour tails come straight from the clean raw rows (last by time, then
-    by the order in which duplicates are decided), so the large deduplication
-    shuffle runs once.
+    The tails do not need the deduplicated rows, so the large shuffle of
+    deduplication runs once.
     """
-    tails = reading_tails(clean_readings(raw, as_of), "collected_at",
-                          ["collected_at", "ingested_at", "id"])
-    return energy_delta(dedupe_readings(raw, as_of), tails=tails, keep_hour=keep_hour)
+    return energy_delta(dedupe_readings(raw, as_of), tails=tails_from_raw(raw, as_of), keep_hour=keep_hour)
 
 
 def hours_from_raw(raw: DataFrame, as_of: Instant) -> DataFrame:
