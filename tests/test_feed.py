@@ -84,6 +84,14 @@ def test_payload_is_parsed_once(spark):
     assert plan.toString().count("from_json") <= 1
 
 
+def test_small_channel_table_is_broadcast(spark, tmp_path):
+    (tmp_path / "channel_id=972755").mkdir()
+    (tmp_path / "channel_id=972755" / "a.json").write_text(response(*FEEDS))
+    plan = decode_feed(read_feed(spark, str(tmp_path)), channel_table(spark), NOW)._jdf.queryExecution()
+    text = plan.executedPlan().toString()
+    assert "BroadcastHashJoin" in text and "Exchange hashpartitioning" not in text
+
+
 def test_high_water_mark_is_strict_and_per_key(spark):
     kinds = "site_id string, device_id string, collected_at timestamp_ntz"
     at = datetime(2026, 3, 27, 10)

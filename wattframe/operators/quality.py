@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattframe import schemas as S
@@ -80,15 +80,16 @@ def ingestion_gap(devices: DataFrame, raw: DataFrame, as_of: Instant,
 
 def quality_log(metrics: DataFrame, as_of: Instant, checks: tuple[Check, ...] = CHECKS) -> DataFrame:
     """Log rows for measured checks; a metric equal to its threshold passes."""
-    spark = metrics.sparkSession
-    limits = spark.createDataFrame([(c.check_type, c.threshold, c.message) for c in checks],
-                                   "check_type string, threshold_value long, message string")
-    log = metrics.join(limits, "check_type").withColumns({
-        "check_time": ntz(as_of),
-        "status": F.when(F.col("metric_value") <= F.col("threshold_value"), "PASS").otherwise("FAIL"),
-        "site_id": F.lit(None), "device_id": F.lit(None),
-    })
-    return log.selectExpr(*S.casts(S.log_schema()))
+    def of_check(field: str) -> Column:
+        pairs = [F.lit(x) for c in checks for x in (c.check_type, getattr(c, field))]
+        return F.try_element_at(F.create_map(*pairs), F.col("check_type"))
+
+    log = metrics.withColumns({
+        "check_time": ntz(as_of), "site_id": F.lit(None), "device_id": F.lit(None),
+        "threshold_value": of_check("threshold"), "message": of_check("message"),
+    }).filter(F.col("threshold_value").isNotNull())
+    status = F.when(F.col("metric_value") <= F.col("threshold_value"), "PASS").otherwise("FAIL")
+    return log.withColumn("status", status).selectExpr(*S.casts(S.log_schema()))
 
 
 def run_checks(devices: DataFrame, raw: DataFrame, as_of: Instant) -> DataFrame:

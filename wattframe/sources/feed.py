@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant, ntz, safe_double, utc_naive
 from wattframe.operators.joins import join_figures
+from wattframe.sources.small import small_table
 
 FEEDS = "array<map<string,string>>"
 
@@ -39,9 +41,12 @@ CHANNELS = (Channel(972755, "SITE_EXT_01", "DEV_EXT_PZEM", METER_FIELDS),)
 def channel_table(spark: SparkSession, channels: tuple[Channel, ...] = CHANNELS,
                   key: str = "string") -> DataFrame:
     """Channels as rows; ``source_of`` maps a column to the feed field it comes from."""
-    rows = [(c.channel_id, c.site_id, c.device_id, {v: k for k, v in c.fields.items()}) for c in channels]
-    return spark.createDataFrame(
-        rows, f"channel_id long, site_id {key}, device_id {key}, source_of map<string,string>")
+    rows = [(c.channel_id, c.site_id, c.device_id, [(column, name) for name, column in c.fields.items()])
+            for c in channels]
+    table = small_table(spark, rows, ["channel_id", "site_id", "device_id", "source_of"],
+                        source_of=pa.map_(pa.string(), pa.string()))
+    return table.selectExpr("channel_id", f"cast(site_id as {key}) as site_id",
+                            f"cast(device_id as {key}) as device_id", "source_of")
 
 
 def read_feed(spark: SparkSession, landing: str, mode: str = "FAILFAST") -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant, ntz
+from wattframe.sources.small import small_table
 
 # site_id, site_name, site_type, region, city, capacity_kw.
 SITES = [
@@ -41,8 +42,7 @@ DEVICES = [
 
 
 def _frame(spark: SparkSession, rows: list[tuple], names: list[str], schema, created_at: Instant) -> DataFrame:
-    kinds = ", ".join(f"{n} {'int' if n.endswith('_kw') else 'string'}" for n in names)
-    df = spark.createDataFrame(rows, kinds).withColumns(
+    df = small_table(spark, rows, names).withColumns(
         {"is_active": F.lit(True), "created_at": ntz(created_at)})
     return df.selectExpr(*S.casts(schema))
 

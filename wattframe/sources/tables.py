@@ -69,7 +69,7 @@ class Warehouse:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], schema)
+            return self.spark.range(1).selectExpr(*S.casts(schema, [])).filter("false")
         if parts is not None and wanted == path:
             df = df.filter(F.col(layer.part).isin(parts))
         if since is not None:
