@@ -1,0 +1,140 @@
+"""Plain versions of the text operators, for comparison on small tables."""
+
+from __future__ import annotations
+
+import hashlib
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import xxhash
+from tokenizers import Tokenizer
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def sha(data) -> str:
+    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+def bpe(docs):
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    for doc_id, text in docs:
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids
+        decoded = tokenizer.decode(ids, skip_special_tokens=False)
+        yield doc_id, len(ids), sha(b"".join(i.to_bytes(4, "little") for i in ids)), sha(decoded)
+
+
+def base_statistics(text):
+    words = WORD.findall(text or "")
+    windows = [tuple(words[i:i + 3]) for i in range(len(words) - 2)]
+    counts = Counter(windows)
+    covered = {i + k for i, w in enumerate(windows) if counts[w] > 1 for k in range(3)}
+    lines = [x for x in (text or "").split("\n") if WORD.search(x)]
+    return (len(words), sum(map(len, words)), sum(c in "#*$%&|<>" for c in text or ""),
+            len(lines) - len(set(lines)), len(covered))
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def line_facts(docs, edits=2, shortest=12):
+    """doc_id -> (copies, near, links, text left)."""
+    places = defaultdict(list)
+    for doc_id, text in sorted(docs):
+        for n, line in enumerate((text or "").split("\n")):
+            if WORD.search(line):
+                places[line].append((doc_id, n))
+    first = {line: min(p) for line, p in places.items()}
+    links = defaultdict(set)
+    by_length = defaultdict(list)
+    for line in places:
+        by_length[len(line)].append(line)
+    for line in places:
+        for size in range(max(len(line) - edits, shortest), len(line) + 1):
+            for other in by_length[size]:
+                if other != line and edit_distance(line, other) <= edits:
+                    links[line].add(other)
+                    links[other].add(line)
+    found = {}
+    for doc_id, text in docs:
+        copies = near = total = 0
+        left = []
+        for n, line in enumerate((text or "").split("\n")):
+            if not WORD.search(line):
+                left.append(line)
+                continue
+            copy = (doc_id, n) > first[line]
+            close = any(first[o] < first[line] for o in links[line])
+            copies, near, total = copies + copy, near + (close and not copy), total + len(links[line])
+            if not copy and not close:
+                left.append(line)
+        found[doc_id] = (copies, near, total, "\n".join(left))
+    return found
+
+
+def simhash(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    words = WORD.findall(lowered)
+    if not words:
+        return 0
+    shingles = [" ".join(words[i:i + 4]) for i in range(max(len(words) - 3, 1))]
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def components(nodes, edges):
+    root = {n: n for n in nodes}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in edges:
+        a, b = find(a), find(b)
+        root[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def simhash_groups(docs):
+    prints = {d: simhash(t) for d, t in docs}
+    ids = sorted(prints)
+    edges = [(a, b) for i, a in enumerate(ids) for b in ids[:i] if (prints[a] ^ prints[b]).bit_count() <= 4]
+    roots = components(ids, edges)
+    return {d: (f"{prints[d]:016x}", roots[d]) for d in ids}
+
+
+def removed_runs(docs, length=50):
+    least = {}
+    for doc_id, text in docs:
+        data = (text or "").encode()
+        for i in range(len(data) - length + 1):
+            s = data[i:i + length]
+            least[s] = min(least.get(s, doc_id), doc_id)
+    for doc_id, text in docs:
+        data = (text or "").encode()
+        gone = bytearray(len(data))
+        for i in range(len(data) - length + 1):
+            if least[data[i:i + length]] < doc_id:
+                gone[i:i + length] = b"\1" * length
+        runs = len(re.findall(b"\1+", bytes(gone)))
+        kept = bytes(c for c, g in zip(data, gone) if not g)
+        yield doc_id, len(data), sum(gone), runs, sha(kept)
+
+
+def packed_ids(text):
+    if not hasattr(packed_ids, "tokenizer"):
+        packed_ids.tokenizer = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    return packed_ids.tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+
+
+def crc(ids):
+    return zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
