@@ -14,6 +14,7 @@ def spark():
     session = build_session("local[4]", "tests", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "6g",
+        "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="wattframe-test-"),
         "spark.checkpoint.dir": tempfile.mkdtemp(prefix="wattframe-test-")})
     session.sparkContext.setLogLevel("ERROR")
     yield session

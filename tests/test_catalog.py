@@ -6,6 +6,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from wattframe.plans import catalog
 
 FOLDER = "/root/testdata/sf0.001"
 TABLES = ("region", "nation", "customer", "supplier", "events")
@@ -27,7 +28,7 @@ def normal(rows, order):
     return sorted(tuple(repr(row[i]) for i in order) for row in rows)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query_matches_sql(spark, duck, name):
     df = contract.queries()[name](spark, FOLDER)
     names = sorted(df.columns)
