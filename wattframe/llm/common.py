@@ -52,6 +52,21 @@ def ranked(df: DataFrame, groups: list[str], order: list[str], rows: int, per: i
             .drop("_bucket", "_start", "_within"))
 
 
+def thinned(edges: DataFrame) -> DataFrame:
+    """Fewer edges (a < b) with the same components.
+
+    Each b is tied to its smallest a; any other edge is moved to the smallest
+    of its ends, where those of a dense group become one and the same.
+    """
+    edges = staged(edges.distinct(), "edges")
+    near = staged(edges.groupBy("b").agg(F.min("a").alias("least")), "near")
+    low = edges.join(near.select(F.col("b").alias("a"), F.col("least").alias("x")), "a", "left")
+    moved = (low.join(near.select("b", F.col("least").alias("y")), "b")
+             .select(F.coalesce("x", "a").alias("x"), "y").where("x <> y").distinct())
+    return near.select(F.col("least").alias("a"), "b").union(
+        moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")))
+
+
 def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
     """(node, root) for the ends of ``edges`` (a, b): root is the smallest node reachable.
 

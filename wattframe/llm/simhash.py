@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import components, hex16, staged, with_text
+from wattframe.llm.common import components, hex16, staged, thinned, with_text
 
 WIDTH = 4  # words in a shingle
 SEED = 42
@@ -123,7 +123,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     """
     marked = staged(fingerprints(docs), "fingerprints")
     fps = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
-    roots = components(near_pairs(fps.select("fp")))
+    roots = components(thinned(near_pairs(fps.select("fp"))))
     joined = fps.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = joined.groupBy("root").agg(F.min("first").alias("linked"))
     linked = staged(joined.join(least, "root").select("fp", "linked"), "linked")
