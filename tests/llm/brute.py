@@ -36,12 +36,18 @@ def base_statistics(text):
             len(lines) - len(set(lines)), len(covered))
 
 
-def edit_distance(a, b):
+def edit_distance(a, b, most=2):
+    """The edit distance, or a number above ``most``."""
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         before, row[0] = row[0], i
-        for j, y in enumerate(b, 1):
-            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+        low, high = max(1, i - most - 1), min(len(b), i + most + 1)
+        if low > 1:
+            before, row[low - 1] = row[low - 1], most + 1
+        for j in range(low, high + 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != b[j - 1]))
+        if min(row[low - 1:high + 1]) > most:
+            return most + 1
     return row[-1]
 
 

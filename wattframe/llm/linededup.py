@@ -4,7 +4,8 @@ Two lines within T edits share one of T + 1 segments: cut the shorter line into
 T + 1 segments, and one of them stands in the longer line, shifted by no more
 than the edits left on either side allow.  Each line is indexed by its segments
 and probed by those substrings, all keyed with the length of the shorter line.
-Pairs that meet are verified by a bit-parallel edit automaton over the band of
+Of the pairs that meet, those whose letter counts differ too much can't be
+within T edits; the others are verified by a bit-parallel edit automaton over the band of
 2T + 1 diagonals.
 """
 
@@ -31,24 +32,45 @@ def _segments(length: Column, edits: int) -> list[tuple[Column, Column]]:
     return found
 
 
-def segment_keys(line: Column, edits: int = EDITS) -> Column:
-    """Keys of a line: array of (key, owns, same).
+def _probes(edits: int) -> list[tuple[int, int, int]]:
+    """(how much shorter the other line is, segment, shift) of each key of a line."""
+    return [(shorter, i, shift) for shorter in range(edits + 1) for i in range(edits + 1)
+            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1)]
 
-    ``owns`` marks its segments as the shorter (or equal) line of a pair, ``same``
-    the keys under which a line of equal length is sought.
-    """
-    length, keys = F.length(line), []
-    for shorter in range(edits + 1):
-        size = length - shorter
-        for i, (start, width) in enumerate(_segments(size, edits)):
-            for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1):
-                begin = start + shift
-                fits = (begin >= 1) & (begin + width - 1 <= length) & (size >= SHORTEST)
-                key = F.xxhash64(size, F.lit(i), F.substring(line, begin, width))
-                keys.append(F.when(fits, F.struct(
-                    key.alias("key"), F.lit(shorter == 0 and shift == 0).alias("owns"),
-                    F.lit(shorter == 0).alias("same"))))
-    return F.filter(F.array(*keys), lambda k: k.isNotNull())
+
+def segment_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
+    """The keys of a line, in the order of ``_probes``; null where a substring doesn't fit."""
+    cuts = {k: _segments(length - k, edits) for k in range(edits + 1)}
+    keys = []
+    for shorter, i, shift in _probes(edits):
+        start, width = cuts[shorter][i]
+        begin = start + shift
+        fits = (begin >= 1) & (begin + width - 1 <= length) & (length - shorter >= SHORTEST)
+        keys.append(F.when(fits, F.xxhash64(length - shorter, F.lit(i), F.substring(line, begin, width))))
+    return F.array(*keys)
+
+
+# Frequent letters.  An edit changes the counts of two of them by one at most.
+LETTERS = "etaonrsi"
+
+
+def letter_counts(line: Column) -> Column:
+    """How often each of LETTERS stands in a line, modulo 256, one byte each."""
+    size = F.octet_length(line)
+    found = F.lit(0).cast("long")
+    for k, letter in enumerate(LETTERS):
+        n = (size - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long").bitwiseAND(F.lit(255))
+        found = found.bitwiseOR(F.shiftleft(n, 8 * k))
+    return found
+
+
+def letters_apart(a: Column, b: Column) -> Column:
+    """The sum of differences of letter counts; at most twice the edits between two lines."""
+    total = F.lit(0).cast("long")
+    for k in range(len(LETTERS)):
+        x, y = (F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255)) for c in (a, b))
+        total = total + F.least(F.abs(x - y), 256 - F.abs(x - y))
+    return total
 
 
 def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -108,18 +130,27 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
     A line is named by its first place (doc_id, line_no, tag), tag being a short
     hash that tells apart rows which share a doc_id.  In a link a < b.
     """
-    lines = lines_of(docs).where(F.col("line").rlike(WORD))
+    lines = lines_of(docs).where(F.col("line").rlike(WORD)).withColumn("size", F.length("line"))
     place = F.struct("doc_id", "line_no", F.hash("line").alias("tag"))
     keyed = lines.select(F.unhex(F.md5("line")).alias("same_line"), place.alias("place"),
-                         segment_keys(F.col("line"), edits).alias("keys"))
+                         letter_counts(F.col("line")).alias("letters"),
+                         segment_keys(F.col("line"), F.col("size"), edits).alias("keys"))
+    # numbered once they are grouped; the number is stored with the line
     distinct = staged(keyed.groupBy("same_line").agg(
-        F.min("place").alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys")), "lines")
-    keys = distinct.select("first", F.explode("keys").alias("k")).select("first", "k.*")
-    met = (keys.where("owns").select("key", F.col("first").alias("p"))
-           .join(keys.select("key", F.col("first").alias("q"), "same"), "key")
-           .where("p <> q and (not same or p < q)")
-           .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b")).distinct())
-    met = staged(met, "met")
+        F.min("place").alias("first"), F.count("*").alias("copies"), F.first("letters").alias("letters"),
+        F.first("keys").alias("keys")).withColumn("id", F.monotonically_increasing_id()), "lines")
+    probes = _probes(edits)
+    keys = distinct.select("id", "letters", F.posexplode("keys").alias("at", "key")).where("key is not null")
+    owned = keys.where(F.col("at").isin([n for n, (k, _, s) in enumerate(probes) if not k and not s]))
+    same = F.col("at") < sum(not k for k, _, _ in probes)
+    met = (owned.select("key", F.col("id").alias("p"), F.col("letters").alias("x"))
+           .join(keys.select("key", F.col("id").alias("q"), F.col("letters").alias("y"), same.alias("same")), "key")
+           .where("p <> q and (not same or p < q)").where(letters_apart(F.col("x"), F.col("y")) <= 2 * edits)
+           .select("p", "q").distinct())
+    named = distinct.select("id", "first")
+    met = staged(met.join(named.select(F.col("id").alias("p"), F.col("first").alias("a")), "p")
+                 .join(named.select(F.col("id").alias("q"), F.col("first").alias("b")), "q")
+                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "met")
     wanted = met.select(F.col("a").alias("place")).union(met.select("b")).distinct()
     by_doc = wanted.groupBy("place.doc_id").agg(F.collect_set("place").alias("places"))
     texts = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
@@ -130,7 +161,7 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
     texts = staged(texts, "texts")
     pairs = (met.join(texts.select(F.col("place").alias("a"), F.col("line").alias("x")), "a")
              .join(texts.select(F.col("place").alias("b"), F.col("line").alias("y")), "b"))
-    return distinct.drop("keys"), staged(pairs.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b"),
+    return distinct.select("same_line", "first", "copies"), staged(pairs.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b"),
                                          "links")
 
 
