@@ -11,8 +11,9 @@ and equal strings have equal anchors at the same offset.
 2. The anchors left are named by their block, all strings with this anchor.
    Equal blocks are ranked in one group; those that stand in a smaller document
    are settled whole.
-3. Where a name has several blocks (the ends of a repeat), the first copy of
-   each block is renamed at the full LENGTH, string by string.
+3. Where a name has several blocks (the ends of a repeat), longer names on its
+   left and right tell which of its strings can have a partner at all; these
+   are named at the full LENGTH, one by one, from the first copy of each block.
 
 Each task forwards one row for each name and hands on the others as known
 repeats, so a passage in a third of all documents reaches a group once for
@@ -72,152 +73,164 @@ def _least(values: np.ndarray, span: int) -> np.ndarray:
     return values
 
 
-def anchors(text: bytes) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
-    """(offset, names, padded minima, positions of anchors) for each segment of a text."""
-    data = np.frombuffer(text, np.uint8)
-    for offset in range(0, len(data) - LENGTH + 1, SEGMENT):
-        names = names_of(data[offset:offset + SEGMENT + LENGTH - 1])
-        minima = np.zeros(len(names) + SPAN - 1, np.uint64)
-        minima[SPAN - 1:len(names)] = _least(names, SPAN)
-        top = ~_least(~minima, SPAN)
-        yield offset, names, minima, np.flatnonzero(top == names)
-
-
-def blocks(text: bytes, wanted: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-    """(name, block, first string, last string) for each anchor with a wanted name."""
-    for offset, names, minima, at in anchors(text):
-        at = at[np.isin(names[at], wanted)]
-        if not len(at):
-            continue
-        own = sliding_window_view(minima, SPAN)[at] == names[at][:, None]
-        low = at - (SPAN - 1) + own.argmax(axis=1) + offset
-        high = at - own[:, ::-1].argmax(axis=1) + offset
-        for name, a, b in zip(names[at].view(np.int64).tolist(), low.tolist(), high.tolist()):
-            yield name, _signed(xxhash.xxh3_64_intdigest(text[a:b + LENGTH])), a, b
-
-
 def _signed(value: int) -> int:
     return value - (1 << 64) if value >> 63 else value
 
 
-def _combine(docs: np.ndarray, key: np.ndarray, check: np.ndarray | None = None) -> pa.RecordBatch:
-    """One row for each key, of its smallest document; the others under keys of their own.
-
-    ``known``: null for a key that one document of the chunk has, the key itself
-    if others have it too, and for those others the key (while theirs is mixed).
+def _portions(texts: list[bytes]) -> Iterator[list[tuple[int, int, bytes]]]:
+    """(number of the text, offset, bytes) in lists of about SEGMENT bytes; longer texts are cut with an overlap."""
+    held, size = [], 0
+    for i, text in enumerate(texts):
+        for offset in range(0, len(text) - LENGTH + 1, SEGMENT):
+            part = text[offset:offset + SEGMENT + LENGTH - 1] if len(text) > SEGMENT else text
+            held.append((i, offset, part))
+            size += len(part)
+            if size >= SEGMENT:
+                yield held
+                held, size = [], 0
+    if held:
+        yield held
+
+
+class Anchors:
+    """The anchors of a portion: ``name`` and place of each."""
+
+    def __init__(self, portion: list[tuple[int, int, bytes]]):
+        data = np.frombuffer(b"".join(part for _, _, part in portion), np.uint8)
+        ends = np.cumsum([len(part) for _, _, part in portion])
+        starts = ends - [len(part) for _, _, part in portion]
+        names = names_of(data)
+        least = _least(names, SPAN)
+        for end in ends.tolist():  # strings that would cross into the next text
+            least[end - LENGTH + 1:end] = 0
+        self.minima = np.zeros(len(names) + SPAN - 1, np.uint64)
+        self.minima[SPAN - 1:len(names)] = least
+        top = ~_least(~self.minima, SPAN)
+        self.at = np.flatnonzero(top == names)
+        self.name = names[self.at]
+        part = np.searchsorted(starts, self.at, side="right") - 1
+        self.text = np.array([i for i, _, _ in portion])[part]
+        self.shift = np.array([offset for _, offset, _ in portion])[part] - starts[part]
+
+    def bounds(self, chosen: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of the chosen anchors the place in the text, and the first and last string they stand for."""
+        at = self.at[chosen]
+        own = sliding_window_view(self.minima, SPAN)[at] == self.name[chosen][:, None]
+        low = at - (SPAN - 1) + own.argmax(axis=1)
+        high = at - own[:, ::-1].argmax(axis=1)
+        return at + self.shift[chosen], low + self.shift[chosen], high + self.shift[chosen]
+
+
+def _combine(docs: np.ndarray, key: np.ndarray, **more: np.ndarray) -> pa.RecordBatch:
+    """The row of the smallest document of each key; others under keys of their own, so no group grows.
+
+    ``known`` is the key where several documents of the chunk have it, null
+    where one has; ``later`` marks rows of all but the smallest of these.
     """
-    order = np.lexsort((docs, *([check] if check is not None else []), key))
+    order = np.lexsort((docs, *([more["check"]] if more else []), key))
     docs, key = docs[order], key[order]
+    more = {k: v[order] for k, v in more.items()}
     same = key[1:] == key[:-1]
-    if check is not None:
-        check = check[order]
-        same &= check[1:] == check[:-1]
-    repeat = np.concatenate(([False], same))
-    twice = repeat & (docs == np.concatenate((docs[:1], docs[:-1])))
-    first = np.flatnonzero(~repeat)
-    head = np.repeat(first, np.diff(np.append(first, len(key))))
-    later = docs > docs[head]
-    leads = np.zeros(len(key), bool)
-    np.logical_or.at(leads, head[later], True)
+    if more:
+        same &= more["check"][1:] == more["check"][:-1]
+    first = np.flatnonzero(np.concatenate(([True], ~same)))
+    sizes = np.diff(np.append(first, len(key)))
+    later = docs > np.repeat(docs[first], sizes)
+    several = np.repeat(docs[first] < docs[first + sizes - 1], sizes)
     mixed = _mix(key ^ _mix(docs.view(np.uint64) * _ODD))
-    keep = ~twice
-    given = np.where(later, mixed, key)[keep].view(np.int64)
-    known = pa.array(key[keep].view(np.int64), mask=~(later | leads)[keep])
-    second = np.zeros(int(keep.sum()), np.int64) if check is None else check[keep].view(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(given), pa.array(second), pa.array(docs[keep]), known, pa.array(later[keep])],
-        ["key", "check", "doc_id", "known", "later"])
+    columns = {"key": np.where(later, mixed, key).view(np.int64), "doc_id": docs,
+               "known": pa.array(key.view(np.int64), mask=~several), "later": later,
+               **{k: v.view(np.int64) for k, v in more.items()}}
+    return pa.RecordBatch.from_arrays([pa.array(v) for v in columns.values()], list(columns))
 
 
-COMBINED = "key long, check long, doc_id long, known long, later boolean"
+NAMED = "key long, doc_id long, known long, later boolean"
+PLACED = NAMED + ", check long, at long"
 
 
-def _emit(rows: Callable[..., tuple[np.ndarray, np.ndarray, np.ndarray | None]]) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for chunk in rows_of(batches, CHUNK):
-            docs, key, check = rows(*chunk)
-            if len(docs):
-                yield _combine(docs, key, check)
-    return run
-
-
-def _anchor_rows(doc_ids: list, texts: list[bytes]) -> tuple:
-    docs, keys = [], []
-    for doc_id, text in zip(doc_ids, texts):
-        if doc_id is None:
-            continue
-        for _, names, _, at in anchors(text):
-            own = np.unique(names[at])
-            keys.append(own)
-            docs.append(np.full(len(own), doc_id, np.int64))
-    if not keys:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint64), None
-    return np.concatenate(docs), np.concatenate(keys), None
-
-
-def _names(values: list | None) -> np.ndarray:
-    return np.array(values or [], np.int64).view(np.uint64)
-
-
-def _string_rows(doc_ids: list, names: list, open_blocks: list, texts: list[bytes]) -> tuple:
-    docs, keys = [], []
-    for doc_id, wanted, mine, text in zip(doc_ids, names, open_blocks, texts):
-        mine = set(mine)
-        for _, block, low, high in blocks(text, _names(wanted)):
-            if block in mine:
-                keys += [xxhash.xxh3_128_intdigest(text[i:i + LENGTH]) for i in range(low, high + 1)]
-                docs += [doc_id] * (high + 1 - low)
-    lower = (1 << 64) - 1
-    return (np.array(docs, np.int64), np.array([k >> 64 for k in keys], np.uint64),
-            np.array([k & lower for k in keys], np.uint64))
+def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for doc_ids, texts in rows_of(batches, CHUNK):
+        rows = [(d, t) for d, t in zip(doc_ids, texts) if d is not None]
+        ids, found = np.array([d for d, _ in rows], np.int64), []
+        for portion in _portions([t for _, t in rows]):
+            anchors = Anchors(portion)
+            found.append((anchors.text, anchors.name))
+        if found:
+            text, name = (np.concatenate(x) for x in zip(*found))
+            order = np.lexsort((text, name))
+            once = np.concatenate(([True], (np.diff(text[order]) != 0) | (np.diff(name[order]) != 0)))
+            yield _combine(ids[text[order][once]], name[order][once])
+
+
+HALF = (LENGTH - SHORT) // 2
+BLOCK = "name long, block long, doc_id long, span long, before long, after long"
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each wanted anchor its block, its strings (first, place, number) and its longer names on either side."""
+    digest = xxhash.xxh3_64_intdigest
     for doc_ids, names, texts in rows_of(batches, CHUNK):
-        rows = {(name, block, doc_id) for doc_id, wanted, text in zip(doc_ids, names, texts)
-                for name, block, _, _ in blocks(text, _names(wanted))}
+        marks = np.concatenate([_mix(np.array(n, np.int64).view(np.uint64) ^ _mix(np.full(len(n), i + 1, np.uint64)))
+                                for i, n in enumerate(names)])
+        rows = []
+        for portion in _portions(texts):
+            anchors = Anchors(portion)
+            own = _mix(anchors.name ^ _mix(anchors.text.astype(np.uint64) + np.uint64(1)))
+            chosen = np.flatnonzero(np.isin(own, marks))
+            for name, i, j, a, b in zip(anchors.name[chosen].view(np.int64).tolist(), anchors.text[chosen].tolist(),
+                                        *[x.tolist() for x in anchors.bounds(chosen)]):
+                text = texts[i]
+                rows.append((name, _signed(digest(text[a:b + LENGTH])), doc_ids[i], a << 16 | (j - a) << 8 | (b - a),
+                             _signed(digest(text[j - HALF:j + SHORT])) if a <= j - HALF else None,
+                             _signed(digest(text[j:j + SHORT + HALF])) if b > j - HALF else None))
         if rows:
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)],
-                                             ["name", "block", "doc_id"])
-
-
-def kept_spans(text: bytes, names: list | None, settled: list | None, opened: list | None,
-               strings: list | None) -> list[tuple[int, int]]:
-    """The removed runs of a text as (start, end)."""
-    if not settled and not strings:
+                                             [f.split()[0] for f in BLOCK.split(", ")])
+
+
+def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    digest, lower = xxhash.xxh3_128_intdigest, (1 << 64) - 1
+    for doc_ids, spans, texts in rows_of(batches, CHUNK):
+        docs, at, keys = [], [], []
+        for doc_id, own, text in zip(doc_ids, spans, texts):
+            places = [i for span in own for i in range(span >> 8, (span >> 8) + (span & 255) + 1)]
+            keys += [digest(text[i:i + LENGTH]) for i in places]
+            at += places
+            docs += [doc_id] * len(places)
+        if docs:
+            yield _combine(np.array(docs, np.int64), np.array([k >> 64 for k in keys], np.uint64),
+                           check=np.array([k & lower for k in keys], np.uint64), at=np.array(at, np.int64))
+
+
+def removed_runs(size: int, spans: list | None) -> list[tuple[int, int]]:
+    """The runs of a text of ``size`` bytes that ``spans`` (first string and further ones) cover."""
+    if not spans:
         return []
-    settled_set, opened_set, string_set = set(settled or ()), set(opened or ()), set(strings or ())
-    change = np.zeros(len(text) + 1, np.int32)
-    for _, block, low, high in blocks(text, _names(names)):
-        if block in settled_set:
-            change[low] += 1
-            change[high + LENGTH] -= 1
-        elif block in opened_set:
-            for i in range(low, high + 1):
-                if _signed(xxhash.xxh3_128_intdigest(text[i:i + LENGTH]) >> 64) in string_set:
-                    change[i] += 1
-                    change[i + LENGTH] -= 1
-    inside = np.concatenate(([0], (np.cumsum(change[:-1]) > 0).astype(np.int8), [0]))
-    edges = np.flatnonzero(np.diff(inside))
+    coded = np.array(spans, np.int64)
+    change = np.zeros(size + 2, np.int64)
+    np.add.at(change, (coded >> 8) + 1, 1)
+    np.add.at(change, (coded >> 8) + (coded & 255) + LENGTH + 1, -1)
+    edges = np.flatnonzero(np.diff(np.cumsum(change) > 0))
     return list(zip(edges[::2].tolist(), edges[1::2].tolist()))
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, removed): bytes of each text and the runs to remove, array of (start, end).
+    """(doc_id, spans, text): the bytes of each text and the strings to remove from it.
 
     Null and empty texts have no repeats.  Rows without doc_id are no smaller and
     no larger than any: they lose nothing and no other loses by them.  Rows that
-    share a doc_id count as one document: none repeats another.  All decisions
-    are made on the input, not on what is left of it.
+    share a doc_id count as one document: none repeats another, and strings
+    removed from one of them are removed at the same places of the others only
+    if they stand there too.  All decisions are made on the input.
     """
     spark = docs.sparkSession
     plain = with_text(docs, encoded=True)
-    found = plain.mapInArrow(_emit(_anchor_rows), COMBINED).select("key", "doc_id", "known")
+    found = plain.mapInArrow(_anchor_rows, NAMED).select("key", "doc_id", "known")
     group = Window.partitionBy("key")
     left = (found.withColumn("low", F.min("doc_id").over(group)).withColumn("high", F.max("doc_id").over(group))
             .where("known is not null or low < high")
             .select("doc_id", F.coalesce("known", "key").alias("name")))
-    names = staged(left.groupBy("doc_id").agg(F.collect_set("name").alias("names")), "names")
+    names = left.groupBy("doc_id").agg(F.collect_set("name").alias("names"))
 
     # The texts are stored once by doc_id, so that no later step moves them.
     table = f"texts_{uuid.uuid4().hex}"
@@ -226,23 +239,27 @@ def repeats(docs: DataFrame) -> DataFrame:
      .option("path", f"{shared_folder(spark)}/{table}").option("compression", "zstd").saveAsTable(table))
     texts = spark.table(table)
 
-    held = staged(texts.join(names, "doc_id").select("doc_id", "names", "text")
-                  .mapInArrow(_block_rows, "name long, block long, doc_id long"), "blocks")
-    first = staged(held.groupBy("name", "block").agg(F.min("doc_id").alias("owner")), "first")
-    several = first.groupBy("name").agg(F.count("*").alias("n")).where("n > 1")
-    opened = staged(first.join(several, "name").groupBy(F.col("owner").alias("doc_id"))
-                    .agg(F.collect_set("block").alias("opened")), "opened")
-    settled = staged(held.join(first, ["name", "block"]).where("owner < doc_id")
-                     .groupBy("doc_id").agg(F.collect_set("block").alias("settled")), "settled")
-    strings = (texts.join(names, "doc_id").join(opened, "doc_id").select("doc_id", "names", "opened", "text")
-               .mapInArrow(_emit(_string_rows), COMBINED))
+    held = staged(texts.join(names, "doc_id").select("doc_id", "names", "text").mapInArrow(_block_rows, BLOCK), "blocks")
+    first = staged(held.groupBy("name", "block").agg(
+        F.min("doc_id").alias("owner"), F.min("before").alias("before"), F.min("after").alias("after")), "first")
+    either = [first.where(f"{side} is not null").groupBy("name", side).agg(F.count("*").alias("n"))
+              .where("n > 1").select("name", side, F.lit(True).alias(f"{side}_met")) for side in ("before", "after")]
+    opened = (first.join(either[0], ["name", "before"], "left").join(either[1], ["name", "after"], "left")
+              .where("before_met or after_met").select("name", "block", "owner", "before_met", "after_met"))
+    low, place = F.shiftright("span", 16), F.shiftright("span", 8).bitwiseAND(F.lit(255))
+    number = F.col("span").bitwiseAND(F.lit(255))
+    start = F.when(F.col("before_met"), 0).otherwise(F.greatest(F.lit(0), place - (HALF - 1)))
+    end = F.when(F.col("after_met"), number).otherwise(F.least(number, place - HALF))
+    asked = (held.join(opened, ["name", "block"]).where("doc_id = owner").groupBy("doc_id").agg(F.collect_set(
+        F.shiftleft(low + start, 8).bitwiseOR(end - start)).alias("asked")))
+    strings = texts.join(asked, "doc_id").select("doc_id", "asked", "text").mapInArrow(_string_rows, PLACED)
     whole = Window.partitionBy("key", "check")
-    again = staged(strings.withColumn("low", F.min("doc_id").over(whole)).where("later or low < doc_id")
-                   .groupBy("doc_id").agg(F.collect_set(F.coalesce("known", "key")).alias("strings")), "strings")
-
-    facts = (names.join(settled, "doc_id", "left").join(opened, "doc_id", "left")
-             .join(again, "doc_id", "left").where("settled is not null or strings is not null"))
-    return texts.join(facts, "doc_id", "left").select("doc_id", "names", "settled", "opened", "strings", "text")
+    again = (strings.withColumn("low", F.min("doc_id").over(whole)).where("later or low < doc_id")
+             .select("doc_id", F.shiftleft("at", 8).alias("span")))
+    settled = (held.join(first.select("name", "block", "owner"), ["name", "block"]).where("owner < doc_id")
+               .select("doc_id", F.shiftleft(low, 8).bitwiseOR(number).alias("span")))
+    spans = again.union(settled).groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
+    return texts.join(spans, "doc_id", "left").select("doc_id", "spans", "text")
 
 
 def deduplicated(docs: DataFrame, fields: str, row: Callable[[bytes, list[tuple[int, int]]], tuple]) -> DataFrame:
@@ -250,8 +267,8 @@ def deduplicated(docs: DataFrame, fields: str, row: Callable[[bytes, list[tuple[
     schema = f"doc_id long, {fields}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, names, settled, opened, strings, texts in rows_of(batches, CHUNK):
-            made = [row(t, kept_spans(t, *x)) for t, *x in zip(texts, names, settled, opened, strings)]
+        for doc_ids, spans, texts in rows_of(batches, CHUNK):
+            made = [row(t, removed_runs(len(t), x)) for t, x in zip(texts, spans)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": pa.array(doc_ids, pa.int64())}
                 | {f.split()[0]: list(x) for f, x in zip(fields.split(", "), zip(*made))})
