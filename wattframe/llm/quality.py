@@ -9,8 +9,6 @@ language with few documents gives no reference.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -32,8 +30,8 @@ MOST_REPEATED = 50  # percent of words in repeated windows
 LEAST_CHARS = 200  # below, character classes are not judged
 LEAST_COUNT = 150  # words below which common words are not judged
 LEAST_DOCS = 20  # documents that make a reference
-CHAR_LIMIT = 0.20
-WORD_LIMIT = 0.45
+CHAR_LIMIT = 0.30
+WORD_LIMIT = 0.24
 
 
 def words_of(text: Column) -> Column:
@@ -73,11 +71,12 @@ def measured(docs: DataFrame) -> DataFrame:
     lang = F.col("row.lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     held = (docs.select(F.struct("*").alias("row")).select("row", text.alias("text"), lang.alias("lang"))
             .withColumn("words", words_of(F.col("text")))
-            .withColumn("common", F.element_at(lists, F.col("lang"))))
+            .withColumn("common", F.element_at(lists, F.col("lang")))
+            .withColumn("few", F.filter("words", lambda w: w.isin(sorted(set(" ".join(COMMON_WORDS.values()).split()))))))
     words, text = F.col("words"), F.col("text")
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike("[^\\x20\\x09-\\x0D]"))
     only = {k: F.length(F.regexp_replace(text, v, "")).cast("long") for k, v in CLASSES.items()}
-    counts = [F.size(words) - F.size(F.array_remove(words, F.get("common", F.lit(k)))) for k in range(SIZE)]
+    counts = [F.size("few") - F.size(F.array_remove("few", F.get("common", F.lit(k)))) for k in range(SIZE)]
     return held.withColumn("chars", F.struct(*[v.alias(k) for k, v in only.items()])).select("row", "lang", F.struct(
         F.size(words).cast("long").alias("n_words"),
         (F.length(text) - F.col("chars.space")).cast("long").alias("word_chars"),
@@ -95,18 +94,23 @@ def _full(counts: Column, total: Column) -> Column:
     return F.concat(counts, F.array(total - F.aggregate(counts, F.lit(0).cast("long"), lambda s, x: s + x)))
 
 
-def js_distance(a: Column, b: Column, size: int) -> Column:
-    """Jensen-Shannon distance (base 2, 0 to 1) of two arrays of ``size`` counts; null if either has none."""
-    totals = [reduce(Column.__add__, [F.get(x, F.lit(i)) for i in range(size)]) for x in (a, b)]
+def _shares(counts: Column) -> Column:
+    """Counts over their sum; null where the sum is zero or a count is missing."""
+    def divided(a: Column) -> Column:
+        return F.transform(F.array(F.aggregate(a, F.lit(0).cast("long"), lambda s, x: s + x)),
+                           lambda total: F.when(total > 0, F.transform(a, lambda x: x / total)))[0]
+
+    return F.transform(F.array(counts), divided)[0]
+
 
-    def term(i: int) -> Column:
-        p, q = (F.get(x, F.lit(i)) / F.nullif(t, F.lit(0)) for x, t in zip((a, b), totals))
+def js_distance(a: Column, b: Column) -> Column:
+    """Jensen-Shannon distance (base 2, 0 to 1) of two arrays of counts; null if either has none."""
+    def term(p: Column, q: Column) -> Column:
         m = (p + q) / 2
-        return (F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
-                + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)) / 2
+        return (F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)) / 2
 
-    whole = reduce(Column.__add__, [term(i) for i in range(size)])
-    return F.when((totals[0] > 0) & (totals[1] > 0), F.sqrt(F.greatest(whole, F.lit(0.0))))
+    whole = F.aggregate(F.zip_with(_shares(a), _shares(b), term), F.lit(0.0), lambda s, x: s + x)
+    return F.sqrt(F.greatest(whole, F.when(whole.isNotNull(), F.lit(0.0))))
 
 
 def references(stats: DataFrame) -> DataFrame:
@@ -133,8 +137,8 @@ def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     refs = references(stats).withColumnRenamed("lang", "_lang")
     joined = stats.drop("lang").join(refs, "_lang", "left")
     s = F.col("stats")
-    chars = js_distance(_full(s["classes"], s["n_chars"]), F.col("char_ref"), len(CLASSES) + 1)
-    words = js_distance(_full(s["common"], s["n_words"]), F.col("word_ref"), SIZE + 1)
+    chars = js_distance(_full(s["classes"], s["n_chars"]), F.col("char_ref"))
+    words = js_distance(_full(s["common"], s["n_words"]), F.col("word_ref"))
     return (joined
             .withColumn("char_distance", F.when(s["n_chars"] >= LEAST_CHARS, chars))
             .withColumn("word_distance", F.when(s["n_words"] >= LEAST_COUNT, words))
