@@ -51,16 +51,16 @@ def segment_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
 
 
 # Frequent letters.  An edit changes the counts of two of them by one at most.
-LETTERS = "etaonrsi"
+LETTERS = "etaonrsihldcumpg"
 
 
 def letter_counts(line: Column) -> Column:
-    """How often each of LETTERS stands in a line, modulo 256, one byte each."""
+    """How often each of LETTERS stands in a line, modulo 16, four bits each."""
     size = F.octet_length(line)
     found = F.lit(0).cast("long")
     for k, letter in enumerate(LETTERS):
-        n = (size - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long").bitwiseAND(F.lit(255))
-        found = found.bitwiseOR(F.shiftleft(n, 8 * k))
+        n = (size - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long").bitwiseAND(F.lit(15))
+        found = found.bitwiseOR(F.shiftleft(n, 4 * k))
     return found
 
 
@@ -68,8 +68,8 @@ def letters_apart(a: Column, b: Column) -> Column:
     """The sum of differences of letter counts; at most twice the edits between two lines."""
     total = F.lit(0).cast("long")
     for k in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(c, 8 * k).bitwiseAND(F.lit(255)) for c in (a, b))
-        total = total + F.least(F.abs(x - y), 256 - F.abs(x - y))
+        x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
+        total = total + F.least(F.abs(x - y), 16 - F.abs(x - y))
     return total
 
 
