@@ -163,7 +163,7 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 HALF = (LENGTH - SHORT) // 2
-BLOCK = "name long, block long, doc_id long, span long, before long, after long"
+BLOCK = "name long, block long, doc_id long, span long, before int, after int"
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,11 +181,12 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                         *[x.tolist() for x in anchors.bounds(chosen)]):
                 text = texts[i]
                 rows.append((name, _signed(digest(text[a:b + LENGTH])), doc_ids[i], a << 16 | (j - a) << 8 | (b - a),
-                             _signed(digest(text[j - HALF:j + SHORT])) if a <= j - HALF else None,
-                             _signed(digest(text[j:j + SHORT + HALF])) if b > j - HALF else None))
+                             digest(text[j - HALF:j + SHORT]) >> 33 if a <= j - HALF else None,
+                             digest(text[j:j + SHORT + HALF]) >> 33 if b > j - HALF else None))
         if rows:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*rows)],
-                                             [f.split()[0] for f in BLOCK.split(", ")])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(x, pa.int64() if k < 4 else pa.int32()) for k, x in enumerate(zip(*rows))],
+                [f.split()[0] for f in BLOCK.split(", ")])
 
 
 def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -215,7 +216,7 @@ def removed_runs(size: int, spans: list | None) -> list[tuple[int, int]]:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """(doc_id, spans, text): the bytes of each text and the strings to remove from it.
+    """(doc_id, copy, spans, text): the bytes of each text, whether a smaller document has it whole, strings to remove.
 
     Null and empty texts have no repeats.  Rows without doc_id are no smaller and
     no larger than any: they lose nothing and no other loses by them.  Rows that
@@ -224,22 +225,27 @@ def repeats(docs: DataFrame) -> DataFrame:
     if they stand there too.  All decisions are made on the input.
     """
     spark = docs.sparkSession
-    plain = with_text(docs, encoded=True)
-    found = plain.mapInArrow(_anchor_rows, NAMED).select("key", "doc_id", "known")
-    group = Window.partitionBy("key")
-    left = (found.withColumn("low", F.min("doc_id").over(group)).withColumn("high", F.max("doc_id").over(group))
-            .where("known is not null or low < high")
-            .select("doc_id", F.coalesce("known", "key").alias("name")))
-    names = left.groupBy("doc_id").agg(F.collect_set("name").alias("names"))
-
     # The texts are stored once by doc_id, so that no later step moves them.
     table = f"texts_{uuid.uuid4().hex}"
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (plain.repartition(parts, "doc_id").write.bucketBy(parts, "doc_id")
-     .option("path", f"{shared_folder(spark)}/{table}").option("compression", "zstd").saveAsTable(table))
+    (with_text(docs, encoded=True).withColumn("same", F.unhex(F.md5("text"))).repartition(parts, "doc_id")
+     .write.bucketBy(parts, "doc_id").option("path", f"{shared_folder(spark)}/{table}")
+     .option("compression", "zstd").saveAsTable(table))
     texts = spark.table(table)
 
-    held = staged(texts.join(names, "doc_id").select("doc_id", "names", "text").mapInArrow(_block_rows, BLOCK), "blocks")
+    # Copies of a whole text are settled by its digest and take no further part.
+    owners = texts.groupBy("same").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1")
+    copies = staged(texts.select("doc_id", "same").join(owners, "same").where("owner < doc_id")
+                    .groupBy("doc_id").agg(F.collect_set("same").alias("copies")), "copies")
+    marked = texts.join(copies, "doc_id", "left")
+    fresh = marked.where("not coalesce(array_contains(copies, same), false)")
+    found = fresh.select("doc_id", "text").mapInArrow(_anchor_rows, NAMED).select("key", "doc_id", "known")
+    group = Window.partitionBy("key")
+    left = (found.withColumn("low", F.min("doc_id").over(group)).withColumn("high", F.max("doc_id").over(group))
+            .where("known is not null or low < high")
+            .select("doc_id", F.coalesce("known", "key").alias("name")))
+    names = staged(left.groupBy("doc_id").agg(F.collect_set("name").alias("names")), "names")
+    held = staged(fresh.join(names, "doc_id").select("doc_id", "names", "text").mapInArrow(_block_rows, BLOCK), "blocks")
     first = staged(held.groupBy("name", "block").agg(
         F.min("doc_id").alias("owner"), F.min("before").alias("before"), F.min("after").alias("after")), "first")
     either = [first.where(f"{side} is not null").groupBy("name", side).agg(F.count("*").alias("n"))
@@ -250,16 +256,18 @@ def repeats(docs: DataFrame) -> DataFrame:
     number = F.col("span").bitwiseAND(F.lit(255))
     start = F.when(F.col("before_met"), 0).otherwise(F.greatest(F.lit(0), place - (HALF - 1)))
     end = F.when(F.col("after_met"), number).otherwise(F.least(number, place - HALF))
-    asked = (held.join(opened, ["name", "block"]).where("doc_id = owner").groupBy("doc_id").agg(F.collect_set(
-        F.shiftleft(low + start, 8).bitwiseOR(end - start)).alias("asked")))
-    strings = texts.join(asked, "doc_id").select("doc_id", "asked", "text").mapInArrow(_string_rows, PLACED)
+    asked = staged(held.join(opened, ["name", "block"]).where("doc_id = owner").groupBy("doc_id").agg(F.collect_set(
+        F.shiftleft(low + start, 8).bitwiseOR(end - start)).alias("asked")), "asked")
+    strings = fresh.join(asked, "doc_id").select("doc_id", "asked", "text").mapInArrow(_string_rows, PLACED)
     whole = Window.partitionBy("key", "check")
     again = (strings.withColumn("low", F.min("doc_id").over(whole)).where("later or low < doc_id")
              .select("doc_id", F.shiftleft("at", 8).alias("span")))
     settled = (held.join(first.select("name", "block", "owner"), ["name", "block"]).where("owner < doc_id")
                .select("doc_id", F.shiftleft(low, 8).bitwiseOR(number).alias("span")))
-    spans = again.union(settled).groupBy("doc_id").agg(F.collect_set("span").alias("spans"))
-    return texts.join(spans, "doc_id", "left").select("doc_id", "spans", "text")
+    spans = staged(staged(again, "again").union(settled).groupBy("doc_id").agg(
+        F.collect_set("span").alias("spans")), "spans")
+    copy = F.coalesce(F.array_contains("copies", F.col("same")), F.lit(False))
+    return marked.join(spans, "doc_id", "left").select("doc_id", copy.alias("copy"), "spans", "text")
 
 
 def deduplicated(docs: DataFrame, fields: str, row: Callable[[bytes, list[tuple[int, int]]], tuple]) -> DataFrame:
@@ -267,8 +275,9 @@ def deduplicated(docs: DataFrame, fields: str, row: Callable[[bytes, list[tuple[
     schema = f"doc_id long, {fields}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc_ids, spans, texts in rows_of(batches, CHUNK):
-            made = [row(t, removed_runs(len(t), x)) for t, x in zip(texts, spans)]
+        for doc_ids, copied, spans, texts in rows_of(batches, CHUNK):
+            made = [row(t, [(0, len(t))] if copy and len(t) >= LENGTH else removed_runs(len(t), x))
+                    for t, copy, x in zip(texts, copied, spans)]
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": pa.array(doc_ids, pa.int64())}
                 | {f.split()[0]: list(x) for f, x in zip(fields.split(", "), zip(*made))})
