@@ -26,7 +26,8 @@ SEQUENCE = 4096
 UNIT = 16
 END = 2  # the id put after each document
 CHUNK = 8 << 20
-MOST_KNOWN = 600_000  # pieces a worker remembers before it starts anew
+MOST_KNOWN = 1_000_000  # pieces a worker remembers before it starts anew
+AT_ONCE = 20_000  # pieces given to the library at a time
 GAP = 1e-4  # the program stops this close to its bound
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
@@ -49,34 +50,87 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.slots = 0
         self.flat = np.zeros(0, np.int32)
         self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
 
+    def _slot(self, piece: bytes, new: list[tuple[int, str]], joined: list[tuple[int, int, int]]) -> int:
+        """The slot of a piece met for the first time.
+
+        ASCII letters are looked up in lower case, and one comma or full stop
+        behind them apart: the vocabulary lowers case and splits there itself.
+        """
+        plain = piece.lower() if piece.isalpha() or piece[:-1].isalpha() and piece[-1:] in (b".", b",") else piece
+        slot = self.known.get(plain)
+        if slot is None:
+            slot = self.known[plain] = self.slots
+            self.slots += 1
+            if len(plain) > 1 and plain[-1:] in (b".", b",") and plain[:-1].isalpha():
+                parts = [self.known.get(x) for x in (plain[:-1], plain[-1:])]
+                parts = [self._slot(x, new, joined) if p is None else p for x, p in zip((plain[:-1], plain[-1:]), parts)]
+                joined.append((slot, *parts))
+            else:
+                new.append((slot, plain.decode()))
+        self.known[piece] = slot
+        return slot
+
+    def _ids(self, texts: list[str], letters: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all pieces one after another, and how many each has."""
+        if letters:  # each is one word of the library, so they can be encoded as one text
+            found = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+            sizes = np.bincount(np.array(found.word_ids, np.int64), minlength=len(texts))
+            if len(sizes) == len(texts) and sizes.all():
+                return np.array(found.ids, np.int32), sizes
+        each = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        return np.array([y for x in each for y in x], np.int32), np.array([len(x) for x in each], np.int64)
+
+    def _learn(self, new: list[tuple[int, str]], joined: list[tuple[int, int, int]]) -> None:
+        grown = [np.concatenate([x, np.zeros(self.slots - len(x), np.int64)]) for x in (self.start, self.count)]
+        self.start, self.count = grown
+        at, parts = len(self.flat), [self.flat]
+        new.sort(key=lambda x: not x[1].isalpha())  # words of letters alone come first
+        letters = sum(t.isalpha() for _, t in new)
+        for start, end in [(i, min(i + AT_ONCE, stop)) for begin, stop in ((0, letters), (letters, len(new)))
+                           for i in range(begin, stop, AT_ONCE)]:
+            some = new[start:end]
+            ids, sizes = self._ids([t for _, t in some], end <= letters)
+            slots = np.array([k for k, _ in some], np.int64)
+            self.start[slots], self.count[slots] = at + np.cumsum(sizes) - sizes, sizes
+            parts.append(ids)
+            at += len(ids)
+        self.flat = np.concatenate(parts)
+        if joined:  # the ids of the letters, then of the stop
+            slots, letters, stops = np.array(joined, np.int64).T
+            sizes = self.count[letters] + self.count[stops]
+            starts = at + np.cumsum(sizes) - sizes
+            both = self._gather(np.stack([letters, stops], axis=1).ravel())
+            self.start[slots], self.count[slots] = starts, sizes
+            self.flat = np.concatenate([self.flat, both])
+
+    def _gather(self, row: np.ndarray) -> np.ndarray:
+        counts = self.count[row]
+        skip = np.repeat(self.start[row] - (np.cumsum(counts) - counts), counts)
+        return self.flat[skip + np.arange(len(skip))]
+
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.known) > MOST_KNOWN:
             self._forget()
-        known, new, rows = self.known, [], []
+        known, rows = self.known, []
+        new: list[tuple[int, str]] = []
+        joined: list[tuple[int, int, int]] = []
         for text in texts:
-            row = []
-            for piece in text.split():
-                i = known.get(piece)
-                if i is None:
-                    i = known[piece] = len(known)
-                    new.append(piece.decode())
-                row.append(i)
+            pieces = text.split()
+            row = list(map(known.get, pieces))
+            if None in row:
+                for i, slot in enumerate(row):
+                    if slot is None:
+                        slot = known.get(pieces[i])
+                        row[i] = self._slot(pieces[i], new, joined) if slot is None else slot
             rows.append(np.array(row, np.int64))
-        if new:
-            ids = [x.ids for i in range(0, len(new), 20_000)
-                   for x in self.tokenizer.encode_batch(new[i:i + 20_000], add_special_tokens=False)]
-            per = np.array([len(x) for x in ids], np.int64)
-            starts = len(self.flat) + np.cumsum(per) - per
-            self.flat = np.concatenate([self.flat, *[np.array(x, np.int32) for x in ids]])
-            self.start, self.count = np.concatenate([self.start, starts]), np.concatenate([self.count, per])
+        if new or joined:
+            self._learn(new, joined)
         for row in rows:
-            counts = self.count[row]
-            total = int(counts.sum())
-            skip = np.repeat(self.start[row] - (np.cumsum(counts) - counts), counts)
-            yield np.append(self.flat[skip + np.arange(total)], END).astype("<u4")
+            yield np.append(self._gather(row), END).astype("<u4")
 
 
 _ENCODERS: dict[str, Encoder] = {}  # of this worker
