@@ -90,6 +90,32 @@ def test_duplicate_that_arrives_later_replaces_for_good(spark, tmp_path):
     assert rows(tables.read("hourly"), "avg_power_kw") == [(20,)]
 
 
+def test_rows_that_arrive_during_a_run_wait_for_the_next(spark, tmp_path, monkeypatch):
+    made = story(5)[:80]
+    tables = Warehouse(spark, str(tmp_path))
+    middle = sorted(r["ingested_at"] for r in made)[40]
+    first, second = (raw(spark, made).filter(F.col("ingested_at") <= middle),
+                     raw(spark, made).filter(F.col("ingested_at") > middle))
+    tables.append("raw", first)
+    files = set(tables.unconsumed())
+
+    def arriving(wh, winners):
+        wh.append("raw", second)
+        absorb(wh, winners)
+
+    monkeypatch.setattr("wattframe.plans.pipeline.absorb", arriving)
+    run_pipeline(tables, TICKS[-1])
+    monkeypatch.undo()
+    stored = set(tables.unconsumed())
+    assert stored and not stored & files
+    run_pipeline(tables, TICKS[-1])
+    assert tables.unconsumed() == []
+    assert tables.read("raw").filter("not is_processed").isEmpty()
+    expected = readings_from_raw(raw(spark, made), TICKS[-1])
+    names = S.LAYERS["readings"].schema().names
+    assert content(tables, "readings") == rows(expected, *names, order=S.FACT_GRAIN)
+
+
 def test_quality_log_grows_by_six(spark, tmp_path):
     tables = Warehouse(spark, str(tmp_path))
     devices = spark.createDataFrame([("D1", "S1", True)], "device_id string, site_id string, is_active boolean")

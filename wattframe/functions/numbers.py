@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from wattframe.schemas import MEASURES
-
 
 def mean_rounded(value: str | Column, scale: int) -> Column:
     """Mean of a decimal column rounded half away from zero.
@@ -39,7 +37,3 @@ def safe_double(text: Column) -> Column:
     number = F.coalesce(simple, grouped)
     return F.when(F.abs(number) < F.lit(float("inf")), number)
 
-
-def stored(column: str) -> Column:
-    """A measure in the precision and scale of its table column."""
-    return F.col(column).cast(MEASURES[column]).alias(column)

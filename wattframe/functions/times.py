@@ -7,7 +7,7 @@ session whose zone is not UTC, so only zone-free expressions are used here.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -16,9 +16,11 @@ Instant = str | date | datetime | Column
 
 
 def ntz(value: Instant) -> Column:
-    """A fixed point in time without zone; columns pass through."""
+    """A fixed point in time without zone; columns pass through, aware times are turned to UTC."""
     if isinstance(value, Column):
         return value.cast("timestamp_ntz")
+    if isinstance(value, datetime) and value.tzinfo is not None:
+        value = value.astimezone(timezone.utc).replace(tzinfo=None)
     text = value.isoformat() if isinstance(value, date) else value
     return F.lit(text).cast("timestamp_ntz")
 

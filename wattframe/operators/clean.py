@@ -67,6 +67,14 @@ def mark_processed(raw: DataFrame, winners: DataFrame) -> DataFrame:
             .select(*raw.columns))
 
 
+def settled_at(raw: DataFrame, as_of: Column) -> DataFrame:
+    """Marks rows as ``settle`` does at the time in ``as_of``; rows where it is NULL stay as they are."""
+    marks = ("is_processed", "quality_flag")
+    both = settle(raw.withColumns({f"_{c}": F.col(c) for c in marks}), as_of)
+    return both.select(*[F.when(as_of.isNull(), F.col(f"_{c}")).otherwise(F.col(c)).alias(c) if c in marks else c
+                         for c in raw.columns])
+
+
 def settle(raw: DataFrame, as_of: Instant) -> DataFrame:
     """One pass over raw that marks winners, losers and rejects together.
 

@@ -40,24 +40,28 @@ def get_device(devices: DataFrame, device_id) -> DataFrame:
     return devices.filter(F.col("device_id") == device_id).select(*DEVICE_COLUMNS)
 
 
+def _first(rows: DataFrame, limit: int | None) -> DataFrame:
+    return rows if limit is None else rows.limit(limit)
+
+
 def find_hourly(hours: DataFrame, site_id=None, device_id=None, start: Instant | None = None,
-                end: Instant | None = None, limit: int = 500) -> DataFrame:
-    """Newest hours first; ``start`` and ``end`` are days, both included."""
+                end: Instant | None = None, limit: int | None = 500) -> DataFrame:
+    """Newest hours first, all of them without ``limit``; ``start`` and ``end`` are days, both included."""
     time = F.col("hour_start")
     rows = _where(hours, _equals("site_id", site_id), _equals("device_id", device_id),
                   None if start is None else time >= ntz(day_of(start)),
                   None if end is None else time < ntz(F.date_add(day_of(end), 1)))
-    return (rows.select(*S.hourly_schema().names)
-            .orderBy(F.desc_nulls_first("hour_start"), "site_id", "device_id").limit(limit))
+    return _first(rows.select(*S.hourly_schema().names)
+                  .orderBy(F.desc_nulls_first("hour_start"), "site_id", "device_id"), limit)
 
 
 def find_daily(days: DataFrame, site_id=None, device_id=None, start: Instant | None = None,
-               end: Instant | None = None, limit: int = 500) -> DataFrame:
+               end: Instant | None = None, limit: int | None = 500) -> DataFrame:
     """Newest days first within a closed or one-sided range of days."""
     rows = _where(days, _equals("site_id", site_id), _equals("device_id", device_id),
                   *_days_between(start, end))
-    return (rows.select(*S.daily_schema().names)
-            .orderBy(F.desc_nulls_first("reading_date"), "site_id", "device_id").limit(limit))
+    return _first(rows.select(*S.daily_schema().names)
+                  .orderBy(F.desc_nulls_first("reading_date"), "site_id", "device_id"), limit)
 
 
 def _days_between(start: Instant | None, end: Instant | None) -> list[Column | None]:
@@ -67,7 +71,7 @@ def _days_between(start: Instant | None, end: Instant | None) -> list[Column | N
 
 
 def site_daily_summary(days: DataFrame, sites: DataFrame, site_id=None, start: Instant | None = None,
-                       end: Instant | None = None, limit: int = 200) -> DataFrame:
+                       end: Instant | None = None, limit: int | None = 200) -> DataFrame:
     """Energy, peak, mean power and device count per site and day, newest day first.
 
     Days are grouped per site before the names are joined, so the join sees
@@ -79,10 +83,9 @@ def site_daily_summary(days: DataFrame, sites: DataFrame, site_id=None, start: I
         F.max("peak_demand_kw").alias("peak_demand_kw"),
         exact_mean("avg_power_kw").alias("avg_power_kw"),
         F.count_distinct("device_id").alias("device_count"))
-    return (totals.join(sites.select("site_id", "site_name"), "site_id")
-            .select("site_id", "site_name", "reading_date", "total_energy_kwh",
-                    "peak_demand_kw", "avg_power_kw", "device_count")
-            .orderBy(F.desc_nulls_first("reading_date"), F.asc_nulls_last("site_id")).limit(limit))
+    named = totals.join(sites.select("site_id", "site_name"), "site_id").select(
+        "site_id", "site_name", "reading_date", "total_energy_kwh", "peak_demand_kw", "avg_power_kw", "device_count")
+    return _first(named.orderBy(F.desc_nulls_first("reading_date"), F.asc_nulls_last("site_id")), limit)
 
 
 def camel_case(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant
-from wattframe.operators.clean import clean_readings, dedupe_readings, settle
+from wattframe.operators.clean import clean_readings, dedupe_readings
 from wattframe.operators.delta import energy_delta, reading_tails
 from wattframe.operators.merge import upsert
 from wattframe.operators.quality import run_checks
@@ -108,20 +108,21 @@ def absorb(wh: Warehouse, winners: DataFrame, rollups: bool = True) -> None:
     wh.replace("daily", daily(wh.read("hourly", wh.day_parts(affected)), lookback=None))
 
 
-def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None) -> None:
-    """One run over the unprocessed raw readings.
+def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None, files: list[str] | None = None) -> None:
+    """One run over the raw files that no run has taken.
 
-    ``since`` may name the raw partition of the last run; rows land in the
-    partition of their arrival, so earlier ones hold nothing new.  Raw rows
-    are marked last: a run that failed half-way finds them again.
+    The files are listed once, or given as listed before; rows that arrive
+    meanwhile wait for the next run.  ``since`` may name the raw partition of
+    the last run; rows land in the partition of their arrival, so earlier ones
+    hold nothing new.  The ledger is written last: a run that failed half-way
+    finds its files again, and raw itself is never rewritten.
     """
-    fresh = wh.read("raw", since=since).filter(~F.col("is_processed"))
+    files = wh.unconsumed(since) if files is None else files
+    fresh = wh.raw_files(files)
     fit_shuffles(fresh)
     winners = wh.stage("winners", dedupe_readings(fresh, as_of))
     absorb(wh, winners)
-    touched = wh.parts("raw", fresh)
-    if touched:
-        wh.replace("raw", settle(wh.read("raw", touched), as_of))
+    wh.consume(files, as_of)
 
 
 def run_quality(wh: Warehouse, as_of: Instant) -> None:

@@ -103,6 +103,10 @@ def marks_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("site_id", key), ("device_id", key), ("collected_at", NTZ))
 
 
+def ledger_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("file", STRING), ("as_of", NTZ))
+
+
 def windows_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("window_start", NTZ), ("window_end", NTZ), ("null_power", LONG),
                    ("negative_power", LONG), ("voltage_range", LONG), ("future_timestamp", LONG))
@@ -139,6 +143,7 @@ LAYERS = {
         Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
         Layer("high_water", marks_schema, DEVICE),
+        Layer("ledger", ledger_schema, ["file"]),
         Layer("sites", sites_schema, ["site_id"]),
         Layer("devices", devices_schema, ["device_id"]),
     )

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import schemas as S
-from wattframe.functions import Instant, part_number, trailing_cutoff
+from wattframe.functions import Instant, ntz, part_number, trailing_cutoff
+from wattframe.operators.clean import settled_at
 from wattframe.operators.merge import upsert
+from wattframe.sources.small import small_table
 
 
 MOST_FOLDERS = 1000
@@ -20,7 +22,8 @@ MOST_FOLDERS = 1000
 class Warehouse:
     """The layers below one root folder.  One writer at a time.
 
-    Every change replaces whole partitions through the dynamic-overwrite commit,
+    Raw is only ever appended to; the ledger names the files that runs have taken.
+    Every other change replaces whole partitions through the dynamic-overwrite commit,
     so lost executors only repeat tasks and a failed run is simply run again.
     ``grain`` sets how large a partition is: by the day, or by the hour where an
     hour alone fills files of good size and a day is too much to rewrite per run.
@@ -65,7 +68,7 @@ class Warehouse:
         if parts is not None and len(parts) <= MOST_FOLDERS:
             wanted = f"{path}/{{{','.join(f'{layer.part}={p}' for p in parts)}}}"
         try:
-            df = reader.parquet(wanted).select(*schema.names)
+            df = reader.parquet(wanted).selectExpr(*schema.names, *(["_metadata.file_name as _file"] if name == "raw" else []))
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -76,7 +79,48 @@ class Warehouse:
             df = df.filter(F.col(layer.part) >= since)
         if before is not None:
             df = df.filter(F.col(layer.part) < before)
-        return df
+        return self._standing(df) if name == "raw" else df
+
+    def _standing(self, rows: DataFrame) -> DataFrame:
+        """Raw rows with the marks of the run that took their file; the stored rows never change."""
+        taken = self.read("ledger").groupBy("file").agg(F.min("as_of").alias("_as_of"))
+        joined = rows.join(taken, rows["_file"] == taken["file"], "left").drop("file", "_file")
+        return settled_at(joined, F.col("_as_of")).drop("_as_of")
+
+    def unconsumed(self, since=None) -> list[str]:
+        """The raw files that no run has taken yet, from partition ``since`` on.
+
+        What a run works on is fixed by this list: rows that arrive later are
+        in other files and wait for the next run.
+        """
+        try:
+            stored = self.spark.read.schema(self.schema("raw")).parquet(self.path("raw"))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return []
+        if since is not None:
+            parts = [p for p in (int(row[0]) for row in stored.select(S.LAYERS["raw"].part).distinct().collect())
+                     if p >= since]
+            if not parts:
+                return []
+            stored = self.spark.read.schema(self.schema("raw")).option("basePath", self.path("raw")).parquet(
+                *[f"{self.path('raw')}/{S.LAYERS['raw'].part}={p}" for p in parts])
+        taken = {row[0] for row in self.read("ledger").collect()}
+        return sorted(f for f in stored.inputFiles() if f.rsplit("/", 1)[-1] not in taken)
+
+    def raw_files(self, files: list[str]) -> DataFrame:
+        """The rows of these raw files as they were written."""
+        if not files:
+            return self.spark.range(1).selectExpr(*S.casts(self.schema("raw"), [])).filter("false")
+        return (self.spark.read.schema(self.schema("raw")).option("basePath", self.path("raw")).parquet(*files)
+                .select(*self.schema("raw").names))
+
+    def consume(self, files: list[str], as_of: Instant) -> None:
+        """Notes that a run as of ``as_of`` has taken these files."""
+        if files:
+            names = small_table(self.spark, [(f.rsplit("/", 1)[-1],) for f in files], ["file"])
+            self.append("ledger", names.withColumn("as_of", ntz(as_of)))
 
     def recent(self, name: str, as_of: Instant, lookback: str, floor: str | None = None) -> DataFrame:
         """The partitions an operator with this lookback can need; it still filters rows itself.
@@ -96,9 +140,13 @@ class Warehouse:
         return df.selectExpr(*S.casts(self.schema(name), df.columns))
 
     def parts(self, name: str, df: DataFrame) -> list:
-        """The partitions ``df`` falls into: at most one value per day or hour."""
+        """The partitions ``df`` falls into: at most one value per day or hour.
+
+        Rows read from the layer carry their partition, so no other column is read.
+        """
         part = S.LAYERS[name].part
-        return sorted(row[0] for row in self.placed(name, df).select(part).distinct().collect())
+        placed = df if part in df.columns else self.placed(name, df)
+        return sorted(row[0] for row in placed.select(part).distinct().collect())
 
     def _write(self, name: str, df: DataFrame, mode: str) -> None:
         part = S.LAYERS[name].part

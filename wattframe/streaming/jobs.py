@@ -71,16 +71,17 @@ def stream_energy_delta(raw: DataFrame, wh: Warehouse, checkpoint: str, clock: C
 
 
 def stream_hourly(fact: DataFrame, wh: Warehouse, checkpoint: str, sites: DataFrame | None = None,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, lateness: str = LATENESS) -> StreamingQuery:
     """Stream of readings with deltas to the hourly table.
 
-    Each hour stays open for three hours of event time, the reach of the
-    batch lookback; an updated hour replaces its row.  With ``sites``, hours of
+    Each hour stays open for ``lateness`` of event time, at first the reach of
+    the batch lookback; later readings are left to the batch run or to
+    ``stream_energy_delta`` with rollups, which repair their hour; an updated hour replaces its row.  With ``sites``, hours of
     unknown sites are left out; they are joined once grouped, not per reading.
     """
     _require_utc(fact)
     timed = fact.withColumn("event_time", F.col("reading_time").cast("timestamp"))
-    hours = (timed.withWatermark("event_time", LATENESS)
+    hours = (timed.withWatermark("event_time", lateness)
              .groupBy(*S.DEVICE, F.window("event_time", "1 hour").alias("bucket"))
              .agg(mean_rounded("active_power", 2).alias("avg_power_kw"),
                   F.max("active_power").alias("max_power_kw"),
@@ -119,11 +120,11 @@ def sliding_counts(rows: DataFrame) -> DataFrame:
 
 
 def stream_quality(raw: DataFrame, wh: Warehouse, checkpoint: str,
-                   trigger: dict | None = None) -> StreamingQuery:
-    """Raw stream to violation counts per sliding ingest window."""
+                   trigger: dict | None = None, lateness: str = LATENESS) -> StreamingQuery:
+    """Raw stream to violation counts per sliding ingest window, open for ``lateness``."""
     _require_utc(raw)
     timed = raw.withColumn("event_time", F.col("ingested_at").cast("timestamp"))
-    counts = sliding_counts(timed.withWatermark("event_time", LATENESS))
+    counts = sliding_counts(timed.withWatermark("event_time", lateness))
 
     def step(batch: DataFrame, _: int) -> None:
         wh.merge("quality_windows", wh.stage("quality_batch", wh.placed("quality_windows", batch)))
