@@ -123,6 +123,8 @@ def fit(values: np.ndarray, labels: np.ndarray, penalty: float = 2e-4, steps: in
         p, out = _sigmoid(margin), np.zeros(len(labels))
         _tree(codes, edges, labels - p, p * (1 - p), np.arange(len(labels)), (), DEPTH, found, out)
         margin += RATE * out
+    if not found:
+        return Ensemble(prior, [])
     rules = sorted(found, key=lambda r: (len(r), sorted(r)))
     matrix = np.stack([np.logical_and.reduce([
         (values[:, f] <= v) == low for f, low, v in r]) for r in rules], axis=1).astype(np.float32)
