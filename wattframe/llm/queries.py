@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -69,11 +71,23 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     return corpus_pipeline.run(spark, folder)
 
 
+def _importable(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Lets workers import this library from where the driver has it, whatever folder they start in."""
+    def run(spark: SparkSession, folder: str) -> DataFrame:
+        root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+        paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+        if root not in paths:
+            environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+        return query(spark, folder)
+    return run
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_sharding": op3_sharding, "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup, "op6_classifier": op6_classifier, "op7_simhash": op7_simhash,
     "op8_parsing": op8_parsing, "op9_packing": op9_packing, "op10_suffix": op10_suffix, "pipeline": pipeline,
 }
+QUERIES = {name: _importable(query) for name, query in QUERIES.items()}
 
 ESCAPED = "replace(replace(replace(text, '\\', '\\\\'), '#', '\\#'), '</turn>', '<\\/turn>')"
 
