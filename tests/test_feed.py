@@ -7,7 +7,7 @@ from helpers import rows
 from pyspark.sql import functions as F
 
 from wattframe.functions import safe_double, utc_naive
-from wattframe.sources.feed import CHANNELS, Channel, channel_table, decode_feed, new_since, parse_feed, read_feed
+from wattframe.sources.feed import CHANNELS, Channel, channel_table, decode_feed, feed_rejects, new_since, parse_feed, read_feed
 
 NOW = "2026-03-27 10:20:00"
 
@@ -65,6 +65,32 @@ def test_each_channel_has_its_own_mapping(spark):
         ("D1", D("7.00"), None), ("D2", None, D("7.00"))]
 
 
+def test_entries_are_kept_or_rejected_with_a_reason(spark):
+    time = "2026-03-27T10:00:00Z"
+    payloads = spark.createDataFrame([
+        (972755, response({"created_at": time, "field3": "230"}, {"created_at": "yesterday", "field3": "1e9"},
+                          {"field3": "230"}, {"created_at": time, "field3": "1e9"}, {"created_at": time, "field3": "n/a"})),
+        (1, response({"created_at": "yesterday"}, {})), (972755, response()), (972755, "{}"), (972755, '{"feeds": [null]}'),
+        (None, response({"created_at": time}))], "channel_id long, payload string")
+    feed, channels = parse_feed(payloads), channel_table(spark)
+    assert rows(decode_feed(feed, channels, NOW), "voltage_avg", order=["voltage_avg"]) == [(None,), (D("230.00"),)]
+    made = rows(feed_rejects(feed, channels, NOW), "channel_id", "reason", order=["reason", "channel_id"])
+    assert made == [(972755, "BAD_TIME"), (972755, "BAD_TIME"), (972755, "NUMBER_TOO_LARGE"),
+                    (None, "UNKNOWN_CHANNEL"), (1, "UNKNOWN_CHANNEL"), (1, "UNKNOWN_CHANNEL")]
+
+
+def test_ingest_stores_rejects(spark, tmp_path):
+    from wattframe.plans.ingest import ingest_responses
+    from wattframe.sources.tables import Warehouse
+    tables = Warehouse(spark, str(tmp_path))
+    payloads = spark.createDataFrame([(972755, response(*FEEDS, {"created_at": "?", "field2": "5"}))],
+                                     "channel_id long, payload string")
+    ingest_responses(tables, parse_feed(payloads), channel_table(spark), NOW)
+    assert tables.read("raw").count() == 2
+    assert rows(tables.read("feed_rejects"), "channel_id", "entry", "reason", "ingested_at") == [
+        (972755, '{"created_at":"?","field2":"5"}', "BAD_TIME", datetime(2026, 3, 27, 10, 20))]
+
+
 def test_same_response_gives_same_ids(spark):
     payloads = spark.createDataFrame([(972755, response(*FEEDS))], "channel_id long, payload string")
     once, again = (rows(decode_feed(parse_feed(payloads), channel_table(spark), when), "id") for when in (NOW, "2027-01-01"))

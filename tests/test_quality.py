@@ -27,6 +27,15 @@ def test_reading_checks_count_each_violation(spark):
     assert metric(Q.reading_checks(made, NOW, None))["NULL_POWER"] == 2
 
 
+def test_an_earlier_time_sees_what_had_landed_by_then(spark):
+    made = raw(spark, [{"active_power": None, "ingested_at": DAY + "10:15:00"},
+                       {"active_power": None, "ingested_at": DAY + "10:20:01"}])
+    for lookback in ("2 hours", None):
+        assert metric(Q.reading_checks(made, NOW, lookback))["NULL_POWER"] == 1
+    late = raw(spark, [{"ingested_at": DAY + "10:20:01"}])
+    assert metric(Q.ingestion_gap(devices(spark, ("D1", True)), late, NOW)) == {"INGESTION_GAP": 1}
+
+
 def test_duplicate_keys_with_a_null_member_count(spark):
     made = raw(spark, [{"device_id": None}, {"device_id": None}, {"device_id": "D2"}])
     assert metric(Q.reading_checks(made, NOW))["DUPLICATE_RATE"] == 1

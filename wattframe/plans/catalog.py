@@ -18,15 +18,16 @@ from wattframe.operators.delta import energy_delta
 from wattframe.operators.merge import upsert
 from wattframe.operators.rollup import daily, hourly
 from wattframe.plans import testdata as D
-from wattframe.plans.pipeline import (days_from_raw, hours_from_raw, readings_from_raw, run_pipeline,
+from wattframe.plans.pipeline import (days_from_raw, hours_from_raw, readings_from_raw, run_pipeline, run_quality,
                                       tails_from_raw)
 from wattframe.session import shared_folder, streaming_session
-from wattframe.sources.feed import METER_FIELDS, decode_feed, new_since, parse_feed
+from wattframe.sources.feed import METER_FIELDS, decode_feed, feed_rejects, new_since, parse_feed
 from wattframe.sources.tables import Warehouse
 from wattframe.streaming import jobs
 
 AS_OF = "2024-01-04 00:00:00"
 MIDWAY = "2024-01-03 12:20:00"
+EARLIER = "2024-01-02 08:30:00"
 SITE, DEVICE = 7, 22
 KEY = T.LongType()
 
@@ -136,14 +137,9 @@ def _overlapping(spark, folder):
 
 # Checks
 
-def _landed(spark, folder):
-    """Raw as it stood midway: what had been ingested by then."""
-    return D.raw(spark, folder).filter(F.col("ingested_at") <= ntz(MIDWAY))
-
-
 def _check(name: str, lookback: str | None):
     def query(spark, folder):
-        return Q.reading_checks(_landed(spark, folder), MIDWAY, lookback, [name])
+        return Q.reading_checks(D.raw(spark, folder), MIDWAY, lookback, [name])
     return query
 
 
@@ -152,18 +148,28 @@ def _all_checks(spark, folder):
 
 
 def _gap(spark, folder):
-    return Q.ingestion_gap(D.devices(spark, folder), _landed(spark, folder), MIDWAY)
+    return Q.ingestion_gap(D.devices(spark, folder), D.raw(spark, folder), MIDWAY)
 
 
 def _silent(spark, folder):
-    return Q.silent_devices(D.devices(spark, folder), _landed(spark, folder), MIDWAY).select("device_id", "site_id")
+    return Q.silent_devices(D.devices(spark, folder), D.raw(spark, folder), MIDWAY).select("device_id", "site_id")
 
 
 def _log(spark, folder):
-    log = Q.run_checks(D.devices(spark, folder), _landed(spark, folder), MIDWAY)
+    log = Q.run_checks(D.devices(spark, folder), D.raw(spark, folder), MIDWAY)
     return plain(log.drop("site_id", "device_id"))
 
 
+def _log_stored(spark, folder):
+    """The log table after two runs; each sees what had been ingested by its time."""
+    tables = Warehouse(spark, shared_folder(spark), KEY)
+    tables.append("devices", D.devices(spark, folder))
+    tables.append("raw", D.raw(spark, folder))
+    for tick in (EARLIER, MIDWAY):
+        run_quality(tables, tick)
+    return plain(tables.read("quality_log").drop("site_id", "device_id"))
+
+
 def _anomalies(spark, folder):
     scored = Q.flag_anomalies(D.raw(spark, folder))
     return scored.select("id", "quality_flag", F.round("z", 4).alias("z"))
@@ -247,6 +253,20 @@ def _ingest_feed(spark, folder):
                                 "current_avg", "reactive_power", "is_processed", "quality_flag"))
 
 
+def _ingest_rejects(spark, folder):
+    """Two entries per event: some times and numbers are unreadable, some channels unknown, some feeds missing."""
+    case = F.col("id") % 7
+    stamp = F.date_format("collected_at", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    good = F.struct(stamp.alias("created_at"), F.lit("230").alias("field3"))
+    odd = F.struct(F.when(case == 0, "yesterday").otherwise(stamp).alias("created_at"),
+                   F.when(case == 1, "1e9").otherwise("n/a").alias("field3"))
+    payloads = D.raw(spark, folder).select(
+        F.when(case == 2, -1).otherwise(F.col("device_id")).alias("channel_id"),
+        F.when(case == 3, "{}").otherwise(F.to_json(F.struct(F.array(good, odd).alias("feeds")))).alias("payload"))
+    rejects = feed_rejects(parse_feed(payloads), _channels(spark, folder), AS_OF)
+    return rejects.select("channel_id", F.get_json_object("entry", "$.created_at").alias("created_at"), "reason")
+
+
 def _ingest_incremental(spark, folder):
     raw = D.raw(spark, folder)
     return new_since(raw, raw.filter(F.col("ingested_at") <= ntz(MIDWAY))).select("id", *S.RAW_GRAIN)
@@ -330,6 +350,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dq_ingestion_gap": _gap,
     "dq_silent_devices": _silent,
     "dq_log": _log,
+    "dq_log_stored": _log_stored,
     "flag_anomalies": _anomalies,
     "audit_unique": _audit_unique,
     "audit_orphans": _audit_orphans,
@@ -347,6 +368,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "find_daily_from": _find_daily(start="2024-01-02"),
     "find_daily_to": _find_daily(end="2024-01-02", site_id=SITE),
     "ingest_feed": _ingest_feed,
+    "ingest_rejects": _ingest_rejects,
     "ingest_incremental": _ingest_incremental,
     "stream_clean": _columns(_streaming(_run_clean), *S.FACT_GRAIN, *S.MEASURES, "raw_reading_id"),
     "stream_energy_delta": _columns(_streaming(_run_delta), *S.FACT_GRAIN, "energy_kwh", "energy_delta",
@@ -457,12 +479,18 @@ def _check_metrics(as_of: str) -> dict[str, str]:
     }
 
 
-LANDED = f"ingested_at <= timestamp '{MIDWAY}'"
-RECENT = f"ingested_at > timestamp '{MIDWAY}' - interval '2 hours' and {LANDED}"
-SILENT = f"""from devices d where d.is_active and not exists (
-  select 1 from raw r where r.device_id = d.device_id
-    and r.ingested_at > timestamp '{MIDWAY}' - interval '10 minutes' and r.{LANDED})"""
-GAP_SQL = f"select 'INGESTION_GAP' as check_type, count(distinct device_id) as metric_value {SILENT}"
+def _within(as_of: str, lookback: str) -> str:
+    return f"ingested_at > timestamp '{as_of}' - interval '{lookback}' and ingested_at <= timestamp '{as_of}'"
+
+
+def _silent_sql(as_of: str) -> str:
+    """Active devices, less those heard of."""
+    heard = f"select device_id as heard from raw where {_within(as_of, '10 minutes')} group by device_id"
+    return f"from devices left join ({heard}) on device_id = heard where is_active and heard is null"
+
+
+def _gap_sql(as_of: str) -> str:
+    return f"select 'INGESTION_GAP' as check_type, count(distinct device_id) as metric_value {_silent_sql(as_of)}"
 
 
 def _checks_sql(as_of: str, recent: str) -> str:
@@ -470,17 +498,26 @@ def _checks_sql(as_of: str, recent: str) -> str:
 
 
 def _one_check(name: str) -> str:
-    return _ctes(MIDWAY) + _check_sql(name, _check_metrics(MIDWAY)[name], RECENT)
+    return _ctes(MIDWAY) + _check_sql(name, _check_metrics(MIDWAY)[name], _within(MIDWAY, "2 hours"))
 
 
-def _log_sql() -> str:
-    limits = ", ".join(f"('{c.check_type}', {c.threshold}, '{c.message}')" for c in Q.CHECKS)
-    return _ctes(MIDWAY) + f"""
-select timestamp '{MIDWAY}' as check_time, check_type,
+# Check names, largest passing metrics and messages, written out apart from those under test.
+LIMITS = """
+    ('NULL_POWER', 10, 'Readings with null active_power'),
+    ('NEGATIVE_POWER', 10, 'Readings with negative active_power (sensor wiring error)'),
+    ('VOLTAGE_RANGE', 5, 'Readings with voltage outside 180-260V'),
+    ('FUTURE_TIMESTAMP', 5, 'Readings with collected_at in the future (clock drift)'),
+    ('DUPLICATE_RATE', 20, 'Duplicate readings per (site, device, time) in last 2 hours'),
+    ('INGESTION_GAP', 3, 'Devices with no data in the last 10 minutes')"""
+
+
+def _log_sql(as_of: str) -> str:
+    return _ctes(as_of) + f"""
+select timestamp '{as_of}' as check_time, check_type,
        case when metric_value <= threshold then 'PASS' else 'FAIL' end as status,
        cast(metric_value as double) as metric_value, cast(threshold as double) as threshold_value, message
-from ({_checks_sql(MIDWAY, RECENT)} union all {GAP_SQL})
-join (values {limits}) as limits(check_type, threshold, message) using (check_type)"""
+from ({_checks_sql(as_of, _within(as_of, "2 hours"))} union all {_gap_sql(as_of)})
+join (values {LIMITS}) as limits(check_type, threshold, message) using (check_type)"""
 
 
 def _nulls_sql() -> str:
@@ -518,6 +555,13 @@ select site_id, device_id,
        cast(null as double) as reactive_power, false as is_processed, 'RAW' as quality_flag
 from raw"""
 
+REJECTS_SQL = _ctes(AS_OF) + """
+select case when id % 7 = 2 then -1 else device_id end as channel_id,
+       case when id % 7 = 0 then 'yesterday' else strftime(collected_at, '%Y-%m-%dT%H:%M:%SZ') end as created_at,
+       case id % 7 when 0 then 'BAD_TIME' when 1 then 'NUMBER_TOO_LARGE' else 'UNKNOWN_CHANNEL' end as reason
+from raw, (values (1), (2)) as entries(n)
+where id % 7 = 2 or (id % 7 < 2 and n = 2)"""
+
 INCREMENTAL_SQL = _ctes(AS_OF) + f"""
 select r.id, r.site_id, r.device_id, r.collected_at from raw r
 left join (select site_id, device_id, max(collected_at) as mark from raw
@@ -610,9 +654,10 @@ from fact f left join recent r on f.raw_reading_id = r.raw_reading_id""",
     "dq_future_timestamp": _one_check("FUTURE_TIMESTAMP"),
     "dq_duplicates": _one_check("DUPLICATE_RATE"),
     "dq_all_history": _ctes(AS_OF) + _checks_sql(AS_OF, "true"),
-    "dq_ingestion_gap": _ctes(MIDWAY) + GAP_SQL,
-    "dq_silent_devices": _ctes(MIDWAY) + f"select device_id, site_id {SILENT}",
-    "dq_log": _log_sql(),
+    "dq_ingestion_gap": _ctes(MIDWAY) + _gap_sql(MIDWAY),
+    "dq_silent_devices": _ctes(MIDWAY) + f"select device_id, site_id {_silent_sql(MIDWAY)}",
+    "dq_log": _log_sql(MIDWAY),
+    "dq_log_stored": f"({_log_sql(EARLIER)}) union all ({_log_sql(MIDWAY)})",
     "flag_anomalies": ANOMALY_SQL,
     "audit_unique": _ctes(AS_OF) + """
 select site_id, device_id, collected_at, count(*) as copies from raw
@@ -649,6 +694,7 @@ order by reading_date desc, site_id, device_id limit 500""",
 select {DAYS} from days where site_id = {SITE} and reading_date <= date '2024-01-02'
 order by reading_date desc, site_id, device_id limit 500""",
     "ingest_feed": FEED_SQL,
+    "ingest_rejects": REJECTS_SQL,
     "ingest_incremental": INCREMENTAL_SQL,
     "stream_clean": _ctes(AS_OF) + f"""
 select site_id, device_id, reading_time, raw_reading_id, {MEASURES} from fact""",

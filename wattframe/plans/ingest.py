@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant
-from wattframe.sources.feed import decode_feed, new_since
+from wattframe.sources.feed import decode_feed, feed_rejects, new_since
 from wattframe.sources.tables import Warehouse
 
 
@@ -21,7 +21,9 @@ def ingest_responses(wh: Warehouse, responses: DataFrame, channels: DataFrame, i
     The latest times are kept as a table of one row per device, so the raw
     history is searched for them only the first time.  Should a run fail after
     the append, its repetition appends copies, which deduplication resolves.
+    Entries that can't be readings go to ``feed_rejects`` with their reason.
     """
+    wh.append("feed_rejects", feed_rejects(responses, channels, ingested_at))
     marks = wh.read("high_water")
     if marks.isEmpty():
         marks = _latest(wh.read("raw"))

@@ -107,6 +107,10 @@ def ledger_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("file", STRING), ("as_of", NTZ))
 
 
+def rejects_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("channel_id", LONG), ("entry", STRING), ("reason", STRING), ("ingested_at", NTZ))
+
+
 def windows_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("window_start", NTZ), ("window_end", NTZ), ("null_power", LONG),
                    ("negative_power", LONG), ("voltage_range", LONG), ("future_timestamp", LONG))
@@ -142,6 +146,7 @@ LAYERS = {
         Layer("daily", daily_schema, DAY_GRAIN, None, "reading_date"),
         Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
+        Layer("feed_rejects", rejects_schema, [], "ingested_at", "ingested_part"),
         Layer("high_water", marks_schema, DEVICE),
         Layer("ledger", ledger_schema, ["file"]),
         Layer("sites", sites_schema, ["site_id"]),

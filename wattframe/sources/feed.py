@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -68,28 +69,55 @@ def with_defaults(rows: DataFrame, ingested_at: Instant) -> DataFrame:
                              for name, value in defaults.items()})
 
 
-def decode_feed(responses: DataFrame, channels: DataFrame, ingested_at: Instant) -> DataFrame:
-    """Raw readings from responses; no or empty ``feeds`` gives no rows.
+# Why an entry can't become a reading.
+UNKNOWN_CHANNEL, BAD_TIME, TOO_LARGE = "UNKNOWN_CHANNEL", "BAD_TIME", "NUMBER_TOO_LARGE"
 
-    The channel table is joined, not looped over, and is broadcast only when
-    its size allows.  Columns without a mapped field are NULL.  The id is a
-    digest of the reading, the same whenever the same response is decoded.
-    """
+
+def _entries(responses: DataFrame, channels: DataFrame) -> DataFrame:
+    """Each entry with the place, time and numbers it stands for, and ``reason`` where it can't be a reading."""
     # explode would add a filter on the array size below, parsing each payload again for it.
     entries = (responses.select("channel_id", F.explode_outer("feeds").alias("entry"))
-               .filter(F.col("entry").isNotNull()).join(channels, "channel_id"))
+               .filter(F.col("entry").isNotNull())
+               .join(channels.withColumn("known", F.lit(True)), "channel_id", "left"))
 
-    def measure(name: str) -> Column:
+    def number(name: str) -> Column:
         source = F.try_element_at("source_of", F.lit(name))
-        return safe_double(F.try_element_at("entry", source)).cast(S.MEASURES[name]).alias(name)
+        return safe_double(F.try_element_at("entry", source)).alias(name)
 
-    rows = entries.select("site_id", "device_id",
+    read = entries.select("channel_id", "entry", "known", "site_id", "device_id",
                           utc_naive(F.try_element_at("entry", F.lit("created_at"))).alias("collected_at"),
-                          *map(measure, S.MEASURES))
+                          *map(number, S.MEASURES))
+    too_large = reduce(Column.__or__, [F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+                                       for name, kind in S.MEASURES.items()])
+    return read.withColumn("reason", F.when(F.col("known").isNull(), UNKNOWN_CHANNEL)
+                           .when(F.col("collected_at").isNull(), BAD_TIME).when(too_large, TOO_LARGE))
+
+
+def decode_feed(responses: DataFrame, channels: DataFrame, ingested_at: Instant) -> DataFrame:
+    """Raw readings from responses; no or empty ``feeds`` gives no rows.
+
+    The channel table is joined, not looped over, and is broadcast only when
+    its size allows.  Columns without a mapped field are NULL.  The id is a
+    digest of the reading, the same whenever the same response is decoded.
+    Entries that can't be readings are in ``feed_rejects``.
+    """
+    rows = _entries(responses, channels).filter(F.col("reason").isNull()).select(
+        "site_id", "device_id", "collected_at",
+        *[F.col(name).try_cast(kind).alias(name) for name, kind in S.MEASURES.items()])
     rows = rows.withColumn("id", F.xxhash64(*rows.columns))
     return with_defaults(rows, ingested_at).select(*S.raw_schema().names)
 
 
+def feed_rejects(responses: DataFrame, channels: DataFrame, ingested_at: Instant) -> DataFrame:
+    """The entries that ``decode_feed`` leaves out, as JSON with the reason.
+
+    Unknown channel, no readable time, or a number too large for its column;
+    the first of these counts.  A number that can't be read is NULL, not a reason.
+    """
+    return _entries(responses, channels).filter(F.col("reason").isNotNull()).select(
+        "channel_id", F.to_json("entry").alias("entry"), "reason", ntz(ingested_at).alias("ingested_at"))
+
+
 def new_since(batch: DataFrame, existing: DataFrame, keys: list[str] = S.DEVICE,
               time: str = "collected_at") -> DataFrame:
     """Rows of ``batch`` later than the latest ``existing`` row of their key.
