@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattframe.llm import linededup, packing, quality, simhash, suffix
-from wattframe.llm.common import documents, staged
+from wattframe.llm.common import documents, row_key, staged
 
 
 def _with_text(docs: DataFrame, text, source: str = "row") -> DataFrame:
@@ -19,9 +19,10 @@ def _with_text(docs: DataFrame, text, source: str = "row") -> DataFrame:
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the rules; rows that share a doc_id stay if each of them passes."""
-    failed = quality.judged(docs, ["doc_id"]).where("not kept").select("doc_id").distinct()
-    return docs.join(failed, docs["doc_id"].eqNullSafe(failed["doc_id"]), "left_anti")
+    """Rows that pass the rules, each judged by its own text and language, whatever ids there are."""
+    keyed = docs.withColumn("_key", row_key(docs, "lang"))
+    failed = quality.judged(keyed, ["_key"]).where("not kept").select("_key").distinct()
+    return keyed.join(failed, "_key", "left_anti").select(*docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +31,10 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near copies."""
-    kept = simhash.near_duplicates(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = staged(kept.select("doc_id").distinct(), "kept")
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["doc_id"]), "left_semi").dropDuplicates(["doc_id"])
+    """One row of each group of near copies, that of the smallest id; unlike texts stay, also without or with equal ids."""
+    kept = staged(simhash.first_rows(docs).withColumnRenamed("key", "_key"), "kept")
+    return (docs.withColumn("_key", row_key(docs)).join(kept, "_key", "left_semi")
+            .dropDuplicates(["_key"]).select(*docs.columns))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

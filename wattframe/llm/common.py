@@ -34,6 +34,16 @@ def with_text(docs: DataFrame, encoded: bool = False) -> DataFrame:
                        (text.cast("binary") if encoded else text).alias("text"))
 
 
+def row_key(docs: DataFrame, *more: str, source: str = "") -> Column:
+    """doc_id, a digest of the text (null: empty) and of the columns ``more`` as one value that is never null."""
+    def of(name: str) -> Column:
+        return F.col(f"{source}{name}")
+
+    digests = [F.md5(F.coalesce(of("text").cast("string"), F.lit("")).cast("binary"))]
+    digests += [F.coalesce(F.md5(of(c).cast("string").cast("binary")), F.lit("-")) for c in more if c in docs.columns]
+    return F.concat_ws("/", F.coalesce(of("doc_id").cast("long").cast("string"), F.lit("-")), *digests)
+
+
 def ranked(df: DataFrame, groups: list[str], order: list[str], rows: int, per: int = 5000) -> DataFrame:
     """Adds ``rank``, gapless from 0 within each group, without a sort of a whole group.
 

@@ -27,7 +27,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattframe.llm.common import components, hex16, staged, thinned, with_text
+from wattframe.llm.common import components, hex16, row_key, staged, thinned, with_text
 
 WIDTH = 4  # words in a shingle
 SEED = 42
@@ -54,16 +54,22 @@ def fingerprint(text: bytes, width: int = WIDTH) -> int:
     return sum(1 << k for k in np.flatnonzero(2 * ones > len(hashes)).tolist())
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """(doc_id, fp) for each row; fp is the signed form of the 64 bits."""
+def _printed(rows: DataFrame, names: str) -> DataFrame:
+    """The columns of ``rows`` but the last, which is the encoded text, and its fingerprint ``fp``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values = [fingerprint(x.as_buffer().to_pybytes()) for x in batch.column(1)]
+            *others, texts = batch.columns
+            values = [fingerprint(x.as_buffer().to_pybytes()) for x in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(np.array(values, np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [*others, pa.array(np.array(values, np.uint64).view(np.int64))], [*batch.schema.names[:-1], "fp"])
 
-    return with_text(docs, encoded=True).mapInArrow(run, "doc_id long, fp long")
+    return rows.mapInArrow(run, f"{names}, fp long")
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """(doc_id, fp) for each row; fp is the signed form of the 64 bits."""
+    return _printed(with_text(docs, encoded=True), "doc_id long")
 
 
 def _signed(value: int) -> int:
@@ -122,11 +128,31 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     it (then null).  An empty table gives an empty result.
     """
     marked = staged(fingerprints(docs), "fingerprints")
-    fps = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps")
+    named = _named(staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "fps"))
+    return marked.join(named, "fp").select("doc_id", "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def first_rows(docs: DataFrame) -> DataFrame:
+    """(key): the ``row_key`` of one row of each component, whatever ids its rows have or share.
+
+    It is the row of the smallest doc_id, rows without one come last, and of
+    unlike texts with this doc_id that of the smallest digest.
+    """
+    plain = with_text(docs)
+    texts = plain.select("doc_id", row_key(plain).alias("key"), F.col("text").cast("binary").alias("text"))
+    marked = staged(_printed(texts, "doc_id long, key string"), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("lacks"), "doc_id", "key")
+    fps = staged(marked.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(order).alias("row")), "fps")
+    named = _named(fps.select("fp", "first"))
+    return fps.join(named, "fp").groupBy("root").agg(F.min("row").alias("row")).select("row.key")
+
+
+def _named(fps: DataFrame) -> DataFrame:
+    """(fp, root, component_id) from (fp, first): root tells components apart, component_id is their smallest ``first``."""
     roots = components(thinned(near_pairs(fps.select("fp"))))
     joined = fps.join(roots.withColumnRenamed("node", "fp"), "fp")
     least = joined.groupBy("root").agg(F.min("first").alias("linked"))
-    linked = staged(joined.join(least, "root").select("fp", "linked"), "linked")
-    lone = fps.join(linked, "fp", "left").select("fp", F.coalesce("linked", "first").alias("component_id"))
-    named = staged(lone, "named")
-    return marked.join(named, "fp").select("doc_id", "fp", hex16(F.col("fp")).alias("fingerprint"), "component_id")
+    linked = staged(joined.join(least, "root").select("fp", "root", "linked"), "linked")
+    lone = fps.join(linked, "fp", "left").select("fp", F.coalesce("root", "fp").alias("root"),
+                                                 F.coalesce("linked", "first").alias("component_id"))
+    return staged(lone, "named")
