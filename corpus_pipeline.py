@@ -39,12 +39,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without byte strings that stand in an earlier one; a cut character goes whole."""
-    changed = suffix.deduplicated(docs, "kept binary, n_removed long", lambda text, removed: (
+    changed = suffix.deduplicated(docs, "kept binary, n_removed long, text binary", lambda text, removed: (
         suffix.kept_bytes(text, removed).decode("utf-8", "ignore").encode(),
-        sum(b - a for a, b in removed))).where("n_removed > 0").select(
-        F.col("doc_id").alias("_id"), F.col("kept").cast("string").alias("kept"))
-    rows = docs.select(F.struct("*").alias("row")).withColumn("_id", F.col("row.doc_id").cast("long"))
-    joined = rows.join(changed, "_id", "left").drop("_id")
+        sum(b - a for a, b in removed), text if removed else None)).where("n_removed > 0")
+    changed = changed.select(row_key(changed).alias("_key"), F.col("kept").cast("string").alias("kept"))
+    rows = docs.select(F.struct("*").alias("row")).withColumn("_key", row_key(docs, source="row."))
+    joined = rows.join(changed.dropDuplicates(["_key"]), "_key", "left").drop("_key")
     return _with_text(joined, F.coalesce("kept", "row.text"))
 
 

@@ -145,7 +145,7 @@ def _combine(docs: np.ndarray, key: np.ndarray, **more: np.ndarray) -> pa.Record
 
 
 NAMED = "key long, doc_id long, known long, later boolean"
-PLACED = NAMED + ", check long, at long"
+PLACED = NAMED + ", check long, at long, tag long"
 
 
 def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,13 +163,13 @@ def _anchor_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 HALF = (LENGTH - SHORT) // 2
-BLOCK = "name long, block long, doc_id long, span long, before int, after int"
+BLOCK = "name long, block long, doc_id long, span long, tag long, before int, after int"
 
 
 def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of each wanted anchor its block, its strings (first, place, number) and its longer names on either side."""
     digest = xxhash.xxh3_64_intdigest
-    for doc_ids, names, texts in rows_of(batches, CHUNK):
+    for doc_ids, tags, names, texts in rows_of(batches, CHUNK):
         marks = np.concatenate([_mix(np.array(n, np.int64).view(np.uint64) ^ _mix(np.full(len(n), i + 1, np.uint64)))
                                 for i, n in enumerate(names)])
         rows = []
@@ -180,27 +180,29 @@ def _block_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for name, i, j, a, b in zip(anchors.name[chosen].view(np.int64).tolist(), anchors.text[chosen].tolist(),
                                         *[x.tolist() for x in anchors.bounds(chosen)]):
                 text = texts[i]
-                rows.append((name, _signed(digest(text[a:b + LENGTH])), doc_ids[i], a << 16 | (j - a) << 8 | (b - a),
+                rows.append((name, _signed(digest(text[a:b + LENGTH])), doc_ids[i], a << 16 | (j - a) << 8 | (b - a), tags[i],
                              digest(text[j - HALF:j + SHORT]) >> 33 if a <= j - HALF else None,
                              digest(text[j:j + SHORT + HALF]) >> 33 if b > j - HALF else None))
         if rows:
             yield pa.RecordBatch.from_arrays(
-                [pa.array(x, pa.int64() if k < 4 else pa.int32()) for k, x in enumerate(zip(*rows))],
+                [pa.array(x, pa.int64() if k < 5 else pa.int32()) for k, x in enumerate(zip(*rows))],
                 [f.split()[0] for f in BLOCK.split(", ")])
 
 
 def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     digest, lower = xxhash.xxh3_128_intdigest, (1 << 64) - 1
-    for doc_ids, spans, texts in rows_of(batches, CHUNK):
-        docs, at, keys = [], [], []
-        for doc_id, own, text in zip(doc_ids, spans, texts):
+    for doc_ids, tags, spans, texts in rows_of(batches, CHUNK):
+        docs, at, keys, marks = [], [], [], []
+        for doc_id, tag, own, text in zip(doc_ids, tags, spans, texts):
             places = [i for span in own for i in range(span >> 8, (span >> 8) + (span & 255) + 1)]
             keys += [digest(text[i:i + LENGTH]) for i in places]
             at += places
             docs += [doc_id] * len(places)
+            marks += [tag] * len(places)
         if docs:
             yield _combine(np.array(docs, np.int64), np.array([k >> 64 for k in keys], np.uint64),
-                           check=np.array([k & lower for k in keys], np.uint64), at=np.array(at, np.int64))
+                           check=np.array([k & lower for k in keys], np.uint64), at=np.array(at, np.int64),
+                           tag=np.array(marks, np.int64))
 
 
 def removed_runs(size: int, spans: list | None) -> list[tuple[int, int]]:
@@ -220,15 +222,15 @@ def repeats(docs: DataFrame) -> DataFrame:
 
     Null and empty texts have no repeats.  Rows without doc_id are no smaller and
     no larger than any: they lose nothing and no other loses by them.  Rows that
-    share a doc_id count as one document: none repeats another, and strings
-    removed from one of them are removed at the same places of the others only
-    if they stand there too.  All decisions are made on the input.
+    share a doc_id count as one document, so none repeats another, but each text
+    has its own strings to remove.  All decisions are made on the input.
     """
     spark = docs.sparkSession
     # The texts are stored once by doc_id, so that no later step moves them.
     table = f"texts_{uuid.uuid4().hex}"
     parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    (with_text(docs, encoded=True).withColumn("same", F.unhex(F.md5("text"))).repartition(parts, "doc_id")
+    (with_text(docs, encoded=True).withColumn("same", F.unhex(F.md5("text")))
+     .withColumn("tag", F.xxhash64("text")).repartition(parts, "doc_id")
      .write.bucketBy(parts, "doc_id").option("path", f"{shared_folder(spark)}/{table}")
      .option("compression", "zstd").saveAsTable(table))
     texts = spark.table(table)
@@ -238,6 +240,13 @@ def repeats(docs: DataFrame) -> DataFrame:
     copies = staged(texts.select("doc_id", "same").join(owners, "same").where("owner < doc_id")
                     .groupBy("doc_id").agg(F.collect_set("same").alias("copies")), "copies")
     marked = texts.join(copies, "doc_id", "left")
+
+    def with_own(rows: DataFrame, found: DataFrame, how: str) -> DataFrame:
+        """Rows with what was found for their doc_id and text; a join on both keys would move the stored texts."""
+        other = found.withColumnsRenamed({"doc_id": "_id", "tag": "_tag"})
+        own = (F.col("doc_id") == F.col("_id")) & (F.col("tag").bitwiseXOR(F.col("_tag")) == 0)
+        return rows.join(other, own, how).drop("_id", "_tag")
+
     fresh = marked.where("not coalesce(array_contains(copies, same), false)")
     found = fresh.select("doc_id", "text").mapInArrow(_anchor_rows, NAMED).select("key", "doc_id", "known")
     group = Window.partitionBy("key")
@@ -245,7 +254,7 @@ def repeats(docs: DataFrame) -> DataFrame:
             .where("known is not null or low < high")
             .select("doc_id", F.coalesce("known", "key").alias("name")))
     names = staged(left.groupBy("doc_id").agg(F.collect_set("name").alias("names")), "names")
-    held = staged(fresh.join(names, "doc_id").select("doc_id", "names", "text").mapInArrow(_block_rows, BLOCK), "blocks")
+    held = staged(fresh.join(names, "doc_id").select("doc_id", "tag", "names", "text").mapInArrow(_block_rows, BLOCK), "blocks")
     first = staged(held.groupBy("name", "block").agg(
         F.min("doc_id").alias("owner"), F.min("before").alias("before"), F.min("after").alias("after")), "first")
     either = [first.where(f"{side} is not null").groupBy("name", side).agg(F.count("*").alias("n"))
@@ -256,18 +265,18 @@ def repeats(docs: DataFrame) -> DataFrame:
     number = F.col("span").bitwiseAND(F.lit(255))
     start = F.when(F.col("before_met"), 0).otherwise(F.greatest(F.lit(0), place - (HALF - 1)))
     end = F.when(F.col("after_met"), number).otherwise(F.least(number, place - HALF))
-    asked = staged(held.join(opened, ["name", "block"]).where("doc_id = owner").groupBy("doc_id").agg(F.collect_set(
+    asked = staged(held.join(opened, ["name", "block"]).where("doc_id = owner").groupBy("doc_id", "tag").agg(F.collect_set(
         F.shiftleft(low + start, 8).bitwiseOR(end - start)).alias("asked")), "asked")
-    strings = fresh.join(asked, "doc_id").select("doc_id", "asked", "text").mapInArrow(_string_rows, PLACED)
+    strings = with_own(fresh, asked, "inner").select("doc_id", "tag", "asked", "text").mapInArrow(_string_rows, PLACED)
     whole = Window.partitionBy("key", "check")
     again = (strings.withColumn("low", F.min("doc_id").over(whole)).where("later or low < doc_id")
-             .select("doc_id", F.shiftleft("at", 8).alias("span")))
+             .select("doc_id", "tag", F.shiftleft("at", 8).alias("span")))
     settled = (held.join(first.select("name", "block", "owner"), ["name", "block"]).where("owner < doc_id")
-               .select("doc_id", F.shiftleft(low, 8).bitwiseOR(number).alias("span")))
-    spans = staged(staged(again, "again").union(settled).groupBy("doc_id").agg(
+               .select("doc_id", "tag", F.shiftleft(low, 8).bitwiseOR(number).alias("span")))
+    spans = staged(staged(again, "again").union(settled).groupBy("doc_id", "tag").agg(
         F.collect_set("span").alias("spans")), "spans")
     copy = F.coalesce(F.array_contains("copies", F.col("same")), F.lit(False))
-    return marked.join(spans, "doc_id", "left").select("doc_id", copy.alias("copy"), "spans", "text")
+    return with_own(marked, spans, "left").select("doc_id", copy.alias("copy"), "spans", "text")
 
 
 def deduplicated(docs: DataFrame, fields: str, row: Callable[[bytes, list[tuple[int, int]]], tuple]) -> DataFrame:
