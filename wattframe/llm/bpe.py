@@ -28,7 +28,7 @@ CHUNK = 24 << 20  # bytes of text whose new pieces are encoded together
 MOST_KNOWN = 1_000_000  # pieces kept by a worker; beyond it the memory starts anew
 
 #: A word starts at each of these cuts, whatever stands around them.
-CUT = re.compile(r"[ \n]?[^ \n]+|[ \n]+(?=[ \n])|[ \n]+")
+CUT = re.compile(r"[ \n]?[^ \n]+|[ \n]+(?![^ \n])|[ \n]+")
 OTHER_SPACE = re.compile(r"[^\S \n]")
 
 
