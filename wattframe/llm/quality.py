@@ -3,8 +3,9 @@
 A text is compared with the reference of its language by the Jensen-Shannon
 distance of two histograms: classes of characters, and common words.  The
 references are sums over all documents of the language.  Short texts have
-ragged histograms, so each distance counts only above a minimum length, and a
-language with few documents gives no reference.
+ragged histograms, so the limit for common words widens as texts get shorter,
+classes of characters count only above a minimum length, and a language with
+few documents gives no reference.
 """
 
 from __future__ import annotations
@@ -28,7 +29,8 @@ SIZE = 12
 LEAST_WORDS = 50
 MOST_REPEATED = 50  # percent of words in repeated windows
 LEAST_CHARS = 200  # below, character classes are not judged
-LEAST_COUNT = 150  # words below which common words are not judged
+FULL_COUNT = 100  # words; a shorter text may be further from the reference in its common words
+SLACK = 0.0008  # by so much for each word that it lacks
 LEAST_DOCS = 20  # documents that make a reference
 CHAR_LIMIT = 0.30
 WORD_LIMIT = 0.24
@@ -139,14 +141,15 @@ def judged(docs: DataFrame, carry: list[str]) -> DataFrame:
     s = F.col("stats")
     chars = js_distance(_full(s["classes"], s["n_chars"]), F.col("char_ref"))
     words = js_distance(_full(s["common"], s["n_words"]), F.col("word_ref"))
+    word_limit = F.lit(WORD_LIMIT) + F.lit(SLACK) * F.greatest(F.lit(0), FULL_COUNT - s["n_words"])
     return (joined
             .withColumn("char_distance", F.when(s["n_chars"] >= LEAST_CHARS, chars))
-            .withColumn("word_distance", F.when(s["n_words"] >= LEAST_COUNT, words))
+            .withColumn("word_distance", F.when(s["n_words"] >= LEAST_WORDS, words))
             .withColumn("base_failed", (s["n_words"] < LEAST_WORDS)
                         | (100 * s["n_repeat_words"] > MOST_REPEATED * s["n_words"]))
             .withColumn("kept", ~F.col("base_failed")
                         & (F.coalesce("char_distance", F.lit(0.0)) <= CHAR_LIMIT)
-                        & (F.coalesce("word_distance", F.lit(0.0)) <= WORD_LIMIT))
+                        & (F.coalesce("word_distance", F.lit(0.0)) <= word_limit))
             .select(*carry, *[s[c].alias(c) for c in
                               ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
                     "char_distance", "word_distance", "base_failed", "kept"))
