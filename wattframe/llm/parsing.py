@@ -57,7 +57,8 @@ def _next_level(names: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.nd
     label = names
     for _ in range(TOSSES):
         label = _toss(label, start)
-    before, after = np.concatenate((label[:1], label[:-1])), np.concatenate((label[1:], label[-1:]))
+    # as at the start of a text, so that a last symbol is cut alike whatever text follows or none
+    before, after = np.concatenate((label[:1], label[:-1])), np.concatenate((label[1:], np.zeros(1, label.dtype)))
     cut = start | ((label < before) & (label <= after))
     at = np.flatnonzero(cut)
     inside = (np.arange(len(names)) - np.repeat(at, np.diff(np.append(at, len(names))))).astype(np.uint64)
