@@ -110,6 +110,14 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -40, 40)))
 
 
+def _unlike(matrix: np.ndarray) -> list[int]:
+    """The first of each set of columns that are equal in all rows."""
+    first: dict[bytes, int] = {}
+    for i, column in enumerate(np.packbits(matrix.astype(bool), axis=0).T):
+        first.setdefault(column.tobytes(), i)
+    return list(first.values())
+
+
 def fit(values: np.ndarray, labels: np.ndarray, penalty: float = 2e-4, steps: int = 400) -> Ensemble:
     """Trees by boosting, their paths as rules, rule weights by lasso logistic regression."""
     rate = np.clip(labels.mean() if len(labels) else 0.5, 0.01, 0.99)
@@ -128,8 +136,8 @@ def fit(values: np.ndarray, labels: np.ndarray, penalty: float = 2e-4, steps: in
     rules = sorted(found, key=lambda r: (len(r), sorted(r)))
     matrix = np.stack([np.logical_and.reduce([
         (values[:, f] <= v) == low for f, low, v in r]) for r in rules], axis=1).astype(np.float32)
-    unlike = np.unique(matrix[:2000], axis=1, return_index=True)[1] if len(labels) > 2000 else np.arange(len(rules))
-    rules, matrix = [rules[i] for i in sorted(unlike)], matrix[:, sorted(unlike)]
+    unlike = _unlike(matrix)
+    rules, matrix = [rules[i] for i in unlike], matrix[:, unlike]
     mean = matrix.mean(axis=0)
     spread = np.maximum(matrix.std(axis=0), 0.05)
     scaled = (matrix - mean) / spread
