@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.llm import (bpe, chat, classifier, linededup, packing, parsing, quality, sharding, simhash, suffix,
-                           whitening)
+from wattframe.llm import (alignment, bpe, chat, classifier, linededup, packing, parsing, quality, sharding, simhash,
+                           suffix, whitening)
 from wattframe.llm.common import documents
 
 
@@ -66,6 +66,11 @@ def op10_suffix(spark: SparkSession, folder: str) -> DataFrame:
     return suffix.deduplicated(documents(spark, folder), suffix.DIGEST, suffix.digest_row)
 
 
+def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.aligned(documents(spark, folder), public_tokenizers.path("byte_bpe_50k.json"),
+                             public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -91,7 +96,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_sharding": op3_sharding, "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup, "op6_classifier": op6_classifier, "op7_simhash": op7_simhash,
     "op8_parsing": op8_parsing, "op9_packing": op9_packing, "op10_suffix": op10_suffix,
-    "op13_whitening": op13_whitening, "pipeline": pipeline,
+    "op11_alignment": op11_alignment, "op13_whitening": op13_whitening, "pipeline": pipeline,
 }
 QUERIES = {name: _importable(query) for name, query in QUERIES.items()}
 
