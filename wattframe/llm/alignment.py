@@ -30,8 +30,9 @@ from wattframe.llm.bpe import byte_symbols
 from wattframe.llm.common import rows_of, staged, with_text
 
 UNIT = re.compile(r"(?<=\S)(?= \S)")
-CHUNK = 32 << 20  # bytes of text whose distinct units are aligned together
-AT_ONCE = 4 << 20  # characters of units encoded at a time
+CHUNK = 24 << 20  # characters of text whose distinct units share a dictionary
+AT_ONCE = 1 << 19  # characters of units encoded and aligned at a time; a longer unit stands alone
+RUN = 4096  # characters of units that B encodes as one text
 B_BITS = 20
 
 
@@ -77,6 +78,41 @@ def _refined(coarse: np.ndarray, at: np.ndarray, lengths: np.ndarray, first: np.
     return base + total - past
 
 
+def _sound(ids: np.ndarray, of: np.ndarray, ends: np.ndarray, sizes: np.ndarray, names: list[bytes],
+           lengths: np.ndarray, data: bytes, bounds: np.ndarray) -> np.ndarray:
+    """Which units the bytes of their tokens spell out, span by span."""
+    joined = b"".join(map(names.__getitem__, ids.tolist()))
+    total = np.cumsum(lengths[ids])
+    if joined == data and np.array_equal(total, ends) and len(np.unique(of)) == len(sizes) \
+            and np.array_equal(total[np.cumsum(sizes) - 1], bounds):
+        return np.ones(len(sizes), bool)
+    sound, token, byte = np.zeros(len(sizes), bool), 0, 0
+    starts = np.append(0, bounds).tolist()
+    for i, n in enumerate(sizes.tolist()):
+        own = lengths[ids[token:token + n]]
+        size = int(own.sum())
+        sound[i] = n > 0 and joined[byte:byte + size] == data[starts[i]:starts[i + 1]] and np.array_equal(
+            starts[i] + np.cumsum(own), ends[token:token + n])
+        token, byte = token + n, byte + size
+    return sound
+
+
+def _runs(units: list[str]) -> Iterator[tuple[int, int]]:
+    """Bounds of units that B may encode as one text: none has a mark of its own or a blank at its end."""
+    low, size = 0, 0
+    for i, unit in enumerate(units):
+        alone = "▁" in unit or unit[-1] == " "
+        if (alone or size >= RUN) and low < i:
+            yield low, i
+            low, size = i, 0
+        size += len(unit)
+        if alone:
+            yield i, i + 1
+            low, size = i + 1, 0
+    if low < len(units):
+        yield low, len(units)
+
+
 class Units:
     """Distinct units, one after another: tokens, groups and links of each."""
 
@@ -84,10 +120,9 @@ class Units:
         data = "".join(units).encode()
         chars = np.append(np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), len(data))
         last_char = np.cumsum([len(u) for u in units], dtype=np.int64)
-        self.ends = chars[last_char]
-        starts = np.append(0, self.ends[:-1])
-        a_ids, a_of, a_ends, a_sound = self._spans_a(units, t, data, chars, last_char, starts)
-        b_ids, b_of, b_ends, b_sound = self._spans_b(units, t, data, starts)
+        bounds = chars[last_char]
+        a_ids, a_of, a_ends, a_sound = self._spans_a(units, t, data, chars, last_char, bounds)
+        b_ids, b_of, b_ends, b_sound = self._spans_b(units, t, data, bounds)
         count = len(units)
         self.sound = a_sound & b_sound
         keep_a, keep_b = self.sound[a_of], self.sound[b_of]
@@ -99,73 +134,46 @@ class Units:
         self.links = a_ids[in_a] << B_BITS | b_ids[in_b]
         self.n_links = np.bincount(a_of[in_a], minlength=count)
         cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
-        self.n_groups = np.bincount(np.searchsorted(self.ends, cuts), minlength=count)
+        self.n_groups = np.bincount(np.searchsorted(bounds, cuts), minlength=count)
         self.reports = self._reports(t, a_ids, a_ends, b_ids, b_ends, cuts)
 
     def _spans_a(self, units: list[str], t: Tokenizers, data: bytes, chars: np.ndarray, last_char: np.ndarray,
-                 starts: np.ndarray) -> tuple[np.ndarray, ...]:
-        ids, offsets, sizes, held, size = [], [], [], [], 0
-        for i, unit in enumerate(units):
-            held.append(unit)
-            size += len(unit)
-            if size >= AT_ONCE or i + 1 == len(units):
-                for encoding in t.a.encode_batch(held, add_special_tokens=False):
-                    own = encoding.ids
-                    ids += own
-                    offsets += encoding.offsets
-                    sizes.append(len(own))
-                held, size = [], 0
-        ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
+                 bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        ids, offsets, sizes = [], [], []
+        for encoding in t.a.encode_batch(units, add_special_tokens=False):
+            own = encoding.ids
+            ids += own
+            offsets += encoding.offsets
+            sizes.append(len(own))
+        ids, sizes, starts = np.array(ids, np.int64), np.array(sizes, np.int64), np.append(0, bounds[:-1])
         of = np.repeat(np.arange(len(units)), sizes)
         spans = np.array(offsets, np.int64).reshape(-1, 2) + (last_char - np.array([len(u) for u in units], np.int64))[of][:, None]
         first = np.append(True, of[1:] != of[:-1])[:len(of)]
         last = np.append(of[1:] != of[:-1], True)[:len(of)]
         coarse = last | (np.append(spans[1:, 0], 0)[:len(of)] >= spans[:, 1])
         ends = _refined(coarse, chars[spans[:, 1]], t.a_length[ids], first, starts[of])
-        return ids, of, ends, self._sound(ids, of, ends, sizes, t.a_bytes, t.a_length, data)
-
-    def _spans_b(self, units: list[str], t: Tokenizers, data: bytes, starts: np.ndarray) -> tuple[np.ndarray, ...]:
-        ids, ends, sizes, held, size = [], [], [], [], 0
-        for i, unit in enumerate(units):
-            held.append(unit[1:])  # the library puts a blank in front
-            size += len(unit)
-            if size >= AT_ONCE or i + 1 == len(units):
-                for proto in t.b.encode(held, return_type="proto", num_threads=1):
-                    pieces = proto.pieces
-                    ids += [p.id for p in pieces]
-                    ends += [p.end for p in pieces]
-                    sizes.append(len(pieces))
-                held, size = [], 0
-        ids, sizes = np.array(ids, np.int64), np.array(sizes, np.int64)
-        of = np.repeat(np.arange(len(units)), sizes)
+        return ids, of, ends, _sound(ids, of, ends, sizes, t.a_bytes, t.a_length, data, bounds)
+
+    def _spans_b(self, units: list[str], t: Tokenizers, data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+        ids, ends, starts = [], [], np.append(0, bounds[:-1])
+        for low, high in _runs(units):
+            pieces = t.b.encode("".join(units[low:high])[1:], return_type="proto").pieces  # the library adds a blank
+            ids += [p.id for p in pieces]
+            ends.append(np.array([p.end for p in pieces], np.int64) + 1 + starts[low])
+        ids, at = np.array(ids, np.int64), np.concatenate([np.empty(0, np.int64), *ends])
+        # Of the fallback bytes of a character only the last has a span; the others end where it begins.
+        empty = t.b_byte[ids] & (np.append(-1, at[:-1])[:len(at)] == at)
+        of = np.searchsorted(bounds, at - 1 + empty, side="right")
         first = np.append(True, of[1:] != of[:-1])[:len(of)]
-        at = starts[of] + np.array(ends, np.int64) + 1
         ends = _refined(~t.b_byte[ids], at, t.b_length[ids], first, starts[of])
-        return ids, of, ends, self._sound(ids, of, ends, sizes, t.b_bytes, t.b_length, data)
-
-    def _sound(self, ids: np.ndarray, of: np.ndarray, ends: np.ndarray, sizes: np.ndarray, names: list[bytes],
-               lengths: np.ndarray, data: bytes) -> np.ndarray:
-        """Which units the bytes of their tokens spell out, span by span."""
-        joined = b"".join(map(names.__getitem__, ids.tolist()))
-        total = np.cumsum(lengths[ids])
-        if joined == data and np.array_equal(total, ends) and len(np.unique(of)) == len(sizes) \
-                and np.array_equal(total[np.cumsum(sizes) - 1], self.ends):
-            return np.ones(len(sizes), bool)
-        sound, token, byte = np.zeros(len(sizes), bool), 0, 0
-        bounds = np.append(0, self.ends).tolist()
-        for i, n in enumerate(sizes.tolist()):
-            own = lengths[ids[token:token + n]]
-            size = int(own.sum())
-            sound[i] = n > 0 and joined[byte:byte + size] == data[bounds[i]:bounds[i + 1]] and np.array_equal(
-                bounds[i] + np.cumsum(own), ends[token:token + n])
-            token, byte = token + n, byte + size
-        return sound
+        sizes = np.bincount(of, minlength=len(units))
+        return ids, of, ends, _sound(ids, of, ends, sizes, t.b_bytes, t.b_length, data, bounds)
 
     def _reports(self, t: Tokenizers, a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray,
                  cuts: np.ndarray) -> list[str]:
         """`a1,a2|b1;` for each group of a unit."""
         if not len(cuts):
-            return [""] * len(self.ends)
+            return [""] * len(self.n_a)
         group_a, group_b = np.searchsorted(cuts, a_ends), np.searchsorted(cuts, b_ends)
         many_a, many_b = np.bincount(group_a), np.bincount(group_b)
         before_a, before_b = np.cumsum(many_a), np.cumsum(many_b) - many_b
@@ -178,6 +186,22 @@ class Units:
         return ["".join(parts[i:j]) for i, j in zip(bounds, bounds[1:])]
 
 
+class Aligned:
+    """The figures of all units of a chunk, made for AT_ONCE characters at a time."""
+
+    def __init__(self, units: list[str], t: Tokenizers):
+        parts, held, size = [], [], 0
+        for i, unit in enumerate(units):
+            held.append(unit)
+            size += len(unit)
+            if size >= AT_ONCE or i + 1 == len(units):
+                parts.append(Units(held, t))
+                held, size = [], 0
+        self.reports = [r for p in parts for r in p.reports]
+        for name, kind in (("sound", bool), *((n, np.int64) for n in ("n_a", "n_b", "n_groups", "n_links", "links"))):
+            setattr(self, name, np.concatenate([np.empty(0, kind), *[getattr(p, name) for p in parts]]))
+
+
 STATED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 ROWS = f"chunk long, {STATED}, units array<int>, sizes array<int>, links array<int>, code int, pair long, count long"
 
@@ -193,7 +217,7 @@ def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], units: list[str]
             [pa.array([chunk] * size, pa.int64()) if n == "chunk" else pa.array(columns[n], kinds[k]) if n in columns
              else pa.nulls(size, kinds[k]) for n, k in fields], [n for n, _ in fields])
 
-    u = Units(units, t)
+    u = Aligned(units, t)
     met = np.zeros(len(units), np.int64)
     rows = {n: [] for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units")}
     for doc_id, own in zip(ids, codes):
