@@ -10,8 +10,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattframe.llm import (alignment, bpe, chat, classifier, linededup, packing, parsing, quality, sharding, simhash,
-                           suffix, whitening)
+from wattframe.llm import (alignment, bpe, chat, classifier, linededup, minhash, packing, parsing, quality, sharding,
+                           simhash, suffix, whitening)
 from wattframe.llm.common import documents
 
 
@@ -71,6 +71,10 @@ def op11_alignment(spark: SparkSession, folder: str) -> DataFrame:
                              public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op12_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return minhash.near_duplicates(documents(spark, folder))
+
+
 def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whitened(spark.read.parquet(f"{folder}/embeddings.parquet"))
 
@@ -96,7 +100,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_bpe": op1_bpe, "op2_chat": op2_chat, "op3_sharding": op3_sharding, "op4_quality": op4_quality,
     "op5_line_dedup": op5_line_dedup, "op6_classifier": op6_classifier, "op7_simhash": op7_simhash,
     "op8_parsing": op8_parsing, "op9_packing": op9_packing, "op10_suffix": op10_suffix,
-    "op11_alignment": op11_alignment, "op13_whitening": op13_whitening, "pipeline": pipeline,
+    "op11_alignment": op11_alignment, "op12_minhash": op12_minhash,
+    "op13_whitening": op13_whitening, "pipeline": pipeline,
 }
 QUERIES = {name: _importable(query) for name, query in QUERIES.items()}
 
