@@ -19,6 +19,7 @@ import json
 import re
 from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,9 +31,9 @@ from wattframe.llm.bpe import byte_symbols
 from wattframe.llm.common import rows_of, staged, with_text
 
 UNIT = re.compile(r"(?<=\S)(?= \S)")
-CHUNK = 24 << 20  # characters of text whose distinct units share a dictionary
+CHUNK = 12 << 20  # characters of text whose distinct units share a dictionary
 AT_ONCE = 1 << 19  # characters of units encoded and aligned at a time; a longer unit stands alone
-RUN = 4096  # characters of units that B encodes as one text
+RUN = 4096  # characters of units encoded as one text
 B_BITS = 20
 
 
@@ -98,10 +99,10 @@ def _sound(ids: np.ndarray, of: np.ndarray, ends: np.ndarray, sizes: np.ndarray,
 
 
 def _runs(units: list[str]) -> Iterator[tuple[int, int]]:
-    """Bounds of units that B may encode as one text: none has a mark of its own or a blank at its end."""
+    """Bounds of units that may be encoded as one text: none has B's mark of a blank or white space at its end."""
     low, size = 0, 0
     for i, unit in enumerate(units):
-        alone = "▁" in unit or unit[-1] == " "
+        alone = "▁" in unit or unit[-1].isspace()
         if (alone or size >= RUN) and low < i:
             yield low, i
             low, size = i, 0
@@ -139,19 +140,20 @@ class Units:
 
     def _spans_a(self, units: list[str], t: Tokenizers, data: bytes, chars: np.ndarray, last_char: np.ndarray,
                  bounds: np.ndarray) -> tuple[np.ndarray, ...]:
-        ids, offsets, sizes = [], [], []
-        for encoding in t.a.encode_batch(units, add_special_tokens=False):
-            own = encoding.ids
-            ids += own
-            offsets += encoding.offsets
-            sizes.append(len(own))
-        ids, sizes, starts = np.array(ids, np.int64), np.array(sizes, np.int64), np.append(0, bounds[:-1])
-        of = np.repeat(np.arange(len(units)), sizes)
-        spans = np.array(offsets, np.int64).reshape(-1, 2) + (last_char - np.array([len(u) for u in units], np.int64))[of][:, None]
+        ids, offsets, first_char, starts = [], [], np.append(0, last_char[:-1]).tolist(), np.append(0, bounds[:-1])
+        runs = list(_runs(units))
+        for (low, _), encoding in zip(runs, t.a.encode_batch(["".join(units[i:j]) for i, j in runs],
+                                                             add_special_tokens=False)):
+            ids += encoding.ids
+            own = np.fromiter(chain.from_iterable(encoding.offsets), np.int64)
+            offsets.append(own.reshape(-1, 2) + first_char[low])
+        ids, spans = np.array(ids, np.int64), np.concatenate([np.empty((0, 2), np.int64), *offsets])
+        of = np.searchsorted(last_char, spans[:, 0], side="right")
         first = np.append(True, of[1:] != of[:-1])[:len(of)]
         last = np.append(of[1:] != of[:-1], True)[:len(of)]
         coarse = last | (np.append(spans[1:, 0], 0)[:len(of)] >= spans[:, 1])
         ends = _refined(coarse, chars[spans[:, 1]], t.a_length[ids], first, starts[of])
+        sizes = np.bincount(of, minlength=len(units))
         return ids, of, ends, _sound(ids, of, ends, sizes, t.a_bytes, t.a_length, data, bounds)
 
     def _spans_b(self, units: list[str], t: Tokenizers, data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
