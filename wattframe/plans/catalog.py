@@ -23,7 +23,7 @@ from wattframe.plans.pipeline import (days_from_raw, hours_from_raw, readings_fr
 from wattframe.session import shared_folder, streaming_session
 from wattframe.sources.feed import METER_FIELDS, decode_feed, feed_rejects, new_since, parse_feed
 from wattframe.sources.tables import Warehouse
-from wattframe.streaming import jobs
+from wattframe.streaming import checks, jobs
 
 AS_OF = "2024-01-04 00:00:00"
 MIDWAY = "2024-01-03 12:20:00"
@@ -306,6 +306,12 @@ def _run_quality(spark, folder, tables, checkpoint):
     return "quality_windows"
 
 
+def _run_quality_log(spark, folder, tables, checkpoint):
+    checks.stream_quality_log(D.raw_stream(spark, folder), D.devices(spark, folder), tables, checkpoint,
+                              EARLIER).awaitTermination()
+    return "quality_stream"
+
+
 def _site_names(spark, folder):
     """Raw stream enriched with its site names, written by the file sink."""
     child, root = streaming_session(spark), shared_folder(spark)
@@ -375,6 +381,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
                                     "raw_reading_id"),
     "stream_hourly": _columns(_streaming(_run_hourly), *S.hourly_schema().names),
     "stream_quality": _columns(_streaming(_run_quality), *S.windows_schema().names),
+    "stream_quality_log": _columns(_streaming(_run_quality_log), "check_time", "check_type", "status", "metric_value",
+                                   "threshold_value", "message"),
     "stream_site_names": _site_names,
 }
 
@@ -579,6 +587,34 @@ from (select *, date_trunc('hour', ingested_at) - interval '1 hour' * back as wi
       from raw, (values (0), (1)) as shifts(back))
 group by window_start"""
 
+# Each full hour that the watermark, three hours behind the last reading, has passed.
+HOURLY_LOG_SQL = _ctes(AS_OF) + f""", ticks as (
+  select unnest(generate_series(date_trunc('hour', timestamp '{EARLIER}') + interval '1 hour',
+                                (select max(ingested_at) from raw) - interval '3 hours 1 millisecond',
+                                interval '1 hour')) as t),
+landed as (select * from ticks join raw on ingested_at > t - interval '2 hours' and ingested_at <= t),
+metrics as (
+  select t, check_type, metric_value from (
+    select t, count(id) filter (where active_power is null) as "NULL_POWER",
+           count(id) filter (where active_power < 0) as "NEGATIVE_POWER",
+           count(id) filter (where voltage_avg < 180 or voltage_avg > 260) as "VOLTAGE_RANGE",
+           count(id) filter (where collected_at > t) as "FUTURE_TIMESTAMP",
+           count(id) - count(distinct (site_id, device_id, collected_at)) filter (where id is not null)
+             as "DUPLICATE_RATE"
+    from ticks left join landed using (t) group by t)
+  unpivot (metric_value for check_type in
+           ("NULL_POWER", "NEGATIVE_POWER", "VOLTAGE_RANGE", "FUTURE_TIMESTAMP", "DUPLICATE_RATE"))
+  union all
+  select t, 'INGESTION_GAP', (select count(distinct device_id) from devices where is_active)
+                             - count(distinct device_id)
+  from ticks left join (
+    select l.t, l.device_id from landed l join devices d on l.device_id = d.device_id and d.is_active
+    where l.ingested_at > l.t - interval '10 minutes') using (t)
+  group by t)
+select t as check_time, check_type, case when metric_value <= threshold then 'PASS' else 'FAIL' end as status,
+       cast(metric_value as double) as metric_value, cast(threshold as double) as threshold_value, message
+from metrics join (values {LIMITS}) as limits(check_type, threshold, message) using (check_type)"""
+
 
 HOUR_CUT = f"reading_time > timestamp '{MIDWAY}' - interval '3 hours'"
 HOUR_CUT_ALIGNED = f"reading_time >= date_trunc('hour', timestamp '{MIDWAY}' - interval '3 hours')"
@@ -701,6 +737,7 @@ select site_id, device_id, reading_time, raw_reading_id, {MEASURES} from fact"""
     "stream_energy_delta": _ctes(AS_OF) + f"select {DELTAS} from reading",
     "stream_hourly": _ctes(AS_OF) + f"select {HOURS} from hours",
     "stream_quality": WINDOWS_SQL,
+    "stream_quality_log": HOURLY_LOG_SQL,
     "stream_site_names": _ctes(AS_OF) + """
 select r.id, r.site_id, s.site_name from raw r left join sites s on r.site_id = s.site_id""",
 }

@@ -146,6 +146,7 @@ LAYERS = {
         Layer("daily", daily_schema, DAY_GRAIN, None, "reading_date"),
         Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
+        Layer("quality_stream", log_schema, ["check_time", "check_type"], "check_time", "check_part"),
         Layer("feed_rejects", rejects_schema, [], "ingested_at", "ingested_part"),
         Layer("high_water", marks_schema, DEVICE),
         Layer("ledger", ledger_schema, ["file"]),

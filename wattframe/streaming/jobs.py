@@ -34,8 +34,9 @@ def _require_utc(stream: DataFrame) -> None:
         raise ValueError(f"event-time streams need session zone UTC, not {zone}")
 
 
-def _start(stream: DataFrame, step: Callable, checkpoint: str, trigger: dict | None) -> StreamingQuery:
-    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint)
+def _start(stream: DataFrame, step: Callable, checkpoint: str, trigger: dict | None,
+           mode: str = "update") -> StreamingQuery:
+    writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
     return writer.foreachBatch(step).trigger(**(trigger or {"availableNow": True})).start()
 
 
