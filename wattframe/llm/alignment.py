@@ -17,7 +17,6 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import chain
 
@@ -79,12 +78,12 @@ def _refined(coarse: np.ndarray, at: np.ndarray, lengths: np.ndarray, first: np.
     return base + total - past
 
 
-def _sound(ids: np.ndarray, of: np.ndarray, ends: np.ndarray, sizes: np.ndarray, names: list[bytes],
+def _sound(ids: np.ndarray, ends: np.ndarray, sizes: np.ndarray, names: list[bytes],
            lengths: np.ndarray, data: bytes, bounds: np.ndarray) -> np.ndarray:
     """Which units the bytes of their tokens spell out, span by span."""
     joined = b"".join(map(names.__getitem__, ids.tolist()))
     total = np.cumsum(lengths[ids])
-    if joined == data and np.array_equal(total, ends) and len(np.unique(of)) == len(sizes) \
+    if joined == data and np.array_equal(total, ends) and sizes.all() \
             and np.array_equal(total[np.cumsum(sizes) - 1], bounds):
         return np.ones(len(sizes), bool)
     sound, token, byte = np.zeros(len(sizes), bool), 0, 0
@@ -122,28 +121,28 @@ class Units:
         chars = np.append(np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80), len(data))
         last_char = np.cumsum([len(u) for u in units], dtype=np.int64)
         bounds = chars[last_char]
-        a_ids, a_of, a_ends, a_sound = self._spans_a(units, t, data, chars, last_char, bounds)
-        b_ids, b_of, b_ends, b_sound = self._spans_b(units, t, data, bounds)
+        runs = [(low, high, "".join(units[low:high])) for low, high in _runs(units)]
+        a_ids, a_of, a_ends, a_sound = self._spans_a(units, runs, t, data, chars, last_char, bounds)
+        b_ids, b_of, b_ends, b_sound = self._spans_b(units, runs, t, data, bounds)
         count = len(units)
         self.sound = a_sound & b_sound
         keep_a, keep_b = self.sound[a_of], self.sound[b_of]
         a_ids, a_of, a_ends = a_ids[keep_a], a_of[keep_a], a_ends[keep_a]
         b_ids, b_of, b_ends = b_ids[keep_b], b_of[keep_b], b_ends[keep_b]
         self.n_a, self.n_b = np.bincount(a_of, minlength=count), np.bincount(b_of, minlength=count)
-        ends = np.union1d(a_ends, b_ends)
+        both = np.sort(np.concatenate([a_ends, b_ends]), kind="stable")  # two sorted runs: a merge
+        again = both[1:] == both[:-1]
+        ends, cuts = both[np.append(True, ~again)[:len(both)]], both[1:][again]
         in_a, in_b = np.searchsorted(a_ends, ends), np.searchsorted(b_ends, ends)
         self.links = a_ids[in_a] << B_BITS | b_ids[in_b]
         self.n_links = np.bincount(a_of[in_a], minlength=count)
-        cuts = np.intersect1d(a_ends, b_ends, assume_unique=True)
         self.n_groups = np.bincount(np.searchsorted(bounds, cuts), minlength=count)
         self.reports = self._reports(t, a_ids, a_ends, b_ids, b_ends, cuts)
 
-    def _spans_a(self, units: list[str], t: Tokenizers, data: bytes, chars: np.ndarray, last_char: np.ndarray,
+    def _spans_a(self, units: list[str], runs: list, t: Tokenizers, data: bytes, chars: np.ndarray, last_char: np.ndarray,
                  bounds: np.ndarray) -> tuple[np.ndarray, ...]:
         ids, offsets, first_char, starts = [], [], np.append(0, last_char[:-1]).tolist(), np.append(0, bounds[:-1])
-        runs = list(_runs(units))
-        for (low, _), encoding in zip(runs, t.a.encode_batch(["".join(units[i:j]) for i, j in runs],
-                                                             add_special_tokens=False)):
+        for (low, _, _), encoding in zip(runs, t.a.encode_batch([text for _, _, text in runs], add_special_tokens=False)):
             ids += encoding.ids
             own = np.fromiter(chain.from_iterable(encoding.offsets), np.int64)
             offsets.append(own.reshape(-1, 2) + first_char[low])
@@ -154,12 +153,12 @@ class Units:
         coarse = last | (np.append(spans[1:, 0], 0)[:len(of)] >= spans[:, 1])
         ends = _refined(coarse, chars[spans[:, 1]], t.a_length[ids], first, starts[of])
         sizes = np.bincount(of, minlength=len(units))
-        return ids, of, ends, _sound(ids, of, ends, sizes, t.a_bytes, t.a_length, data, bounds)
+        return ids, of, ends, _sound(ids, ends, sizes, t.a_bytes, t.a_length, data, bounds)
 
-    def _spans_b(self, units: list[str], t: Tokenizers, data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _spans_b(self, units: list[str], runs: list, t: Tokenizers, data: bytes, bounds: np.ndarray) -> tuple[np.ndarray, ...]:
         ids, ends, starts = [], [], np.append(0, bounds[:-1])
-        for low, high in _runs(units):
-            pieces = t.b.encode("".join(units[low:high])[1:], return_type="proto").pieces  # the library adds a blank
+        for low, _, text in runs:
+            pieces = t.b.encode(text[1:], return_type="proto").pieces  # the library adds a blank
             ids += [p.id for p in pieces]
             ends.append(np.array([p.end for p in pieces], np.int64) + 1 + starts[low])
         ids, at = np.array(ids, np.int64), np.concatenate([np.empty(0, np.int64), *ends])
@@ -169,7 +168,7 @@ class Units:
         first = np.append(True, of[1:] != of[:-1])[:len(of)]
         ends = _refined(~t.b_byte[ids], at, t.b_length[ids], first, starts[of])
         sizes = np.bincount(of, minlength=len(units))
-        return ids, of, ends, _sound(ids, of, ends, sizes, t.b_bytes, t.b_length, data, bounds)
+        return ids, of, ends, _sound(ids, ends, sizes, t.b_bytes, t.b_length, data, bounds)
 
     def _reports(self, t: Tokenizers, a_ids: np.ndarray, a_ends: np.ndarray, b_ids: np.ndarray, b_ends: np.ndarray,
                  cuts: np.ndarray) -> list[str]:
@@ -245,6 +244,34 @@ def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], units: list[str]
         yield batch(code=part.astype(np.int32), pair=pairs[part], count=counts[part])
 
 
+class UnitCodes(dict):
+    """Numbers of units, given as they are met; ``odd`` holds those with white space at an end.
+
+    Units are named without the blank that starts each of them.
+    """
+
+    def __init__(self) -> None:
+        super().__init__()
+        self.odd: list[bool] = []
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = code = len(self)
+        self.odd.append(not unit or unit[0].isspace() or unit[-1].isspace())
+        return code
+
+    def of(self, text: str) -> np.ndarray:
+        """The units of a text: what stands between blanks, unless blanks meet or other white space is beside one."""
+        if not text:
+            return np.empty(0, np.int32)
+        known = list(map(self.__getitem__, text.split(" ")))
+        if any(map(self.odd.__getitem__, known)):
+            known = [self[unit[1:]] for unit in UNIT.split(" " + text)]
+        return np.array(known, np.int32)
+
+    def units(self) -> list[str]:
+        return [" " + unit for unit in self]
+
+
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
 
 
@@ -252,20 +279,16 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _LOADED.get((a_path, b_path)) or _LOADED.setdefault((a_path, b_path), Tokenizers(a_path, b_path))
         chunk = TaskContext.get().partitionId() << 32
-        ids, codes, size = [], [], 0
-        index: defaultdict[str, int] = defaultdict()
-        index.default_factory = index.__len__
+        ids, codes, size, index = [], [], 0, UnitCodes()
         for doc_ids, texts in rows_of(batches, AT_ONCE):
-            for text in texts:
-                codes.append(np.fromiter(map(index.__getitem__, UNIT.split(" " + text) if text else ()), np.int32))
-                size += len(text)
+            codes += map(index.of, texts)
             ids += doc_ids
+            size += sum(map(len, texts))
             if size >= CHUNK:
-                yield from _chunk_rows(chunk, ids, codes, list(index), t)
-                chunk, ids, codes, size = chunk + 1, [], [], 0
-                index.clear()
+                yield from _chunk_rows(chunk, ids, codes, index.units(), t)
+                chunk, ids, codes, size, index = chunk + 1, [], [], 0, UnitCodes()
         if ids:
-            yield from _chunk_rows(chunk, ids, codes, list(index), t)
+            yield from _chunk_rows(chunk, ids, codes, index.units(), t)
 
     return with_text(docs).mapInArrow(run, ROWS)
 
