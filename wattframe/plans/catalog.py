@@ -23,7 +23,7 @@ from wattframe.plans.pipeline import (days_from_raw, hours_from_raw, readings_fr
 from wattframe.session import shared_folder, streaming_session
 from wattframe.sources.feed import METER_FIELDS, decode_feed, feed_rejects, new_since, parse_feed
 from wattframe.sources.tables import Warehouse
-from wattframe.streaming import checks, jobs
+from wattframe.streaming import checks, ingest, jobs
 
 AS_OF = "2024-01-04 00:00:00"
 MIDWAY = "2024-01-03 12:20:00"
@@ -224,7 +224,7 @@ def _camel(spark, folder):
 
 # Feed
 
-def _feed_payloads(spark, folder):
+def _feed_payloads(spark, folder, *more):
     """Each event as one response of its own channel; some numbers are unreadable."""
     raw = D.raw(spark, folder)
     power = (F.when(F.col("id") % 50 == 1, "nan").when(F.col("id") % 50 == 2, "n/a")
@@ -235,7 +235,7 @@ def _feed_payloads(spark, folder):
     entry = F.struct(stamp.alias("created_at"), F.col("energy_kwh").cast("string").alias("field1"),
                      power.alias("field2"), F.col("voltage_avg").cast("string").alias("field3"))
     return raw.select(F.col("device_id").alias("channel_id"),
-                      F.to_json(F.struct(F.array(entry).alias("feeds"))).alias("payload"))
+                      F.to_json(F.struct(F.array(entry).alias("feeds"))).alias("payload"), *more)
 
 
 def _channels(spark, folder):
@@ -267,6 +267,34 @@ def _ingest_rejects(spark, folder):
     return rejects.select("channel_id", F.get_json_object("entry", "$.created_at").alias("created_at"), "reason")
 
 
+def _broken_payloads(spark, folder):
+    """Some responses are cut short, some are no JSON at all, and one is missing."""
+    case = F.col("id") % 97
+    sent = _feed_payloads(spark, folder, "id", "ingested_at").withColumn("source", F.lpad(F.col("id").cast("string"), 12, "0"))
+    return sent.withColumn("payload", F.when(case == 5, F.expr("substr(payload, 1, length(payload) - 3)"))
+                           .when(case == 6, "<html>").when(case == 7, None).otherwise(F.col("payload")))
+
+
+def _ingest_broken(spark, folder):
+    responses = parse_feed(_broken_payloads(spark, folder), mode="PERMISSIVE")
+    rejects = feed_rejects(responses, _channels(spark, folder), AS_OF)
+    kept = decode_feed(responses, _channels(spark, folder), AS_OF).groupBy("device_id").agg(
+        F.count("*").alias("entries")).withColumn("reason", F.lit("KEPT"))
+    lost = rejects.groupBy(F.col("channel_id").alias("device_id"), "reason").agg(F.count("source").alias("entries"))
+    return kept.unionByName(lost)
+
+
+def _run_ingest(spark, folder, tables, checkpoint):
+    """The responses as landed JSON lines, read back as a stream."""
+    landing = f"{tables.root}/_landing"
+    sent = _broken_payloads(spark, folder).withColumnRenamed("ingested_at", "received_at")
+    sent.select("channel_id", "payload", "source", "received_at").write.json(landing)
+    landed = spark.readStream.schema(
+        "channel_id long, payload string, source string, received_at timestamp_ntz").json(landing)
+    ingest.stream_ingest(landed, _channels(spark, folder), tables, checkpoint, lambda: AS_OF).awaitTermination()
+    return "raw"
+
+
 def _ingest_incremental(spark, folder):
     raw = D.raw(spark, folder)
     return new_since(raw, raw.filter(F.col("ingested_at") <= ntz(MIDWAY))).select("id", *S.RAW_GRAIN)
@@ -375,12 +403,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "find_daily_to": _find_daily(end="2024-01-02", site_id=SITE),
     "ingest_feed": _ingest_feed,
     "ingest_rejects": _ingest_rejects,
+    "ingest_broken": _ingest_broken,
     "ingest_incremental": _ingest_incremental,
     "stream_clean": _columns(_streaming(_run_clean), *S.FACT_GRAIN, *S.MEASURES, "raw_reading_id"),
     "stream_energy_delta": _columns(_streaming(_run_delta), *S.FACT_GRAIN, "energy_kwh", "energy_delta",
                                     "raw_reading_id"),
     "stream_hourly": _columns(_streaming(_run_hourly), *S.hourly_schema().names),
     "stream_quality": _columns(_streaming(_run_quality), *S.windows_schema().names),
+    "stream_ingest": _columns(_streaming(_run_ingest), *S.RAW_GRAIN, "ingested_at", "energy_kwh", "active_power",
+                              "voltage_avg", "current_avg", "is_processed", "quality_flag"),
     "stream_quality_log": _columns(_streaming(_run_quality_log), "check_time", "check_type", "status", "metric_value",
                                    "threshold_value", "message"),
     "stream_site_names": _site_names,
@@ -553,7 +584,7 @@ select id, case when abs(score) > 3 and flag = 'RAW' then 'ANOMALY' else flag en
        round(score, 4) as z
 from scored"""
 
-FEED_SQL = _ctes(AS_OF) + f"""
+FEED_ROWS = f"""
 select site_id, device_id,
        case when id % 2 = 0 then collected_at else collected_at - interval '8 hours' end as collected_at,
        timestamp '{AS_OF}' as ingested_at,
@@ -563,6 +594,21 @@ select site_id, device_id,
        cast(null as double) as reactive_power, false as is_processed, 'RAW' as quality_flag
 from raw"""
 
+FEED_SQL = _ctes(AS_OF) + FEED_ROWS
+
+BROKEN_SQL = _ctes(AS_OF) + """
+select device_id, case when id % 97 in (5, 6) then 'BAD_JSON' else 'KEPT' end as reason, count(*) as entries
+from raw where id % 97 <> 7 group by all"""
+
+# A reading of a response counts if it is later than all of the responses before it.
+STREAMED_FEED_SQL = _ctes(AS_OF) + ", feed as (" + FEED_ROWS.replace("select ", "select id, raw.ingested_at as received_at, ", 1) + """),
+passed as (
+  select *, max(collected_at) over (partition by site_id, device_id order by received_at, id
+                                    rows between unbounded preceding and 1 preceding) as mark
+  from feed where id % 97 not in (5, 6, 7))
+select site_id, device_id, collected_at, ingested_at, energy_kwh, active_power, voltage_avg, current_avg,
+       is_processed, quality_flag from passed where mark is null or collected_at > mark"""
+
 REJECTS_SQL = _ctes(AS_OF) + """
 select case when id % 7 = 2 then -1 else device_id end as channel_id,
        case when id % 7 = 0 then 'yesterday' else strftime(collected_at, '%Y-%m-%dT%H:%M:%SZ') end as created_at,
@@ -731,12 +777,14 @@ select {DAYS} from days where site_id = {SITE} and reading_date <= date '2024-01
 order by reading_date desc, site_id, device_id limit 500""",
     "ingest_feed": FEED_SQL,
     "ingest_rejects": REJECTS_SQL,
+    "ingest_broken": BROKEN_SQL,
     "ingest_incremental": INCREMENTAL_SQL,
     "stream_clean": _ctes(AS_OF) + f"""
 select site_id, device_id, reading_time, raw_reading_id, {MEASURES} from fact""",
     "stream_energy_delta": _ctes(AS_OF) + f"select {DELTAS} from reading",
     "stream_hourly": _ctes(AS_OF) + f"select {HOURS} from hours",
     "stream_quality": WINDOWS_SQL,
+    "stream_ingest": STREAMED_FEED_SQL,
     "stream_quality_log": HOURLY_LOG_SQL,
     "stream_site_names": _ctes(AS_OF) + """
 select r.id, r.site_id, s.site_name from raw r left join sites s on r.site_id = s.site_id""",

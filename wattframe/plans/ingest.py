@@ -11,7 +11,8 @@ from wattframe.sources.feed import decode_feed, feed_rejects, new_since
 from wattframe.sources.tables import Warehouse
 
 
-def _latest(rows: DataFrame) -> DataFrame:
+def latest_times(rows: DataFrame) -> DataFrame:
+    """The latest reading time of each device."""
     return rows.groupBy(*S.DEVICE).agg(F.max("collected_at").alias("collected_at"))
 
 
@@ -21,12 +22,13 @@ def ingest_responses(wh: Warehouse, responses: DataFrame, channels: DataFrame, i
     The latest times are kept as a table of one row per device, so the raw
     history is searched for them only the first time.  Should a run fail after
     the append, its repetition appends copies, which deduplication resolves.
-    Entries that can't be readings go to ``feed_rejects`` with their reason.
+    Entries that can't be readings, and responses that are no JSON, go to
+    ``feed_rejects`` with their reason; the rest of the run goes on.
     """
     wh.append("feed_rejects", feed_rejects(responses, channels, ingested_at))
     marks = wh.read("high_water")
     if marks.isEmpty():
-        marks = _latest(wh.read("raw"))
+        marks = latest_times(wh.read("raw"))
     fresh = wh.stage("fresh", new_since(decode_feed(responses, channels, ingested_at), marks))
     wh.append("raw", fresh)
-    wh.merge("high_water", wh.stage("marks", _latest(marks.unionByName(_latest(fresh)))))
+    wh.merge("high_water", wh.stage("marks", latest_times(marks.unionByName(latest_times(fresh)))))

@@ -108,7 +108,7 @@ def ledger_schema(key: T.DataType = STRING) -> T.StructType:
 
 
 def rejects_schema(key: T.DataType = STRING) -> T.StructType:
-    return _struct(("channel_id", LONG), ("entry", STRING), ("reason", STRING), ("ingested_at", NTZ))
+    return _struct(("channel_id", LONG), ("entry", STRING), ("reason", STRING), ("source", STRING), ("ingested_at", NTZ))
 
 
 def windows_schema(key: T.DataType = STRING) -> T.StructType:

@@ -15,6 +15,7 @@ from wattframe.operators.joins import join_figures
 from wattframe.sources.small import small_table
 
 FEEDS = "array<map<string,string>>"
+BROKEN = "_corrupt_record"
 
 
 @dataclass(frozen=True)
@@ -50,16 +51,32 @@ def channel_table(spark: SparkSession, channels: tuple[Channel, ...] = CHANNELS,
                             f"cast(device_id as {key}) as device_id", "source_of")
 
 
-def read_feed(spark: SparkSession, landing: str, mode: str = "FAILFAST") -> DataFrame:
-    """Landed responses, one JSON document per file below ``channel_id=<n>/`` folders."""
-    return (spark.read.schema(f"feeds {FEEDS}, channel_id long")
-            .option("multiLine", True).option("mode", mode).json(landing))
+def read_feed(spark: SparkSession, landing: str, mode: str = "PERMISSIVE") -> DataFrame:
+    """Landed responses, one JSON document per file below ``channel_id=<n>/`` folders.
 
+    A file that is no JSON is kept, with its text as ``broken`` and its name as
+    ``source``, for ``feed_rejects``; the others are not affected.  With FAILFAST
+    it stops the run.
+    """
+    kept = "" if mode == "FAILFAST" else f", {BROKEN} string"
+    read = (spark.read.schema(f"feeds {FEEDS}, channel_id long{kept}").option("multiLine", True)
+            .option("mode", mode).option("columnNameOfCorruptRecord", BROKEN).json(landing))
+    broken = F.lit(None).cast("string") if mode == "FAILFAST" else F.col(BROKEN)
+    return read.select("channel_id", "feeds", broken.alias("broken"), F.col("_metadata.file_name").alias("source"))
+
+
+def parse_feed(payloads: DataFrame, payload: str = "payload", mode: str = "FAILFAST",
+               more: list[str] = ()) -> DataFrame:
+    """Responses held as text next to their ``channel_id`` and, if there is one, their ``source``; columns ``more`` stay.
 
-def parse_feed(payloads: DataFrame, payload: str = "payload", mode: str = "FAILFAST") -> DataFrame:
-    """Responses held as text next to their ``channel_id``."""
-    parsed = F.from_json(payload, f"feeds {FEEDS}", {"mode": mode})
-    return payloads.select("channel_id", parsed["feeds"].alias("feeds"))
+    With PERMISSIVE a text that is no JSON is kept as ``broken``.
+    """
+    kept = "" if mode == "FAILFAST" else f", {BROKEN} string"
+    parsed = F.from_json(payload, f"feeds {FEEDS}{kept}", {"mode": mode, "columnNameOfCorruptRecord": BROKEN})
+    source = F.col("source") if "source" in payloads.columns else F.lit(None).cast("string")
+    held = payloads.select("channel_id", parsed.alias("parsed"), source.alias("source"), *more)
+    broken = F.lit(None).cast("string") if mode == "FAILFAST" else F.col(f"parsed.{BROKEN}")
+    return held.select("channel_id", F.col("parsed.feeds").alias("feeds"), broken.alias("broken"), "source", *more)
 
 
 def with_defaults(rows: DataFrame, ingested_at: Instant) -> DataFrame:
@@ -69,28 +86,50 @@ def with_defaults(rows: DataFrame, ingested_at: Instant) -> DataFrame:
                              for name, value in defaults.items()})
 
 
-# Why an entry can't become a reading.
-UNKNOWN_CHANNEL, BAD_TIME, TOO_LARGE = "UNKNOWN_CHANNEL", "BAD_TIME", "NUMBER_TOO_LARGE"
+# Why an entry can't become a reading, or a response has no entries to read.
+UNKNOWN_CHANNEL, BAD_TIME, TOO_LARGE, BAD_JSON = "UNKNOWN_CHANNEL", "BAD_TIME", "NUMBER_TOO_LARGE", "BAD_JSON"
 
 
-def _entries(responses: DataFrame, channels: DataFrame) -> DataFrame:
-    """Each entry with the place, time and numbers it stands for, and ``reason`` where it can't be a reading."""
-    # explode would add a filter on the array size below, parsing each payload again for it.
-    entries = (responses.select("channel_id", F.explode_outer("feeds").alias("entry"))
-               .filter(F.col("entry").isNotNull())
-               .join(channels.withColumn("known", F.lit(True)), "channel_id", "left"))
+def _entries(responses: DataFrame, channels: DataFrame, *more: str) -> DataFrame:
+    """Each entry with the place, time and numbers it stands for, and ``reason`` where it can't be a reading.
+
+    Entries are read where they stand in their response, before they become
+    rows: each text is parsed once, and no filter on what was read repeats the
+    parsing below it.
+    """
+    names = list(S.MEASURES)
+    sources = F.array(*[F.try_element_at("source_of", F.lit(name)) for name in names])
+    known = channels.select("channel_id", "site_id", "device_id", sources.alias("sources"), F.lit(True).alias("known"))
 
-    def number(name: str) -> Column:
-        source = F.try_element_at("source_of", F.lit(name))
-        return safe_double(F.try_element_at("entry", source)).alias(name)
+    def read(entry: Column) -> Column:
+        texts = F.transform("sources", lambda source: F.try_element_at(entry, source))
+        return F.struct(entry.alias("entry"), utc_naive(F.try_element_at(entry, F.lit("created_at"))).alias("collected_at"),
+                        F.coalesce(F.transform(texts, safe_double), F.array().cast("array<double>")).alias("numbers"))
 
-    read = entries.select("channel_id", "entry", "known", "site_id", "device_id",
-                          utc_naive(F.try_element_at("entry", F.lit("created_at"))).alias("collected_at"),
-                          *map(number, S.MEASURES))
+    # explode would add a filter on the array size below, parsing each payload again for it.
+    rows = (responses.join(known, "channel_id", "left")
+            .select("channel_id", "source", *more, "known", "site_id", "device_id",
+                    F.explode_outer(F.transform("feeds", read)).alias("r"))
+            .filter(F.col("r.entry").isNotNull()))
+    taken = rows.select("channel_id", "source", *more, "known", "site_id", "device_id", "r.entry", "r.collected_at",
+                        *[F.get("r.numbers", F.lit(i)).alias(name) for i, name in enumerate(names)])
     too_large = reduce(Column.__or__, [F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
                                        for name, kind in S.MEASURES.items()])
-    return read.withColumn("reason", F.when(F.col("known").isNull(), UNKNOWN_CHANNEL)
-                           .when(F.col("collected_at").isNull(), BAD_TIME).when(too_large, TOO_LARGE))
+    return taken.withColumn("reason", F.when(F.col("known").isNull(), UNKNOWN_CHANNEL)
+                            .when(F.col("collected_at").isNull(), BAD_TIME).when(too_large, TOO_LARGE))
+
+
+def decoded_rows(responses: DataFrame, channels: DataFrame, *more: str) -> DataFrame:
+    """The readings of ``decode_feed`` without insert defaults; columns ``more`` of the responses stay.
+
+    The id is a digest of the reading, the same whenever the same response is decoded.
+    """
+    extra = [name for name in more if name != "source"]
+    rows = _entries(responses, channels, *extra).filter(F.col("reason").isNull())
+    values = ["site_id", "device_id", "collected_at", *S.MEASURES]
+    rows = rows.select("site_id", "device_id", "collected_at", *more,
+                       *[F.col(name).try_cast(kind).alias(name) for name, kind in S.MEASURES.items()])
+    return rows.withColumn("id", F.xxhash64(*values))
 
 
 def decode_feed(responses: DataFrame, channels: DataFrame, ingested_at: Instant) -> DataFrame:
@@ -99,23 +138,24 @@ def decode_feed(responses: DataFrame, channels: DataFrame, ingested_at: Instant)
     The channel table is joined, not looped over, and is broadcast only when
     its size allows.  Columns without a mapped field are NULL.  The id is a
     digest of the reading, the same whenever the same response is decoded.
-    Entries that can't be readings are in ``feed_rejects``.
+    Entries that can't be readings, and responses that can't be read, are in
+    ``feed_rejects``.
     """
-    rows = _entries(responses, channels).filter(F.col("reason").isNull()).select(
-        "site_id", "device_id", "collected_at",
-        *[F.col(name).try_cast(kind).alias(name) for name, kind in S.MEASURES.items()])
-    rows = rows.withColumn("id", F.xxhash64(*rows.columns))
-    return with_defaults(rows, ingested_at).select(*S.raw_schema().names)
+    return with_defaults(decoded_rows(responses, channels), ingested_at).select(*S.raw_schema().names)
 
 
 def feed_rejects(responses: DataFrame, channels: DataFrame, ingested_at: Instant) -> DataFrame:
-    """The entries that ``decode_feed`` leaves out, as JSON with the reason.
+    """What ``decode_feed`` leaves out, with the reason.
 
-    Unknown channel, no readable time, or a number too large for its column;
-    the first of these counts.  A number that can't be read is NULL, not a reason.
+    Entries as JSON: unknown channel, no readable time, or a number too large
+    for its column; the first of these counts.  A number that can't be read is
+    NULL, not a reason.  Whole responses as they came where they are no JSON.
     """
-    return _entries(responses, channels).filter(F.col("reason").isNotNull()).select(
-        "channel_id", F.to_json("entry").alias("entry"), "reason", ntz(ingested_at).alias("ingested_at"))
+    entries = _entries(responses, channels).filter(F.col("reason").isNotNull()).select(
+        "channel_id", F.to_json("entry").alias("entry"), "reason", "source")
+    broken = responses.filter(F.col("broken").isNotNull()).select(
+        "channel_id", F.col("broken").alias("entry"), F.lit(BAD_JSON).alias("reason"), "source")
+    return entries.union(broken).withColumn("ingested_at", ntz(ingested_at))
 
 
 def new_since(batch: DataFrame, existing: DataFrame, keys: list[str] = S.DEVICE,
