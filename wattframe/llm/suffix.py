@@ -195,6 +195,8 @@ def _string_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, at, keys, marks = [], [], [], []
         for doc_id, tag, own, text in zip(doc_ids, tags, spans, texts):
             places = [i for span in own for i in range(span >> 8, (span >> 8) + (span & 255) + 1)]
+            if places and not 0 <= min(places) <= max(places) <= len(text) - LENGTH:
+                raise ValueError(f"strings outside of a text of {len(text)} bytes")
             keys += [digest(text[i:i + LENGTH]) for i in places]
             at += places
             docs += [doc_id] * len(places)
@@ -254,24 +256,27 @@ def repeats(docs: DataFrame) -> DataFrame:
             .where("known is not null or low < high")
             .select("doc_id", F.coalesce("known", "key").alias("name")))
     names = staged(left.groupBy("doc_id").agg(F.collect_set("name").alias("names")), "names")
-    held = staged(fresh.join(names, "doc_id").select("doc_id", "tag", "names", "text").mapInArrow(_block_rows, BLOCK), "blocks")
-    first = staged(held.groupBy("name", "block").agg(
+    # A name may stand at several places of a block (periodic text); what is beside it differs by place.
+    alike = ["name", "block", "place"]
+    held = staged(fresh.join(names, "doc_id").select("doc_id", "tag", "names", "text").mapInArrow(_block_rows, BLOCK)
+                  .withColumn("place", F.shiftright("span", 8).bitwiseAND(F.lit(255))), "blocks")
+    first = staged(held.groupBy(*alike).agg(
         F.min("doc_id").alias("owner"), F.min("before").alias("before"), F.min("after").alias("after")), "first")
     either = [first.where(f"{side} is not null").groupBy("name", side).agg(F.count("*").alias("n"))
               .where("n > 1").select("name", side, F.lit(True).alias(f"{side}_met")) for side in ("before", "after")]
     opened = (first.join(either[0], ["name", "before"], "left").join(either[1], ["name", "after"], "left")
-              .where("before_met or after_met").select("name", "block", "owner", "before_met", "after_met"))
-    low, place = F.shiftright("span", 16), F.shiftright("span", 8).bitwiseAND(F.lit(255))
+              .where("before_met or after_met").select(*alike, "owner", "before_met", "after_met"))
+    low, place = F.shiftright("span", 16), F.col("place")
     number = F.col("span").bitwiseAND(F.lit(255))
     start = F.when(F.col("before_met"), 0).otherwise(F.greatest(F.lit(0), place - (HALF - 1)))
     end = F.when(F.col("after_met"), number).otherwise(F.least(number, place - HALF))
-    asked = staged(held.join(opened, ["name", "block"]).where("doc_id = owner").groupBy("doc_id", "tag").agg(F.collect_set(
+    asked = staged(held.join(opened, alike).where("doc_id = owner").groupBy("doc_id", "tag").agg(F.collect_set(
         F.shiftleft(low + start, 8).bitwiseOR(end - start)).alias("asked")), "asked")
     strings = with_own(fresh, asked, "inner").select("doc_id", "tag", "asked", "text").mapInArrow(_string_rows, PLACED)
     whole = Window.partitionBy("key", "check")
     again = (strings.withColumn("low", F.min("doc_id").over(whole)).where("later or low < doc_id")
              .select("doc_id", "tag", F.shiftleft("at", 8).alias("span")))
-    settled = (held.join(first.select("name", "block", "owner"), ["name", "block"]).where("owner < doc_id")
+    settled = (held.join(first.select(*alike, "owner"), alike).where("owner < doc_id")
                .select("doc_id", "tag", F.shiftleft(low, 8).bitwiseOR(number).alias("span")))
     spans = staged(staged(again, "again").union(settled).groupBy("doc_id", "tag").agg(
         F.collect_set("span").alias("spans")), "spans")
