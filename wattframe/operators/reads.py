@@ -83,11 +83,27 @@ def site_daily_summary(days: DataFrame, sites: DataFrame, site_id=None, start: I
         F.max("peak_demand_kw").alias("peak_demand_kw"),
         exact_mean("avg_power_kw").alias("avg_power_kw"),
         F.count_distinct("device_id").alias("device_count"))
+    return _named(totals, sites, limit)
+
+
+def _named(totals: DataFrame, sites: DataFrame, limit: int | None) -> DataFrame:
     named = totals.join(sites.select("site_id", "site_name"), "site_id").select(
         "site_id", "site_name", "reading_date", "total_energy_kwh", "peak_demand_kw", "avg_power_kw", "device_count")
     return _first(named.orderBy(F.desc_nulls_first("reading_date"), F.asc_nulls_last("site_id")), limit)
 
 
+def summary_of(site_days: DataFrame, sites: DataFrame, site_id=None, start: Instant | None = None,
+               end: Instant | None = None, limit: int | None = 200) -> DataFrame:
+    """``site_daily_summary`` from figures per site, day and bucket; buckets share no device."""
+    rows = _where(site_days, _equals("site_id", site_id), *_days_between(start, end))
+    totals = rows.groupBy("site_id", "reading_date").agg(
+        F.sum("total_energy_kwh").alias("total_energy_kwh"),
+        F.max("peak_demand_kw").alias("peak_demand_kw"),
+        (F.sum("power_sum").cast("double") / F.nullif(F.sum("power_count"), F.lit(0))).alias("avg_power_kw"),
+        F.sum(F.bitmap_count("devices")).alias("device_count"))
+    return _named(totals, sites, limit)
+
+
 def camel_case(df: DataFrame) -> DataFrame:
     """Result columns renamed from snake_case to camelCase."""
     def camel(name: str) -> str:

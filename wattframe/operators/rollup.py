@@ -63,3 +63,17 @@ def daily(hours: DataFrame, as_of: Instant | None = None, lookback: str | None =
         mean_rounded("avg_voltage", 2).alias("avg_voltage"),
         F.sum("reading_count").alias("reading_count")))
     return grouped.selectExpr(*S.casts(S.daily_schema(), as_is=S.DEVICE))
+
+
+def site_day_figures(days: DataFrame, numbers: DataFrame) -> DataFrame:
+    """Per site, day and bucket of device numbers: figures that add up, and which devices there were as a bitmap.
+
+    A device without a number (none at all) is in bucket -1 and in no bitmap.
+    """
+    number = F.col("number")
+    return (days.join(numbers, "device_id", "left")
+            .withColumn("bucket", F.coalesce(F.bitmap_bucket_number(number), F.lit(-1).cast("long")))
+            .groupBy("site_id", "reading_date", "bucket")
+            .agg(F.sum("total_energy_kwh").alias("total_energy_kwh"), F.max("peak_demand_kw").alias("peak_demand_kw"),
+                 F.sum("avg_power_kw").alias("power_sum"), F.count("avg_power_kw").alias("power_count"),
+                 F.bitmap_construct_agg(F.bitmap_bit_position(number)).alias("devices")))

@@ -20,6 +20,7 @@ from wattframe.operators.rollup import daily, hourly
 from wattframe.plans import testdata as D
 from wattframe.plans.pipeline import (days_from_raw, hours_from_raw, readings_from_raw, run_pipeline, run_quality,
                                       tails_from_raw)
+from wattframe.plans.serving import devices_seen, newest_days, newest_hours, site_summary
 from wattframe.session import shared_folder, streaming_session
 from wattframe.sources.feed import METER_FIELDS, decode_feed, feed_rejects, new_since, parse_feed
 from wattframe.sources.tables import Warehouse
@@ -123,6 +124,20 @@ def _pipeline(*ticks: str):
     return query
 
 
+def _stored(read: Callable[[Warehouse], DataFrame]):
+    """A read from the layers of a warehouse that two runs have filled."""
+    def query(spark, folder):
+        tables = Warehouse(spark, shared_folder(spark), KEY)
+        tables.append("sites", D.sites(spark, folder))
+        rows = D.raw(spark, folder)
+        for low, high in ((None, MIDWAY), (MIDWAY, AS_OF)):
+            landed = rows.filter(F.col("ingested_at") <= ntz(high))
+            tables.append("raw", landed if low is None else landed.filter(F.col("ingested_at") > ntz(low)))
+            run_pipeline(tables, high)
+        return plain(read(tables))
+    return query
+
+
 def _overlapping(spark, folder):
     """Rows that arrive while a run is under way, after it has listed its files, are taken by the next."""
     tables = Warehouse(spark, shared_folder(spark), KEY)
@@ -401,6 +416,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "find_daily": _find_daily(start="2024-01-01", end="2024-01-02", limit=50),
     "find_daily_from": _find_daily(start="2024-01-02"),
     "find_daily_to": _find_daily(end="2024-01-02", site_id=SITE),
+    "find_hourly_stored": _stored(newest_hours),
+    "find_hourly_stored_filtered": _stored(lambda tables: newest_hours(
+        tables, site_id=DEVICE % 25, device_id=DEVICE, start="2024-01-01", end="2024-01-02")),
+    "find_daily_stored": _stored(lambda tables: newest_days(tables, start="2024-01-01", end="2024-01-02", limit=50)),
+    "site_summary_stored": _stored(site_summary),
+    "site_devices_seen": _stored(lambda tables: devices_seen(tables, "2024-01-02", "2024-01-03")),
     "ingest_feed": _ingest_feed,
     "ingest_rejects": _ingest_rejects,
     "ingest_broken": _ingest_broken,
@@ -775,6 +796,9 @@ order by reading_date desc, site_id, device_id limit 500""",
     "find_daily_to": _ctes(AS_OF) + f"""
 select {DAYS} from days where site_id = {SITE} and reading_date <= date '2024-01-02'
 order by reading_date desc, site_id, device_id limit 500""",
+    "site_devices_seen": _ctes(AS_OF) + """
+select site_id, count(distinct device_id) as device_count from days
+where reading_date between date '2024-01-02' and date '2024-01-03' group by site_id""",
     "ingest_feed": FEED_SQL,
     "ingest_rejects": REJECTS_SQL,
     "ingest_broken": BROKEN_SQL,
@@ -789,3 +813,6 @@ select site_id, device_id, reading_time, raw_reading_id, {MEASURES} from fact"""
     "stream_site_names": _ctes(AS_OF) + """
 select r.id, r.site_id, s.site_name from raw r left join sites s on r.site_id = s.site_id""",
 }
+ORACLES |= {stored: ORACLES[plan] for stored, plan in (
+    ("find_hourly_stored", "find_hourly"), ("find_hourly_stored_filtered", "find_hourly_filtered"),
+    ("find_daily_stored", "find_daily"), ("site_summary_stored", "site_daily_summary"))}

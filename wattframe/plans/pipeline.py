@@ -13,6 +13,7 @@ from wattframe.operators.delta import energy_delta, reading_tails
 from wattframe.operators.merge import upsert
 from wattframe.operators.quality import run_checks
 from wattframe.operators.rollup import daily, hourly
+from wattframe.plans.serving import refresh_site_days
 from wattframe.session import fit_shuffles
 from wattframe.sources.tables import Warehouse
 
@@ -106,6 +107,7 @@ def absorb(wh: Warehouse, winners: DataFrame, rollups: bool = True) -> None:
         return
     wh.replace("hourly", hourly(wh.read("readings", affected), lookback=None))
     wh.replace("daily", daily(wh.read("hourly", wh.day_parts(affected)), lookback=None))
+    refresh_site_days(wh, sorted({f"{p[:4]}-{p[4:6]}-{p[6:8]}" for p in map(str, affected)}))
 
 
 def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None, files: list[str] | None = None) -> None:

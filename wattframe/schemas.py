@@ -81,6 +81,16 @@ def daily_schema(key: T.DataType = STRING) -> T.StructType:
                    ("avg_voltage", _dec(8, 2)), ("reading_count", T.IntegerType()))
 
 
+def site_days_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("site_id", key), ("reading_date", T.DateType()), ("bucket", LONG),
+                   ("total_energy_kwh", _dec(24, 4)), ("peak_demand_kw", _dec(10, 2)),
+                   ("power_sum", _dec(22, 2)), ("power_count", LONG), ("devices", T.BinaryType()))
+
+
+def numbers_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("device_id", key), ("number", LONG))
+
+
 def sites_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("site_id", key), ("site_name", STRING), ("site_type", STRING),
                    ("region", STRING), ("city", STRING), ("capacity_kw", _dec(10, 2)),
@@ -144,6 +154,8 @@ LAYERS = {
         Layer("tails", tails_schema, HOUR_GRAIN, "hour_start", "reading_part"),
         Layer("hourly", hourly_schema, HOUR_GRAIN, "hour_start", "reading_part"),
         Layer("daily", daily_schema, DAY_GRAIN, None, "reading_date"),
+        Layer("site_days", site_days_schema, ["site_id", "reading_date", "bucket"], None, "reading_date"),
+        Layer("device_numbers", numbers_schema, ["device_id"]),
         Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
         Layer("quality_stream", log_schema, ["check_time", "check_type"], "check_time", "check_part"),

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattframe import schemas as S
-from wattframe.functions import Instant, ntz, part_number, trailing_cutoff
+from wattframe.functions import Instant, day_of, ntz, part_number, trailing_cutoff
 from wattframe.operators.clean import settled_at
 from wattframe.operators.merge import upsert
 from wattframe.sources.small import small_table
@@ -139,6 +139,26 @@ class Warehouse:
             df = df.withColumn(layer.part, part_number(F.col(layer.time), self.grain))
         return df.selectExpr(*S.casts(self.schema(name), df.columns))
 
+    def folders(self, name: str, start: Instant | None = None, end: Instant | None = None) -> list:
+        """The partitions of a layer between two days, both included, the newest first.
+
+        Only the names of the folders are listed, neither their files nor their rows.
+        """
+        layer, root = S.LAYERS[name], self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
+        store = root.getFileSystem(self.spark._jsc.hadoopConfiguration())
+        names = [f.getPath().getName() for f in store.listStatus(root)] if store.exists(root) else []
+        values = [n.split("=", 1)[1] for n in names if n.startswith(f"{layer.part}=")]
+        kind = self.schema(name)[layer.part].dataType
+        if isinstance(kind, T.DateType):
+            placed = {v: int(v.replace("-", "")) for v in values}
+        else:
+            values = [int(v) for v in values]
+            placed = {v: v // 100 if self.grain == "hour" else v for v in values}
+        low, high = (None if day is None else self.spark.range(1).select(
+            part_number(day_of(day), "day")).first()[0] for day in (start, end))
+        return sorted((v for v in values if (low is None or placed[v] >= low) and (high is None or placed[v] <= high)),
+                      key=placed.get if isinstance(kind, T.DateType) else None, reverse=True)
+
     def parts(self, name: str, df: DataFrame) -> list:
         """The partitions ``df`` falls into: at most one value per day or hour.
 
