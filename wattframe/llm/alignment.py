@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from itertools import chain
 
 import numpy as np
@@ -30,8 +30,8 @@ from wattframe.llm.bpe import byte_symbols
 from wattframe.llm.common import rows_of, staged, with_text
 
 UNIT = re.compile(r"(?<=\S)(?= \S)")
-CHUNK = 12 << 20  # characters of text whose distinct units share a dictionary
-AT_ONCE = 1 << 19  # characters of units encoded and aligned at a time; a longer unit stands alone
+CHUNK = 10 << 20  # characters of text whose distinct units share a dictionary
+AT_ONCE = 1 << 18  # characters of units encoded and aligned at a time; a longer unit stands alone
 RUN = 4096  # characters of units encoded as one text
 B_BITS = 20
 
@@ -188,26 +188,38 @@ class Units:
 
 
 class Aligned:
-    """The figures of all units of a chunk, made for AT_ONCE characters at a time."""
+    """The figures of all units of a chunk, made for AT_ONCE characters at a time; id pairs get numbers of the chunk."""
 
-    def __init__(self, units: list[str], t: Tokenizers):
-        parts, held, size = [], [], 0
-        for i, unit in enumerate(units):
+    def __init__(self, units: Iterable[str], t: Tokenizers):
+        names, parts, held, size = ("sound", "n_a", "n_b", "n_groups", "n_links"), [], [], 0
+        self.reports: list[str] = []
+
+        def close() -> None:
+            u = Units(held, t)
+            self.reports += u.reports
+            pairs, coded = np.unique(u.links, return_inverse=True)
+            parts.append([getattr(u, n) for n in names] + [pairs, coded.astype(np.int32)])
+
+        for unit in units:
             held.append(unit)
             size += len(unit)
-            if size >= AT_ONCE or i + 1 == len(units):
-                parts.append(Units(held, t))
+            if size >= AT_ONCE:
+                close()
                 held, size = [], 0
-        self.reports = [r for p in parts for r in p.reports]
-        for name, kind in (("sound", bool), *((n, np.int64) for n in ("n_a", "n_b", "n_groups", "n_links", "links"))):
-            setattr(self, name, np.concatenate([np.empty(0, kind), *[getattr(p, name) for p in parts]]))
+        if held:
+            close()
+        for at, name in enumerate(names):
+            setattr(self, name, np.concatenate([np.empty(0, bool if name == "sound" else np.int64), *[p[at] for p in parts]]))
+        self.pairs = np.unique(np.concatenate([np.empty(0, np.int64), *[p[-2] for p in parts]]))
+        self.links = np.concatenate([np.empty(0, np.int32), *[
+            np.searchsorted(self.pairs, p[-2]).astype(np.int32)[p[-1]] for p in parts]])
 
 
 STATED = "doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
 ROWS = f"chunk long, {STATED}, units array<int>, sizes array<int>, links array<int>, code int, pair long, count long"
 
 
-def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], units: list[str], t: Tokenizers) -> Iterator[pa.RecordBatch]:
+def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], units: Iterable[str], t: Tokenizers) -> Iterator[pa.RecordBatch]:
     """A row for each document, one with the links of each unit, one for each id pair."""
     fields = [f.split() for f in ROWS.split(", ")]
     kinds = {"long": pa.int64(), "int": pa.int32(), "string": pa.string(), "array<int>": pa.list_(pa.int32())}
@@ -219,7 +231,7 @@ def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], units: list[str]
              else pa.nulls(size, kinds[k]) for n, k in fields], [n for n, _ in fields])
 
     u = Aligned(units, t)
-    met = np.zeros(len(units), np.int64)
+    met = np.zeros(len(u.sound), np.int64)
     rows = {n: [] for n in ("doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "units")}
     for doc_id, own in zip(ids, codes):
         if not u.sound[own].all():
@@ -235,13 +247,12 @@ def _chunk_rows(chunk: int, ids: list, codes: list[np.ndarray], units: list[str]
             rows = {n: [] for n in rows}
     if rows["doc_id"]:
         yield batch(**rows)
-    pairs, coded = np.unique(u.links, return_inverse=True)
-    yield batch(sizes=[u.n_links.astype(np.int32)], links=[coded.astype(np.int32)])
-    counts = np.zeros(len(pairs), np.int64)
-    np.add.at(counts, coded, np.repeat(met, u.n_links))
+    yield batch(sizes=[u.n_links.astype(np.int32)], links=[u.links])
+    counts = np.zeros(len(u.pairs), np.int64)
+    np.add.at(counts, u.links, np.repeat(met, u.n_links))
     used = np.flatnonzero(counts)
     for part in np.array_split(used, len(used) // 65536 + 1):
-        yield batch(code=part.astype(np.int32), pair=pairs[part], count=counts[part])
+        yield batch(code=part.astype(np.int32), pair=u.pairs[part], count=counts[part])
 
 
 class UnitCodes(dict):
@@ -268,8 +279,8 @@ class UnitCodes(dict):
             known = [self[unit[1:]] for unit in UNIT.split(" " + text)]
         return np.array(known, np.int32)
 
-    def units(self) -> list[str]:
-        return [" " + unit for unit in self]
+    def units(self) -> Iterator[str]:
+        return (" " + unit for unit in self)
 
 
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
@@ -289,6 +300,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 chunk, ids, codes, size, index = chunk + 1, [], [], 0, UnitCodes()
         if ids:
             yield from _chunk_rows(chunk, ids, codes, index.units(), t)
+        pa.default_memory_pool().release_unused()
 
     return with_text(docs).mapInArrow(run, ROWS)
 
