@@ -14,6 +14,7 @@ texts and units don't travel.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import json
 import re
@@ -30,7 +31,7 @@ from wattframe.llm.bpe import byte_symbols
 from wattframe.llm.common import rows_of, staged, with_text
 
 UNIT = re.compile(r"(?<=\S)(?= \S)")
-CHUNK = 10 << 20  # characters of text whose distinct units share a dictionary
+CHUNK = 7 << 20  # characters of text whose distinct units share a dictionary
 AT_ONCE = 1 << 18  # characters of units encoded and aligned at a time; a longer unit stands alone
 RUN = 4096  # characters of units encoded as one text
 B_BITS = 20
@@ -286,6 +287,14 @@ class UnitCodes(dict):
 _LOADED: dict[tuple[str, str], Tokenizers] = {}
 
 
+def _give_back() -> None:
+    """Workers live on after a task; what it no longer holds goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library alone
+    if trim is not None:
+        trim(0)
+
+
 def _aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = _LOADED.get((a_path, b_path)) or _LOADED.setdefault((a_path, b_path), Tokenizers(a_path, b_path))
@@ -300,7 +309,7 @@ def _aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
                 chunk, ids, codes, size, index = chunk + 1, [], [], 0, UnitCodes()
         if ids:
             yield from _chunk_rows(chunk, ids, codes, index.units(), t)
-        pa.default_memory_pool().release_unused()
+        _give_back()
 
     return with_text(docs).mapInArrow(run, ROWS)
 
@@ -348,6 +357,7 @@ def aligned(docs: DataFrame, a_path: str, b_path: str) -> DataFrame:
 
         columns = [texts[n].combine_chunks() for n in names]
         columns += [added(met["best"].to_numpy().astype(np.int64)), added(met["total"].to_numpy())]
+        _give_back()
         return pa.Table.from_arrays(columns, [*names, "n_best", "count_sum"])
 
     left = rows.where("pair is null").select(F.col("chunk").alias("of"), *names, "units", "sizes", "links")
