@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattframe import schemas as S
@@ -98,21 +99,49 @@ def run_checks(devices: DataFrame, raw: DataFrame, as_of: Instant) -> DataFrame:
     return quality_log(metrics, as_of)
 
 
-def power_scores(raw: DataFrame) -> DataFrame:
+def power_figures(raw: DataFrame, *by: str) -> DataFrame:
+    """(device_id, *by, n, mean, squares): count, mean and summed squared deviations of active power."""
+    power = F.col("active_power").cast("double")
+    return raw.groupBy("device_id", *by).agg(
+        F.count(power).alias("n"), F.avg(power).alias("mean"),
+        (F.var_pop(power) * F.count(power)).alias("squares")).filter(F.col("n") > 0)
+
+
+def merged_figures(figures: DataFrame) -> DataFrame:
+    """(device_id, mean, deviation) from the figures of disjoint parts of the readings of a device.
+
+    The deviations of the parts' means from the common mean are added to the
+    squares of the parts, so large means don't cancel digits of small deviations.
+    A window holds one row for each part of a device.
+    """
+    device = W.partitionBy("device_id")
+    total = F.sum("n").over(device)
+    mean = F.sum(F.col("n") * F.col("mean")).over(device) / total
+    parts = figures.select("device_id", "n", "squares", F.col("mean").alias("own"), mean.alias("mean"))
+    return parts.groupBy("device_id", "mean").agg(F.sqrt(
+        F.sum(F.col("squares") + F.col("n") * (F.col("own") - F.col("mean")) ** 2)
+        / F.nullif(F.sum("n") - 1, F.lit(0))).alias("deviation"))
+
+
+def power_scores(raw: DataFrame, stats: DataFrame | None = None) -> DataFrame:
     """``raw`` plus ``z``: active power in standard deviations from its device's mean.
 
     Mean and sample deviation are aggregated per device and joined back
     instead of computed in a window, which would draw all rows of a device
-    into one task.
+    into one task.  ``stats`` may hold them already.
     """
     power = F.col("active_power").cast("double")
-    stats = raw.groupBy("device_id").agg(F.avg(power).alias("mean"), F.stddev_samp(power).alias("deviation"))
+    if stats is None:
+        stats = raw.groupBy("device_id").agg(F.avg(power).alias("mean"), F.stddev_samp(power).alias("deviation"))
     z = (power - F.col("mean")) / F.nullif(F.col("deviation"), F.lit(0.0))
     return join_figures(raw, stats, ["device_id"]).select(*raw.columns, z.alias("z"))
 
 
-def flag_anomalies(raw: DataFrame, z: float = 3.0) -> DataFrame:
+def is_anomaly(z: float) -> Column:
+    return (F.abs("z") > z) & (F.col("quality_flag") == S.RAW)
+
+
+def flag_anomalies(raw: DataFrame, z: float = 3.0, stats: DataFrame | None = None) -> DataFrame:
     """Readings still flagged RAW become ANOMALY beyond ``z`` deviations."""
-    hit = (F.abs("z") > z) & (F.col("quality_flag") == S.RAW)
-    return power_scores(raw).withColumn(
-        "quality_flag", F.when(hit, S.ANOMALY).otherwise(F.col("quality_flag")))
+    return power_scores(raw, stats).withColumn(
+        "quality_flag", F.when(is_anomaly(z), S.ANOMALY).otherwise(F.col("quality_flag")))

@@ -138,6 +138,29 @@ def _stored(read: Callable[[Warehouse], DataFrame]):
     return query
 
 
+def _run_anomalies(spark, folder):
+    """Anomalies listed by two runs; each row is judged by the figures of all that had landed by its run."""
+    tables, rows = Warehouse(spark, shared_folder(spark), KEY), D.raw(spark, folder)
+    for low, high in ((None, MIDWAY), (MIDWAY, AS_OF)):
+        landed = rows.filter(F.col("ingested_at") <= ntz(high))
+        tables.append("raw", landed if low is None else landed.filter(F.col("ingested_at") > ntz(low)))
+        run_pipeline(tables, high, z=2.0)
+    return tables.read("anomalies").select("id", "device_id", F.round("z", 4).alias("z"))
+
+
+def _gated_days(spark, folder):
+    """Half of the devices become known only after the first run; some never do."""
+    tables, rows = Warehouse(spark, shared_folder(spark), KEY), D.raw(spark, folder)
+    late = F.col("device_id") % 2 == 1
+    for known, low, high in ((D.devices(spark, folder).filter(~late), None, MIDWAY),
+                             (D.devices(spark, folder).filter(late), MIDWAY, AS_OF)):
+        tables.append("devices", known)
+        landed = rows.filter(F.col("ingested_at") <= ntz(high))
+        tables.append("raw", landed if low is None else landed.filter(F.col("ingested_at") > ntz(low)))
+        run_pipeline(tables, high, gate=True)
+    return plain(tables.read("daily"))
+
+
 def _overlapping(spark, folder):
     """Rows that arrive while a run is under way, after it has listed its files, are taken by the next."""
     tables = Warehouse(spark, shared_folder(spark), KEY)
@@ -416,6 +439,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "find_daily": _find_daily(start="2024-01-01", end="2024-01-02", limit=50),
     "find_daily_from": _find_daily(start="2024-01-02"),
     "find_daily_to": _find_daily(end="2024-01-02", site_id=SITE),
+    "pipeline_anomalies": _run_anomalies,
+    "pipeline_gated": _gated_days,
     "find_hourly_stored": _stored(newest_hours),
     "find_hourly_stored_filtered": _stored(lambda tables: newest_hours(
         tables, site_id=DEVICE % 25, device_id=DEVICE, start="2024-01-01", end="2024-01-02")),
@@ -796,6 +821,14 @@ order by reading_date desc, site_id, device_id limit 500""",
     "find_daily_to": _ctes(AS_OF) + f"""
 select {DAYS} from days where site_id = {SITE} and reading_date <= date '2024-01-02'
 order by reading_date desc, site_id, device_id limit 500""",
+    "pipeline_anomalies": _ctes(AS_OF) + f""", judged as (
+  select r.id, r.device_id, r.quality_flag, (r.active_power - avg(l.active_power)) / nullif(stddev_samp(l.active_power), 0) as z
+  from raw r join raw l on r.device_id = l.device_id
+    and l.ingested_at <= case when r.ingested_at <= timestamp '{MIDWAY}' then timestamp '{MIDWAY}'
+                              else timestamp '{AS_OF}' end
+  group by r.id, r.device_id, r.quality_flag, r.active_power)
+select id, device_id, round(z, 4) as z from judged where abs(z) > 2 and quality_flag = 'RAW'""",
+    "pipeline_gated": _ctes(AS_OF) + f"select {DAYS} from days where device_id in (select device_id from devices)",
     "site_devices_seen": _ctes(AS_OF) + """
 select site_id, count(distinct device_id) as device_count from days
 where reading_date between date '2024-01-02' and date '2024-01-03' group by site_id""",

@@ -8,10 +8,11 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant
+from wattframe.operators.audit import quarantine
 from wattframe.operators.clean import clean_readings, dedupe_readings
 from wattframe.operators.delta import energy_delta, reading_tails
 from wattframe.operators.merge import upsert
-from wattframe.operators.quality import run_checks
+from wattframe.operators.quality import is_anomaly, merged_figures, power_figures, power_scores, run_checks
 from wattframe.operators.rollup import daily, hourly
 from wattframe.plans.serving import refresh_site_days
 from wattframe.session import fit_shuffles
@@ -110,7 +111,35 @@ def absorb(wh: Warehouse, winners: DataFrame, rollups: bool = True) -> None:
     refresh_site_days(wh, sorted({f"{p[:4]}-{p[4:6]}-{p[6:8]}" for p in map(str, affected)}))
 
 
-def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None, files: list[str] | None = None) -> None:
+def _flagged(wh: Warehouse, fresh: DataFrame, z: float) -> DataFrame:
+    """Fresh rows with anomalies flagged, by the figures of all that has landed in raw.
+
+    Figures are kept per device and raw partition.  Only the partitions of the
+    fresh rows are counted anew, and replaced as a whole, so repeating a run
+    counts nothing twice.
+    """
+    parts = wh.parts("raw", fresh)
+    if not parts:
+        return fresh
+    wh.replace("power_days", power_figures(wh.read("raw", parts, marked=False), "ingested_part"))
+    stats = merged_figures(wh.read("power_days"))
+    scored = wh.stage("scored", power_scores(fresh, stats))
+    hit = is_anomaly(z)
+    wh.merge("anomalies", scored.filter(hit))
+    return scored.withColumn("quality_flag", F.when(hit, S.ANOMALY).otherwise(F.col("quality_flag"))).drop("z")
+
+
+def _gated(wh: Warehouse, rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of known devices, rows that wait): what waited before counts again.
+
+    A row without a device refers to none and passes.
+    """
+    both = rows.unionByName(wh.read("waiting"), allowMissingColumns=True)
+    return quarantine(both.select(*S.raw_schema().names), "device_id", wh.read("devices"))
+
+
+def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None, files: list[str] | None = None,
+                 z: float | None = None, gate: bool = False) -> None:
     """One run over the raw files that no run has taken.
 
     The files are listed once, or given as listed before; rows that arrive
@@ -118,12 +147,26 @@ def run_pipeline(wh: Warehouse, as_of: Instant, since: int | None = None, files:
     the last run; rows land in the partition of their arrival, so earlier ones
     hold nothing new.  The ledger is written last: a run that failed half-way
     finds its files again, and raw itself is never rewritten.
+
+    With ``z``, readings whose power lies beyond that many deviations of their
+    device are kept out of the readings and listed in ``anomalies``.  With
+    ``gate``, readings of devices that ``devices`` lacks wait in ``waiting`` and
+    are taken up by the first run that knows the device; in what order devices
+    and readings arrive makes no difference to the readings, hours and days.
     """
     files = wh.unconsumed(since) if files is None else files
     fresh = wh.raw_files(files)
     fit_shuffles(fresh)
+    if z is not None:
+        fresh = _flagged(wh, fresh, z)
+    waiting = None
+    if gate:
+        fresh, orphans = _gated(wh, fresh)
+        waiting = wh.stage("waiting", orphans.dropDuplicates(["id"]))
     winners = wh.stage("winners", dedupe_readings(fresh, as_of))
     absorb(wh, winners)
+    if waiting is not None:
+        wh.replace("waiting", waiting)
     wh.consume(files, as_of)
 
 

@@ -91,6 +91,15 @@ def numbers_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("device_id", key), ("number", LONG))
 
 
+def power_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("device_id", key), ("n", LONG), ("mean", T.DoubleType()), ("squares", T.DoubleType()))
+
+
+def anomalies_schema(key: T.DataType = STRING) -> T.StructType:
+    return _struct(("id", LONG), ("site_id", key), ("device_id", key), ("collected_at", NTZ), ("ingested_at", NTZ),
+                   ("active_power", MEASURES["active_power"]), ("z", T.DoubleType()))
+
+
 def sites_schema(key: T.DataType = STRING) -> T.StructType:
     return _struct(("site_id", key), ("site_name", STRING), ("site_type", STRING),
                    ("region", STRING), ("city", STRING), ("capacity_kw", _dec(10, 2)),
@@ -156,6 +165,9 @@ LAYERS = {
         Layer("daily", daily_schema, DAY_GRAIN, None, "reading_date"),
         Layer("site_days", site_days_schema, ["site_id", "reading_date", "bucket"], None, "reading_date"),
         Layer("device_numbers", numbers_schema, ["device_id"]),
+        Layer("power_days", power_schema, ["device_id"], None, "ingested_part"),
+        Layer("anomalies", anomalies_schema, ["id"], "ingested_at", "ingested_part"),
+        Layer("waiting", raw_schema, ["id"]),
         Layer("quality_windows", windows_schema, ["window_start"], "window_start", "window_part"),
         Layer("quality_log", log_schema, []),
         Layer("quality_stream", log_schema, ["check_time", "check_type"], "check_time", "check_part"),

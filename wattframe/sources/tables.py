@@ -56,12 +56,13 @@ class Warehouse:
             schema = T.StructType([*schema.fields, T.StructField(layer.part, T.IntegerType())])
         return schema
 
-    def read(self, name: str, parts: list | None = None, since=None, before=None) -> DataFrame:
+    def read(self, name: str, parts: list | None = None, since=None, before=None, marked: bool = True) -> DataFrame:
         """A layer with its partition column; a layer never written is empty.
 
         ``parts`` lists partitions, ``since`` and ``before`` bound them; all
         three prune folders before any file is opened.  A short list is read by
         its folders alone, without listing the files of the whole history.
+        Raw rows come with the marks of the run that took them unless ``marked`` is false.
         """
         layer, schema, path = S.LAYERS[name], self.schema(name), self.path(name)
         reader, wanted = self.spark.read.schema(schema).option("basePath", path), path
@@ -79,7 +80,9 @@ class Warehouse:
             df = df.filter(F.col(layer.part) >= since)
         if before is not None:
             df = df.filter(F.col(layer.part) < before)
-        return self._standing(df) if name == "raw" else df
+        if name != "raw":
+            return df
+        return self._standing(df) if marked else df.drop("_file")
 
     def _standing(self, rows: DataFrame) -> DataFrame:
         """Raw rows with the marks of the run that took their file; the stored rows never change."""
