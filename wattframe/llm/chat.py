@@ -64,22 +64,33 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     ``messages``: conv_id, message (unique in it), parent (null for a root, or
     one that is missing), role, text, score.  Branches rank by mean score of
     their messages, then by their leaf; position counts from 0 at the root.
+    Messages that answer each other in a ring, or a message that answers itself,
+    have no root; the ring is opened at its smallest message, which becomes one.
     """
-    nodes = staged(messages, "messages")
+    return _branches(staged(messages, "messages"), best)
+
+
+def _branches(nodes: DataFrame, best: int) -> DataFrame:
     known = nodes.select("conv_id", F.col("message").alias("up"), F.lit(True).alias("there"))
     ids = nodes.select("conv_id", "message", "parent", "score")
     step = staged(ids.join(known, ids["conv_id"].eqNullSafe(known["conv_id"]) & (ids["parent"] == known["up"]), "left")
                   .select(ids["conv_id"], "message", F.when(F.col("there"), F.col("parent")).alias("up"),
-                          F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("length")), "steps")
+                          F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("length"))
+                  .withColumn("least", F.col("up")), "steps")
     links = []
+    longest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     while not step.where("up is not null").isEmpty():
+        if 2 ** len(links) > longest:  # no way to a root is that long
+            return _branches(_opened(nodes, step), best)
         links.append(step.select("conv_id", "message", "up"))
         upper = step.select(F.col("conv_id").alias("c"), F.col("message").alias("m"), F.col("up").alias("next"),
-                            F.col("total").alias("more"), F.col("length").alias("further"))
+                            F.col("total").alias("more"), F.col("length").alias("further"),
+                            F.col("least").alias("lower"))
         step = staged(step.join(upper, step["conv_id"].eqNullSafe(upper["c"]) & (step["up"] == upper["m"]), "left")
                       .select("conv_id", "message", F.col("next").alias("up"),
                               (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                              (F.col("length") + F.coalesce("further", F.lit(0))).alias("length")), "steps")
+                              (F.col("length") + F.coalesce("further", F.lit(0))).alias("length"),
+                              F.least("least", "lower").alias("least")), "steps")
     answered = ids.where("parent is not null").select("conv_id", F.col("parent").alias("message")).distinct()
     leaves = step.join(answered, step["conv_id"].eqNullSafe(answered["conv_id"])
                        & (step["message"] == answered["message"]), "left_anti")
@@ -98,6 +109,15 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
         "conv_id", "branch", "position", "role", "text")
 
 
+def _opened(nodes: DataFrame, step: DataFrame) -> DataFrame:
+    """Messages whose ways end: the smallest message of each ring, which alone meets itself as the least above it."""
+    ends = step.where("up is not null and least = message").select(
+        F.col("conv_id").alias("c"), F.col("message").alias("m"), F.lit(True).alias("opened"))
+    both = nodes.join(ends, nodes["conv_id"].eqNullSafe(ends["c"]) & (nodes["message"] == ends["m"]), "left")
+    return staged(both.withColumn("parent", F.when(F.col("opened").isNull(), F.col("parent")))
+                  .select(*nodes.columns), "messages")
+
+
 def formatted(paths: DataFrame, learn: str = "assistant") -> DataFrame:
     """Each turn of each path as it stands in the formatted conversation.
 
