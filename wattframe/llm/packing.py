@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,12 +26,23 @@ SEQUENCE = 4096
 UNIT = 16
 END = 2  # the id put after each document
 CHUNK = 8 << 20
-MOST_KNOWN = 1_000_000  # pieces a worker remembers before it starts anew
+MOST_KNOWN = 1_000_000  # pieces a worker remembers before it lets go of the rarest
 AT_ONCE = 20_000  # pieces given to the library at a time
 GAP = 1e-4  # the program stops this close to its bound
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 
 
+class _Known(dict):
+    """Slots of pieces; one met for the first time is given its slot by ``miss``."""
+
+    def __init__(self, miss: Callable[[bytes], int], known: dict[bytes, int] | None = None):
+        super().__init__(known or {})
+        self.miss = miss
+
+    def __missing__(self, piece: bytes) -> int:
+        return self.miss(piece)
+
+
 class Encoder:
     """Token ids of whole texts; pieces between ASCII white space are encoded once by the library.
 
@@ -46,15 +57,28 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known: dict[bytes, int] = {}
+        self.known = _Known(self._slot)
+        self.new: list[tuple[int, str]] = []
+        self.joined: list[tuple[int, int, int]] = []
         self.slots = 0
         self.flat = np.zeros(0, np.int32)
-        self.start, self.count = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.start, self.count, self.met = (np.zeros(0, np.int64) for _ in range(3))
 
-    def _slot(self, piece: bytes, new: list[tuple[int, str]], joined: list[tuple[int, int, int]]) -> int:
+    def _forget(self) -> None:
+        """Keeps the pieces met most often, at most half of what may be known, and counts old meetings for less."""
+        least, kept = 2, self.known
+        while len(kept) > MOST_KNOWN // 2:
+            often = self.met >= least
+            kept = {piece: slot for piece, slot in kept.items() if often[slot]}
+            least *= 2
+        slots = np.unique(np.fromiter(kept.values(), np.int64, len(kept)))
+        place = np.zeros(self.slots, np.int64)
+        place[slots] = np.arange(len(slots))
+        self.known = _Known(self._slot, {piece: int(place[slot]) for piece, slot in kept.items()})
+        self.flat, self.count, self.met = self._gather(slots), self.count[slots], self.met[slots] // 2
+        self.start, self.slots = np.cumsum(self.count) - self.count, len(slots)
+
+    def _slot(self, piece: bytes) -> int:
         """The slot of a piece met for the first time.
 
         ASCII letters are looked up in lower case, and one comma or full stop
@@ -66,11 +90,9 @@ class Encoder:
             slot = self.known[plain] = self.slots
             self.slots += 1
             if len(plain) > 1 and plain[-1:] in (b".", b",") and plain[:-1].isalpha():
-                parts = [self.known.get(x) for x in (plain[:-1], plain[-1:])]
-                parts = [self._slot(x, new, joined) if p is None else p for x, p in zip((plain[:-1], plain[-1:]), parts)]
-                joined.append((slot, *parts))
+                self.joined.append((slot, self.known[plain[:-1]], self.known[plain[-1:]]))
             else:
-                new.append((slot, plain.decode()))
+                self.new.append((slot, plain.decode()))
         self.known[piece] = slot
         return slot
 
@@ -84,9 +106,10 @@ class Encoder:
         each = [x.ids for x in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
         return np.array([y for x in each for y in x], np.int32), np.array([len(x) for x in each], np.int64)
 
-    def _learn(self, new: list[tuple[int, str]], joined: list[tuple[int, int, int]]) -> None:
-        grown = [np.concatenate([x, np.zeros(self.slots - len(x), np.int64)]) for x in (self.start, self.count)]
-        self.start, self.count = grown
+    def _learn(self) -> None:
+        new, joined, self.new, self.joined = self.new, self.joined, [], []
+        self.start, self.count, self.met = (np.concatenate([x, np.zeros(self.slots - len(x), np.int64)])
+                                            for x in (self.start, self.count, self.met))
         at, parts = len(self.flat), [self.flat]
         new.sort(key=lambda x: not x[1].isalpha())  # words of letters alone come first
         letters = sum(t.isalpha() for _, t in new)
@@ -115,21 +138,11 @@ class Encoder:
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         if len(self.known) > MOST_KNOWN:
             self._forget()
-        known, rows = self.known, []
-        new: list[tuple[int, str]] = []
-        joined: list[tuple[int, int, int]] = []
-        for text in texts:
-            pieces = text.split()
-            row = list(map(known.get, pieces))
-            if None in row:
-                for i, slot in enumerate(row):
-                    if slot is None:
-                        slot = known.get(pieces[i])
-                        row[i] = self._slot(pieces[i], new, joined) if slot is None else slot
-            rows.append(np.array(row, np.int64))
-        if new or joined:
-            self._learn(new, joined)
+        rows = [np.array(list(map(self.known.__getitem__, text.split())), np.int64) for text in texts]
+        if self.new or self.joined:
+            self._learn()
         for row in rows:
+            np.add.at(self.met, row, 1)
             yield np.append(self._gather(row), END).astype("<u4")
 
 
