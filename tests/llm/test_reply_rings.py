@@ -53,6 +53,8 @@ def test_rings(spark):
             message(3, 1, 4), message(3, 2, 1), message(4, 1, None), message(4, 2, 1), message(5, 9, 77)]
     assert walked(spark, rows, 9) == plain(rows, 9)
     assert walked(spark, rows[:2], 1) == {(1, 1): [1, 2]}
+    lone = [message(None, 1, 2), message(None, 2, 1), message(None, 3, 3)]
+    assert walked(spark, lone, 2) == {(None, 1): [1, 2], (None, 2): [3]}
 
 
 @pytest.mark.parametrize("rings", [False, True])

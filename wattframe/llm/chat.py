@@ -70,27 +70,26 @@ def branches(messages: DataFrame, best: int = 1) -> DataFrame:
     return _branches(staged(messages, "messages"), best)
 
 
-def _branches(nodes: DataFrame, best: int) -> DataFrame:
+def _branches(nodes: DataFrame, best: int, opened: bool = False) -> DataFrame:
     known = nodes.select("conv_id", F.col("message").alias("up"), F.lit(True).alias("there"))
     ids = nodes.select("conv_id", "message", "parent", "score")
     step = staged(ids.join(known, ids["conv_id"].eqNullSafe(known["conv_id"]) & (ids["parent"] == known["up"]), "left")
                   .select(ids["conv_id"], "message", F.when(F.col("there"), F.col("parent")).alias("up"),
-                          F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("length"))
-                  .withColumn("least", F.col("up")), "steps")
+                          F.col("score").cast("double").alias("total"), F.lit(1).cast("long").alias("length")), "steps")
     links = []
     longest = nodes.groupBy("conv_id").count().agg(F.max("count")).first()[0] or 0
     while not step.where("up is not null").isEmpty():
         if 2 ** len(links) > longest:  # no way to a root is that long
-            return _branches(_opened(nodes, step), best)
+            if opened:
+                raise RuntimeError("a ring of replies stayed closed")
+            return _branches(_opened(nodes, links), best, True)
         links.append(step.select("conv_id", "message", "up"))
         upper = step.select(F.col("conv_id").alias("c"), F.col("message").alias("m"), F.col("up").alias("next"),
-                            F.col("total").alias("more"), F.col("length").alias("further"),
-                            F.col("least").alias("lower"))
+                            F.col("total").alias("more"), F.col("length").alias("further"))
         step = staged(step.join(upper, step["conv_id"].eqNullSafe(upper["c"]) & (step["up"] == upper["m"]), "left")
                       .select("conv_id", "message", F.col("next").alias("up"),
                               (F.col("total") + F.coalesce("more", F.lit(0.0))).alias("total"),
-                              (F.col("length") + F.coalesce("further", F.lit(0))).alias("length"),
-                              F.least("least", "lower").alias("least")), "steps")
+                              (F.col("length") + F.coalesce("further", F.lit(0))).alias("length")), "steps")
     answered = ids.where("parent is not null").select("conv_id", F.col("parent").alias("message")).distinct()
     leaves = step.join(answered, step["conv_id"].eqNullSafe(answered["conv_id"])
                        & (step["message"] == answered["message"]), "left_anti")
@@ -109,9 +108,24 @@ def _branches(nodes: DataFrame, best: int) -> DataFrame:
         "conv_id", "branch", "position", "role", "text")
 
 
-def _opened(nodes: DataFrame, step: DataFrame) -> DataFrame:
-    """Messages whose ways end: the smallest message of each ring, which alone meets itself as the least above it."""
-    ends = step.where("up is not null and least = message").select(
+def _opened(nodes: DataFrame, links: list[DataFrame]) -> DataFrame:
+    """Messages whose ways end: the smallest message of each ring, which alone meets itself as the least above it.
+
+    ``links`` lead 1, 2, 4 ... messages up, further than the longest way to a root.
+    """
+    def keyed(rows: DataFrame, *more: str) -> DataFrame:
+        return rows.select(F.col("conv_id").alias("c"), F.col("message").alias("m"), *more)
+
+    def met(rows: DataFrame, other: DataFrame, by: str) -> DataFrame:
+        return rows.join(other, rows["conv_id"].eqNullSafe(other["c"]) & (rows[by] == other["m"]), "left").drop("c", "m")
+
+    least = links[0].withColumn("least", F.col("up"))
+    for link, onward in zip(links, links[1:]):
+        own = met(link.withColumnRenamed("up", "via"), keyed(least, "least"), "message")
+        upper = met(own, keyed(least, F.col("least").alias("lower")), "via")
+        both = upper.select("conv_id", "message", F.least("least", "lower").alias("least"))
+        least = staged(met(both, keyed(onward, "up"), "message"), "least")
+    ends = least.where("up is not null and least = message").select(
         F.col("conv_id").alias("c"), F.col("message").alias("m"), F.lit(True).alias("opened"))
     both = nodes.join(ends, nodes["conv_id"].eqNullSafe(ends["c"]) & (nodes["message"] == ends["m"]), "left")
     return staged(both.withColumn("parent", F.when(F.col("opened").isNull(), F.col("parent")))
