@@ -62,7 +62,8 @@ def read_feed(spark: SparkSession, landing: str, mode: str = "PERMISSIVE") -> Da
     read = (spark.read.schema(f"feeds {FEEDS}, channel_id long{kept}").option("multiLine", True)
             .option("mode", mode).option("columnNameOfCorruptRecord", BROKEN).json(landing))
     broken = F.lit(None).cast("string") if mode == "FAILFAST" else F.col(BROKEN)
-    return read.select("channel_id", "feeds", broken.alias("broken"), F.col("_metadata.file_name").alias("source"))
+    # True for each row; Spark refuses to read the broken texts of files without another of their columns.
+    return read.where(F.coalesce(F.size("feeds"), F.lit(0)) >= -1).select("channel_id", "feeds", broken.alias("broken"), F.col("_metadata.file_name").alias("source"))
 
 
 def parse_feed(payloads: DataFrame, payload: str = "payload", mode: str = "FAILFAST",
