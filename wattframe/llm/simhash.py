@@ -24,7 +24,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm.common import components, hex16, row_key, staged, thinned, with_text
@@ -104,8 +104,8 @@ def near_pairs(fps: DataFrame) -> DataFrame:
                      .select(F.lit(low).alias("left_out"), "variant", "fp"))
     variants = parts[0].union(parts[1]).union(parts[2])
     key = ["left_out", "variant"]
-    shared = staged(variants.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1"), "shared")
-    met = staged(variants.join(shared, key), "met")
+    # One shuffle, whatever the size: counting first and joining the counts back would move the variants again.
+    met = staged(variants.withColumn("n", F.count("*").over(Window.partitionBy(*key))).where("n > 1"), "met")
     few, many = met.where(F.col("n") <= SMALL), met.where(F.col("n") > SMALL)
     apart = F.bit_count(F.col("a").bitwiseXOR(F.col("b")))
     small = (few.select(*key, F.col("fp").alias("a"))
