@@ -1,6 +1,8 @@
-"""Steps that move as little as they can."""
+"""Steps that move as little as they can: one shuffle of variants, tags only where they tell texts apart."""
 
-from wattframe.llm import simhash
+from prose import prose
+
+from wattframe.llm import simhash, suffix
 
 
 def stages(module, monkeypatch):
@@ -17,3 +19,14 @@ def test_simhash_variants_are_shuffled_once(spark, monkeypatch):
     pairs = simhash.near_pairs(fps).count()
     plan = seen["met"]._jdf.queryExecution().executedPlan().toString()
     assert pairs and plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_suffix_tags_only_ids_with_several_texts(spark, monkeypatch):
+    seen = stages(suffix, monkeypatch)
+    passage = prose(60, 1)
+    rows = [(1, passage), (2, "a " + passage), (3, "b " + passage), (3, "c " + passage), (4, "d " + passage), (4, "d " + passage)]
+    suffix.repeats(spark.createDataFrame(rows, "doc_id long, text string")).count()
+    tags = {}
+    for r in seen["blocks"].select("doc_id", "tag").distinct().collect():
+        tags.setdefault(r.doc_id, set()).add(r.tag)
+    assert tags[1] == tags[2] == tags[4] == {0} and len(tags[3]) == 2

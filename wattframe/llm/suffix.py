@@ -237,6 +237,12 @@ def repeats(docs: DataFrame) -> DataFrame:
      .option("compression", "zstd").saveAsTable(table))
     texts = spark.table(table)
 
+    # Tags are needed, and stored with each string, only where a doc_id has several texts.
+    several = staged(texts.where("doc_id is not null").groupBy("doc_id")
+                     .agg((F.min("same") < F.max("same")).alias("several")).where("several"), "several")
+    texts = texts.join(several, "doc_id", "left").withColumn(
+        "tag", F.when(F.col("several"), F.col("tag")).otherwise(0)).drop("several")
+
     # Copies of a whole text are settled by its digest and take no further part.
     owners = texts.groupBy("same").agg(F.min("doc_id").alias("owner"), F.count("*").alias("n")).where("n > 1")
     copies = staged(texts.select("doc_id", "same").join(owners, "same").where("owner < doc_id")
