@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from itertools import groupby
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,37 +30,43 @@ def response_stream(spark: SparkSession, landing: str, **options: str) -> DataFr
         F.col("_metadata.file_modification_time").cast("timestamp_ntz").alias("received_at"))
 
 
+def _response(row) -> tuple:
+    """The order of responses; missing times and names come first and are equal to each other."""
+    received, source = row[RECEIVED], row[SOURCE]
+    return received is not None, received or 0, source is not None, source or ""
+
+
 class NewerThanMark(StatefulProcessor):
     """Passes the readings of each response that are later than all readings of the responses before it.
 
     The state of a device is one number, the time of its latest reading.  The
     rows of one micro-batch are put into the order of their responses first, so
-    how a stream is cut into micro-batches changes nothing.
+    how a stream is cut into micro-batches changes nothing.  It takes rows, not a
+    data frame for each device: devices are many and send little in a micro-batch.
     """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.mark = handle.getValueState("mark", T.StructType([T.StructField("value", T.LongType())]))
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        self.mark.update((int(initialState["collected"].max()),))
+        self.mark.update((int(initialState.collected),))
 
     def handleInputRows(self, key, rows, timerValues):
-        import pandas as pd
-
-        table = pd.concat(list(rows), ignore_index=True)
-        table = table.sort_values(["received", "source"], kind="stable", ignore_index=True, na_position="first")
-        response = table.groupby(["received", "source"], sort=False, dropna=False).ngroup()
-        latest = table["collected"].groupby(response).max().cummax()
-        known = self.mark.get()[0] if self.mark.exists() else -(1 << 63)
-        before = latest.shift(1, fill_value=known).clip(lower=known)
-        self.mark.update((max(known, int(latest.iloc[-1])),))
-        yield table[table["collected"].to_numpy() > before.reindex(response).to_numpy()]
+        mark = self.mark.get()[0] if self.mark.exists() else -(1 << 63)
+        passed = []
+        for _, response in groupby(sorted(rows, key=_response), _response):
+            response = list(response)
+            passed += [row for row in response if row[COLLECTED] > mark]
+            mark = max(mark, max(row[COLLECTED] for row in response))
+        self.mark.update((mark,))
+        return iter(passed)
 
     def close(self) -> None:
         pass
 
 
 BODY = ["id", *S.MEASURES]
+RECEIVED, COLLECTED, SOURCE = 2, 3, 4  # places in a row, after the key
 
 
 def _newer(decoded: DataFrame, marks: DataFrame, key: T.DataType) -> DataFrame:
@@ -66,18 +74,21 @@ def _newer(decoded: DataFrame, marks: DataFrame, key: T.DataType) -> DataFrame:
     def micros(name: str):
         return F.unix_micros(F.col(name).cast("timestamp"))
 
-    rows = decoded.select(*S.DEVICE, micros("received_at").alias("received"), "source", micros("collected_at").alias("collected"),
-                          *[F.col(name).cast("string").alias(name) for name in BODY])
+    # What the processor doesn't look at travels as one text.
+    texts = F.struct(*[F.col(name).cast("string").alias(name) for name in BODY])
+    rows = decoded.select(*[F.col(c).cast(key).alias(c) for c in S.DEVICE], micros("received_at").alias("received"),
+                          micros("collected_at").alias("collected"), "source", F.to_json(texts).alias("body"))
     schema = T.StructType([T.StructField("site_id", key), T.StructField("device_id", key),
                            *[T.StructField(n, T.LongType()) for n in ("received", "collected")],
-                           *[T.StructField(n, T.StringType()) for n in ("source", *BODY)]])
-    rows = rows.select(*schema.names)
+                           *[T.StructField(n, T.StringType()) for n in ("source", "body")]])
     known = marks.select(*[F.col(c).cast(key).alias(c) for c in S.DEVICE], micros("collected_at").alias("collected"))
-    passed = rows.groupBy(*S.DEVICE).transformWithStateInPandas(
-        NewerThanMark(), schema, "Append", "None", known.groupBy(*S.DEVICE))
-    return passed.select(*S.DEVICE, F.timestamp_micros("collected").cast("timestamp_ntz").alias("collected_at"),
-                         F.col("id").cast("long").alias("id"),
-                         *[F.col(name).cast(kind).alias(name) for name, kind in S.MEASURES.items()])
+    # Without stored times each device would still be looked up among them one by one.
+    passed = rows.groupBy(*S.DEVICE).transformWithState(
+        NewerThanMark(), schema, "Append", "None", None if known.isEmpty() else known.groupBy(*S.DEVICE))
+    body = F.from_json("body", ", ".join(f"{name} string" for name in BODY))
+    read = passed.select(*S.DEVICE, F.timestamp_micros("collected").cast("timestamp_ntz").alias("collected_at"), body.alias("body"))
+    return read.select(*S.DEVICE, "collected_at", F.col("body.id").cast("long").alias("id"),
+                       *[F.col(f"body.{name}").cast(kind).alias(name) for name, kind in S.MEASURES.items()])
 
 
 def stream_ingest(responses: DataFrame, channels: DataFrame, wh: Warehouse, checkpoint: str, clock: Clock = utc_now,
