@@ -98,3 +98,12 @@ def test_odd_rows(spark):
     assert sorted((tuple(r) for r in minhash.near_duplicates(clashing).collect()), key=str) == rows
     assert minhash.near_duplicates(table.limit(0)).count() == 0
     assert minhash.near_duplicates(table.where("text is null")).count() == 2
+
+
+def test_each_pair_is_listed_once(spark, monkeypatch):
+    """Copies that differ too much to link share most of their buckets."""
+    listed, across = [], minhash._across
+    monkeypatch.setattr(minhash, "_across", lambda apart: listed.append(across(apart)) or listed[-1])
+    docs = list(enumerate(family(random.Random(8), 300, 40, 60)))
+    assert found(minhash.near_duplicates(spark.createDataFrame(docs, KINDS))) == plain(docs)
+    assert 0 < listed[0].count() == listed[0].distinct().count()

@@ -96,6 +96,7 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row for each key and set; of equal keys of a batch only the smallest set goes under the key itself.
 
     ``bucket`` is the key where the batch alone shows that several sets have it.
+    The last eight bits of a key are the number of its table.
     """
     tables = np.arange(COLLECTED * COLLECTED, dtype=np.uint64).reshape(COLLECTED, COLLECTED)
     for batch in batches:
@@ -104,7 +105,7 @@ def _key_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids = ids.to_numpy()
             values = halves.flatten().to_numpy().view(np.uint64).reshape(len(ids), -1)
             left, right = values[:, :COLLECTED, None], values[:, None, COLLECTED:]
-            key = _mix(_mix(left * _ODD + right) + tables * _TURN).ravel()
+            key = (_mix(_mix(left * _ODD + right) + tables * _TURN) & ~np.uint64(255) | tables).ravel()
             own = np.repeat(ids, COLLECTED * COLLECTED)
             order = np.lexsort((own, key))
             key, own = key[order], own[order]
@@ -136,6 +137,15 @@ def _may_link(a: str, b: str) -> Column:
             & (apart * (high + low) <= (n + m) * (high - low)))
 
 
+def _first_shared(a: str, b: str) -> Column:
+    """The number of the first table in which two sets have the same key."""
+    def first(low: int) -> Column:
+        return F.coalesce(*[F.when(F.col(f"{a}.marks")[low + i] == F.col(f"{b}.marks")[low + i], i)
+                            for i in range(COLLECTED)])
+
+    return first(0) * COLLECTED + first(COLLECTED)
+
+
 def _confirmed(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links by their whole sets."""
     low, high = LINK
@@ -145,6 +155,17 @@ def _confirmed(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return met.where(both * high >= (F.size("of_a") + F.size("of_b") - both) * low).select("a", "b").distinct()
 
 
+def _across(apart: DataFrame) -> DataFrame:
+    """(a, b): the pairs of members of different components that may link, each in one of its buckets only."""
+    x = apart.where("root <> top").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")).alias("x")
+    y = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
+    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") == F.col("y.block"))
+                    & (F.col("x.root") != F.col("y.root"))
+                    & ((F.col("y.root") == F.col("y.top")) | (F.col("x.set") < F.col("y.set"))) & _may_link("x", "y")
+                    & (F.col("x.bucket").bitwiseAND(F.lit(255)) == _first_shared("x", "y")))
+    return across.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b"))
+
+
 def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b) with a < b: confirmed links that connect all linked sets (set, doc_id, same, n_shingles, halves, parity)."""
     met = staged(buckets(sets), "buckets")
@@ -176,13 +197,10 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     mixed = (parts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("top"),
                                          F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
              .select("bucket", "top", F.ceil(F.col("n") / PER_BLOCK).cast("int").alias("blocks")))
-    apart = staged(join_figures(own, mixed, ["bucket"]).where("blocks is not null"), "apart")
-    x = apart.where("root <> top").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")).alias("x")
-    y = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") == F.col("y.block"))
-                    & (F.col("x.root") != F.col("y.root"))
-                    & ((F.col("y.root") == F.col("y.top")) | (F.col("x.set") < F.col("y.set"))) & _may_link("x", "y"))
-    more = across.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b")).distinct()
+    # A pair is listed in the first of the buckets it shares; 31 bits of each value tell which that is.
+    marks = sets.select("set", F.transform("halves", lambda h: h.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"))
+    apart = staged(join_figures(own, mixed, ["bucket"]).where("blocks is not null").join(marks, "set"), "apart")
+    more = _across(apart).distinct()
     return first.union(_confirmed(more.join(tried, ["a", "b"], "left_anti"), whole))
 
 
