@@ -71,6 +71,48 @@ def test_a_repeated_run_counts_nothing_twice(spark, tmp_path):
     assert before == [rows(tables.read(n), *S.LAYERS[n].schema().names) for n in ("power_days", "anomalies", "readings")]
 
 
+def test_fresh_rows_are_not_shuffled_to_meet_stored_figures(spark, tmp_path):
+    """Figures beyond Spark's own limit, here one byte, still reach the rows where these are read."""
+    session = spark.newSession()
+    made = raw(session, powers(4, 2))
+    made.write.parquet(str(tmp_path / "rows"))
+    Q.merged_figures(Q.power_figures(made, "collected_at")).write.parquet(str(tmp_path / "figures"))
+    found = {}
+    for limit in ("1", "-1"):
+        session.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        scored = Q.power_scores(session.read.parquet(str(tmp_path / "rows")),
+                                session.read.parquet(str(tmp_path / "figures")))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert ("hashpartitioning" in plan) == (limit == "-1") == ("SortMergeJoin" in plan)
+        found[limit] = rows(scored, "id", "z")
+    assert found["1"] == found["-1"] and len(found["1"]) == made.count()
+
+
+def test_a_run_writes_its_fresh_rows_once(spark, tmp_path):
+    """What a run stages beside its winners are figures of devices and the anomalies alone."""
+    tables = Warehouse(spark, str(tmp_path))
+    tables.append("raw", raw(spark, powers(5, 2)))
+    run_pipeline(tables, LATER, z=3.0)
+    staged = {f.name: spark.read.parquet(str(f)).count() for f in (tmp_path / "_staged").iterdir() if f.name != "winners"}
+    assert staged["hits"] == tables.read("anomalies").count() == 2
+    assert max(staged.values()) <= 3
+
+
+def test_tails_keep_the_later_reading_and_the_newer_of_equal_times(spark, tmp_path):
+    def at(clock, energy, landed, **more):
+        return {"collected_at": f"2026-03-01 {clock}", "energy_kwh": energy, "ingested_at": f"2026-03-0{landed} 23:00:00", **more}
+
+    first = [at("10:40:00", 5, 1), at("11:40:00", 6, 1), at("12:40:00", 7, 1)]
+    second = [at("10:40:00", 8, 2), at("11:20:00", 9, 2), at("12:50:00", None, 2), at("13:10:00", 11, 2)]
+    tables = Warehouse(spark, str(tmp_path))
+    for n, made in enumerate((first, second)):
+        tables.append("raw", raw(spark, [{"id": 10 * n + i, **r} for i, r in enumerate(made)]))
+        run_pipeline(tables, LATER)
+    found = rows(tables.read("tails").selectExpr("date_format(reading_time, 'HH:mm') at", "cast(energy_kwh as int) energy"),
+                 "at", "energy")
+    assert found == [("10:40", 8), ("11:40", 6), ("12:50", None), ("13:10", 11)]
+
+
 DAILY = S.daily_schema().names
 
 

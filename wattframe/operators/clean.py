@@ -34,9 +34,10 @@ def dedupe_readings(raw: DataFrame, as_of: Instant) -> DataFrame:
 
     Equal ingest times fall to the higher id, so a winner is stable.  ``rn = 1``
     lets Spark keep one row per key in each map task before the shuffle, so
-    many copies of one reading never travel together.
+    many copies of one reading never travel together.  The time, of which there
+    are the most values, leads the sort.
     """
-    latest = W.partitionBy(*S.RAW_GRAIN).orderBy(F.desc("ingested_at"), F.desc("id"))
+    latest = W.partitionBy(*reversed(S.RAW_GRAIN)).orderBy(F.desc("ingested_at"), F.desc("id"))
     return (clean_readings(raw, as_of)
             .withColumn("rn", F.row_number().over(latest))
             .filter(F.col("rn") == 1)

@@ -28,7 +28,7 @@ def reading_tails(readings: DataFrame, time: str = "reading_time",
 
 def _carried(tails: DataFrame) -> DataFrame:
     """Each tail moved into the next hour in which its device has readings."""
-    hours = W.partitionBy(*S.DEVICE).orderBy("hour_start")
+    hours = W.partitionBy(*reversed(S.DEVICE)).orderBy("hour_start")
     return (tails.withColumn("hour_start", F.lead("hour_start").over(hours))
             .filter(F.col("hour_start").isNotNull()))
 
@@ -38,14 +38,15 @@ def with_delta(fact: DataFrame, tails: DataFrame, keep: Column | None = None) ->
 
     A plain LAG would sort the whole history of a device in one task.  Here
     the window runs per device and hour; the last reading of the device's
-    previous hour is added as its first row and dropped afterwards.
+    previous hour is added as its first row and dropped afterwards.  Devices
+    lead the sorts, as there are far more of them than sites.
     """
     own = fact.withColumns({"hour_start": floor_hour(F.col("reading_time")), "carried": F.lit(False)})
     carry = _carried(tails)
     if keep is not None:
         carry = carry.filter(keep)
     rows = own.unionByName(carry.withColumn("carried", F.lit(True)), allowMissingColumns=True)
-    slices = W.partitionBy(*S.HOUR_GRAIN).orderBy("reading_time")
+    slices = W.partitionBy("device_id", "hour_start", "site_id").orderBy("reading_time")
     used = F.col("energy_kwh") - F.col("previous")
     return (rows.withColumn("previous", F.lag("energy_kwh").over(slices)).filter(~F.col("carried"))
             .withColumn("delta", F.when(used >= 0, used).cast(DELTA)).drop("carried", "previous"))

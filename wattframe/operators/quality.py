@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from wattframe import schemas as S
 from wattframe.functions import Instant, ntz, trailing_cutoff
-from wattframe.operators.joins import join_figures
+from wattframe.operators.joins import join_figures, join_stored_figures
 
 
 @dataclass(frozen=True)
@@ -128,13 +128,16 @@ def power_scores(raw: DataFrame, stats: DataFrame | None = None) -> DataFrame:
 
     Mean and sample deviation are aggregated per device and joined back
     instead of computed in a window, which would draw all rows of a device
-    into one task.  ``stats`` may hold them already.
+    into one task.  ``stats`` may hold them already, as a written table.
     """
     power = F.col("active_power").cast("double")
     if stats is None:
         stats = raw.groupBy("device_id").agg(F.avg(power).alias("mean"), F.stddev_samp(power).alias("deviation"))
+        joined = join_figures(raw, stats, ["device_id"])
+    else:
+        joined = join_stored_figures(raw, stats, ["device_id"], salt_by=["id"])
     z = (power - F.col("mean")) / F.nullif(F.col("deviation"), F.lit(0.0))
-    return join_figures(raw, stats, ["device_id"]).select(*raw.columns, z.alias("z"))
+    return joined.select(*raw.columns, z.alias("z"))
 
 
 def is_anomaly(z: float) -> Column:

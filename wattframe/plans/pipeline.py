@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattframe import schemas as S
-from wattframe.functions import Instant
+from wattframe.functions import Instant, floor_hour
 from wattframe.operators.audit import quarantine
 from wattframe.operators.clean import clean_readings, dedupe_readings
 from wattframe.operators.delta import energy_delta, reading_tails
@@ -44,13 +44,21 @@ def days_from_raw(raw: DataFrame, as_of: Instant) -> DataFrame:
 
 
 def _merge_tails(wh: Warehouse, winners: DataFrame, parts: list[int]) -> None:
-    """Tails of the touched partitions; at equal times the new reading counts."""
-    old = wh.read("tails", parts).withColumn("fresh", F.lit(0))
-    new = reading_tails(winners).withColumn("fresh", F.lit(1))
-    both = old.unionByName(new, allowMissingColumns=True)
-    last = F.struct("reading_time", "fresh")
-    wh.replace("tails", both.groupBy(*S.HOUR_GRAIN).agg(
-        F.max("reading_time").alias("reading_time"), F.max_by("energy_kwh", last).alias("energy_kwh")))
+    """Tails of the touched partitions; at equal times the new reading counts.
+
+    Winners and stored tails are grouped once, by figures that a hash aggregate can hold.
+    """
+    row = [*S.DEVICE, "reading_time", "energy_kwh"]
+    both = (wh.read("tails", parts).select(*row, F.lit(False).alias("fresh"))
+            .unionByName(winners.select(*row, F.lit(True).alias("fresh"))))
+    new, old = F.when(F.col("fresh"), F.col("reading_time")), F.when(~F.col("fresh"), F.col("reading_time"))
+    last = both.groupBy(*S.DEVICE, floor_hour(F.col("reading_time")).alias("hour_start")).agg(
+        F.max(new).alias("new"), F.max_by("energy_kwh", new).alias("new_energy"),
+        F.max(old).alias("old"), F.max_by("energy_kwh", old).alias("old_energy"))
+    wh.replace("tails", last.select(
+        *S.HOUR_GRAIN, F.greatest("new", "old").alias("reading_time"),
+        F.when(F.col("old").isNull() | (F.col("new") >= F.col("old")), F.col("new_energy"))
+        .otherwise(F.col("old_energy")).alias("energy_kwh")))
 
 
 def _affected_parts(wh: Warehouse, winners: DataFrame, parts: list[int]) -> list[int]:
@@ -116,16 +124,18 @@ def _flagged(wh: Warehouse, fresh: DataFrame, z: float) -> DataFrame:
 
     Figures are kept per device and raw partition.  Only the partitions of the
     fresh rows are counted anew, and replaced as a whole, so repeating a run
-    counts nothing twice.
+    counts nothing twice.  The merged figures, one row per device, and the hits
+    are stored; the fresh rows themselves are scored where they are read and
+    not written once more.
     """
     parts = wh.parts("raw", fresh)
     if not parts:
         return fresh
     wh.replace("power_days", power_figures(wh.read("raw", parts, marked=False), "ingested_part"))
-    stats = merged_figures(wh.read("power_days"))
-    scored = wh.stage("scored", power_scores(fresh, stats))
+    stats = wh.stage("figures", merged_figures(wh.read("power_days")))
+    scored = power_scores(fresh, stats)
     hit = is_anomaly(z)
-    wh.merge("anomalies", scored.filter(hit))
+    wh.merge("anomalies", wh.stage("hits", wh.placed("anomalies", scored.filter(hit))))
     return scored.withColumn("quality_flag", F.when(hit, S.ANOMALY).otherwise(F.col("quality_flag"))).drop("z")
 
 
