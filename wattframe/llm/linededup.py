@@ -38,39 +38,78 @@ def _probes(edits: int) -> list[tuple[int, int, int]]:
             for shift in range(max(-i, shorter - (edits - i)), min(i, shorter + edits - i) + 1)]
 
 
-def segment_keys(line: Column, length: Column, edits: int = EDITS) -> Column:
-    """The keys of a line, in the order of ``_probes``; null where a substring doesn't fit."""
-    cuts = {k: _segments(length - k, edits) for k in range(edits + 1)}
+def with_keys(lines: DataFrame, edits: int = EDITS) -> DataFrame:
+    """``lines`` plus ``keys``: those of each line in the order of ``_probes``; null where a substring doesn't fit.
+
+    Substrings of text are found by counting its characters from the start, each
+    time anew, so they are taken from a form of four bytes to a character.  Length
+    and cuts are columns of their own, worked out once for all keys.
+    """
+    cuts = {(k, i): cut for k in range(edits + 1) for i, cut in enumerate(_segments(F.col("_size") - k, edits))}
+    wide = (lines.withColumn("_wide", F.encode("line", "UTF-32"))
+            .withColumn("_size", F.shiftright(F.octet_length("_wide"), 2))
+            .withColumns({f"_{n}{k}{i}": c for (k, i), cut in cuts.items() for n, c in zip(("start", "width"), cut)}))
     keys = []
-    for shorter, i, shift in _probes(edits):
-        start, width = cuts[shorter][i]
-        begin = start + shift
-        fits = (begin >= 1) & (begin + width - 1 <= length) & (length - shorter >= SHORTEST)
-        keys.append(F.when(fits, F.xxhash64(length - shorter, F.lit(i), F.substring(line, begin, width))))
-    return F.array(*keys)
+    for k, i, shift in _probes(edits):
+        begin, width = F.col(f"_start{k}{i}") + shift, F.col(f"_width{k}{i}")
+        fits = (begin >= 1) & (begin + width - 1 <= F.col("_size")) & (F.col("_size") >= SHORTEST + k)
+        part = F.substring(F.col("_wide"), begin * 4 - 3, width * 4)
+        keys.append(F.when(fits, F.xxhash64(F.col("_size") - k, F.lit(i), part)))
+    return wide.select(*lines.columns, F.array(*keys).alias("keys"))
 
 
 # Frequent letters.  An edit changes the counts of two of them by one at most.
-LETTERS = "etaonrsihldcumpg"
+LETTERS = "etaonrsihldcump"
+LONG, FEW = 128, 6  # a line of so many bytes has its first few letters counted only: they tell long lines apart
 
 
 def letter_counts(line: Column) -> Column:
-    """How often each of LETTERS stands in a line, modulo 16, four bits each."""
+    """How often each of LETTERS stands in a line, modulo 16, four bits each; the bit above them marks a long line."""
     size = F.octet_length(line)
-    found = F.lit(0).cast("long")
-    for k, letter in enumerate(LETTERS):
-        n = (size - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))).cast("long").bitwiseAND(F.lit(15))
-        found = found.bitwiseOR(F.shiftleft(n, 4 * k))
-    return found
+
+    def counted(letters: range) -> Column:
+        found = F.lit(0).cast("long")
+        for k in letters:
+            n = size - F.octet_length(F.replace(line, F.lit(LETTERS[k]), F.lit("")))
+            found = found.bitwiseOR(F.shiftleft(n.cast("long").bitwiseAND(F.lit(15)), 4 * k))
+        return found
+
+    rest = F.when(size < LONG, counted(range(FEW, len(LETTERS)))).otherwise(F.lit(1 << 4 * len(LETTERS)))
+    return counted(range(FEW)).bitwiseOR(rest)
 
 
 def letters_apart(a: Column, b: Column) -> Column:
-    """The sum of differences of letter counts; at most twice the edits between two lines."""
-    total = F.lit(0).cast("long")
-    for k in range(len(LETTERS)):
-        x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
-        total = total + F.least(F.abs(x - y), 16 - F.abs(x - y))
-    return total
+    """The sum of differences of the letter counts that both have; at most twice the edits between two lines."""
+    def apart(letters: range) -> Column:
+        total = F.lit(0).cast("long")
+        for k in letters:
+            x, y = (F.shiftrightunsigned(c, 4 * k).bitwiseAND(F.lit(15)) for c in (a, b))
+            total = total + F.least(F.abs(x - y), 16 - F.abs(x - y))
+        return total
+
+    both = a.bitwiseOR(b) < (1 << 4 * len(LETTERS))
+    return apart(range(FEW)) + F.when(both, apart(range(FEW, len(LETTERS)))).otherwise(0)
+
+
+SLOTS, BITMAP = 1 << 27, 1 << 15  # at most so many bits mark documents; bits of one bitmap
+
+
+def marked(docs: DataFrame, ids: DataFrame, most: int) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is among ``ids`` (``most`` at most), with some others.
+
+    The ids are marked by one bit each, eight to an id or more, so that few other
+    texts are shuffled with theirs; the bits are 16 MB at most.
+    """
+    slots = min(max(8 * most, BITMAP), SLOTS)
+    slot = F.pmod(F.xxhash64("doc_id"), F.lit(slots))
+    bits = ids.select(slot.alias("slot")).groupBy(F.bitmap_bucket_number("slot").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    at = F.col("at").cast("int")
+    byte = F.conv(F.hex(F.substring("bits", F.shiftright(at, 3) + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.expr("shiftright(byte, at % 8) & 1") == 1
+    return (docs.withColumns({"bucket": F.bitmap_bucket_number(slot), "at": F.bitmap_bit_position(slot)})
+            .join(F.broadcast(bits), "bucket").withColumns({"byte": byte, "at": at}).where(hit)
+            .select(*docs.columns))
 
 
 def within_edits(a: Column, b: Column, edits: int = EDITS) -> Column:
@@ -130,11 +169,10 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
     A line is named by its first place (doc_id, line_no, tag), tag being a short
     hash that tells apart rows which share a doc_id.  In a link a < b.
     """
-    lines = lines_of(docs).where(F.col("line").rlike(WORD)).withColumn("size", F.length("line"))
+    lines = lines_of(docs).where(F.col("line").rlike(WORD))
     place = F.struct("doc_id", "line_no", F.hash("line").alias("tag"))
-    keyed = lines.select(F.unhex(F.md5("line")).alias("same_line"), place.alias("place"),
-                         letter_counts(F.col("line")).alias("letters"),
-                         segment_keys(F.col("line"), F.col("size"), edits).alias("keys"))
+    keyed = with_keys(lines, edits).select(F.unhex(F.md5("line")).alias("same_line"), place.alias("place"),
+                                           letter_counts(F.col("line")).alias("letters"), "keys")
     # numbered once they are grouped; the number is stored with the line
     distinct = staged(keyed.groupBy("same_line").agg(
         F.min("place").alias("first"), F.count("*").alias("copies"), F.first("letters").alias("letters"),
@@ -153,8 +191,8 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
                  .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "met")
     wanted = met.select(F.col("a").alias("place")).union(met.select("b")).distinct()
     by_doc = wanted.groupBy("place.doc_id").agg(F.collect_set("place").alias("places"))
-    texts = (docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-             .join(by_doc, "doc_id")
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
+    texts = (marked(texts, wanted.select("place.doc_id"), 2 * met.count()).join(by_doc, "doc_id")
              .select("doc_id", "places", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
              .select(place.alias("place"), "line", "places")
              .where(F.expr("exists(places, p -> p = place)")).select("place", "line").dropDuplicates(["place"]))
