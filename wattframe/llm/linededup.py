@@ -4,6 +4,8 @@ Two lines within T edits share one of T + 1 segments: cut the shorter line into
 T + 1 segments, and one of them stands in the longer line, shifted by no more
 than the edits left on either side allow.  Each line is indexed by its segments
 and probed by those substrings, all keyed with the length of the shorter line.
+Where many lines have a segment, those are told apart by longer keys: the line
+without one or two blocks, halved until few lines have a key.
 Of the pairs that meet, those whose letter counts differ too much can't be
 within T edits; the others are verified by a bit-parallel edit automaton over the band of
 2T + 1 diagonals.
@@ -11,7 +13,9 @@ within T edits; the others are verified by a bit-parallel edit automaton over th
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattframe.llm.common import staged
@@ -91,6 +95,14 @@ def letters_apart(a: Column, b: Column) -> Column:
     return apart(range(FEW)) + F.when(both, apart(range(FEW, len(LETTERS)))).otherwise(0)
 
 
+def all_letters_apart(a: Column, b: Column) -> Column:
+    """The sum of differences of the counts of all LETTERS, from the lines themselves."""
+    def counted(line: Column, letter: str) -> Column:
+        return F.octet_length(line) - F.octet_length(F.replace(line, F.lit(letter), F.lit("")))
+
+    return reduce(Column.__add__, [F.abs(counted(a, c) - counted(b, c)) for c in LETTERS])
+
+
 SLOTS, BITMAP = 1 << 27, 1 << 15  # at most so many bits mark documents; bits of one bitmap
 
 
@@ -163,6 +175,119 @@ def lines_of(docs: DataFrame) -> DataFrame:
                        .alias("line_no", "line"))
 
 
+MOST, BLOCKS = 16, 4  # lines that own a key and are compared with all that have it; blocks of the first longer keys
+
+
+def sharing(keys: DataFrame, name: str) -> DataFrame:
+    """The rows of ``keys`` (key, id, same, owned ...) whose key can link two lines, plus ``owners``.
+
+    Where a key leaves out two blocks, two lines of it differ in both, ``left`` and ``right``.
+    """
+    mine = Window.partitionBy("key")
+    several = reduce(Column.__and__, [F.coalesce(F.min(c).over(mine) < F.max(c).over(mine), F.lit(True))
+                                      for c in ("id", "left", "right") if c in keys.columns])
+    counted = keys.withColumns({"owners": F.count(F.when(F.col("owned"), 1)).over(mine), "several": several})
+    return staged(counted.where("several and owners > 0").drop("several"), name)
+
+
+def meeting(shared: DataFrame, edits: int) -> DataFrame:
+    """(p, q): pairs of lines that share a key and may be within ``edits``; p is not the longer one."""
+    out = [c for c in ("left", "right") if c in shared.columns]
+    owned = shared.where("owned").select("key", F.col("id").alias("p"), F.col("letters").alias("x"),
+                                         *[F.col(c).alias(f"own_{c}") for c in out])
+    other = shared.select("key", F.col("id").alias("q"), F.col("letters").alias("y"), "same", *out)
+    both = owned.join(other, "key").where("p <> q and (not same or p < q)")
+    for c in out:
+        both = both.where(F.coalesce(F.col(f"own_{c}") != F.col(c), F.lit(True)))
+    return both.where(letters_apart(F.col("x"), F.col("y")) <= 2 * edits).select("p", "q").distinct()
+
+
+def _shifts(shorter: int) -> list[int]:
+    """Shifts between two blocks with one edit each, where the other line is so much shorter."""
+    return [s for s in (-1, 0, 1) if abs(shorter - s) <= 1]
+
+
+def _state(i, j, k, s) -> Column:
+    """One key of a line: the blocks left out, how much shorter the other line is, the shift between the blocks."""
+    return F.struct(*[(c if isinstance(c, Column) else F.lit(c)).cast("int").alias(n)
+                      for n, c in zip("ijks", (i, j, k, s))])
+
+
+def _halved(state: Column) -> Column:
+    """The keys that take the place of one when each block is cut in two."""
+    i, j, k, s = (state[n] for n in "ijks")
+    one = [_state(2 * i + h, 2 * i + h, k, 0) for h in (0, 1)]
+    two = [F.array(*one, *[_state(2 * i, 2 * i + 1, k, x) for x in _shifts(n)]) for n in range(EDITS + 1)]
+    both = F.array(*[_state(2 * i + g, 2 * j + h, k, s) for g in (0, 1) for h in (0, 1)])
+    return F.when(i < j, both).otherwise(F.get(F.array(*two), k))
+
+
+def longer_keys(states: DataFrame, blocks: int) -> DataFrame:
+    """The key of each state (id, letters, wide, i, j, k, s): the line without one or two of ``blocks`` blocks.
+
+    ``size`` is the length of the shorter line, which is cut into the blocks;
+    ``left`` and ``right`` are digests of two blocks left out.
+    """
+    def cut(block: Column) -> Column:
+        return F.floor(block.cast("long") * F.col("size") / blocks).cast("int")
+
+    def part(first: Column, last: Column) -> Column:
+        return F.substring(F.col("wide"), first * 4 + 1, (last - first) * 4)
+
+    i, j, k, s = (F.col(n) for n in "ijks")
+    at = (states.withColumn("all", F.shiftright(F.octet_length("wide"), 2)).withColumn("size", F.col("all") - k)
+          .where(F.col("size") >= SHORTEST)
+          .withColumns({"i0": cut(i), "i1": cut(i + 1), "j0": cut(j), "j1": cut(j + 1)})
+          .where("i = j or (i1 + s >= i0 and j1 + k >= j0 + s)"))
+    i0, i1, j0, j1 = (F.col(n) for n in ("i0", "i1", "j0", "j1"))
+    two = i < j
+    middle = F.when(two, part(i1 + s, j0 + s)).otherwise(F.lit(b""))
+    return at.select(
+        F.xxhash64("size", i, j, part(F.lit(0), i0), middle, part(j1 + k, F.col("all"))).alias("key"), "id", "letters",
+        (k == 0).alias("same"), ((k == 0) & (s == 0)).alias("owned"), F.when(two, F.xxhash64(part(i0, i1 + s))).alias("left"),
+        F.when(two, F.xxhash64(part(j0 + s, j1 + k))).alias("right"), "size", "i", "j", "k", "s")
+
+
+def crowded_pairs(lines: DataFrame, edits: int) -> DataFrame:
+    """(p, q) as of ``meeting`` for ``lines`` (id, letters, line) that have a segment in common with too many others.
+
+    Two edits lie in one block of a line or in two with one edit each, and the
+    rest is equal.  A key that still has too many lines is given up for those
+    with halves of its blocks, down to single characters, where all lines of a
+    key are links but for few.  So pairs are listed in proportion to lines and links.
+    """
+    lines = lines.select("id", "letters", F.encode("line", "UTF-32").alias("wide"))
+    first = [_state(i, j, k, s) for k in range(EDITS + 1) for i in range(BLOCKS) for j in range(i, BLOCKS)
+             for s in (_shifts(k) if i < j else [0])]
+    states, blocks, found = lines.withColumn("state", F.explode(F.array(*first))), BLOCKS, []
+    while True:
+        keys = longer_keys(states.select("id", "letters", "wide", "state.*"), blocks)
+        shared = sharing(keys, "shared")
+        crowd = (F.col("owners") > MOST) & (F.col("size") > blocks)
+        found.append(meeting(shared.where(~crowd), edits))
+        crowded = shared.where(crowd).select("id", F.struct("i", "j", "k", "s").alias("state"))
+        if crowded.isEmpty():
+            return reduce(DataFrame.union, found)
+        halves = crowded.distinct().groupBy("id").agg(F.collect_list("state").alias("states"))
+        halves = halves.withColumn("states", F.flatten(F.transform("states", _halved)))
+        states, blocks = lines.join(halves, "id").withColumn("state", F.explode("states")), 2 * blocks
+
+
+def looked_up(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """``wanted`` (id, first ...) plus ``line``, taken from the texts by the places ``first``."""
+    by_doc = wanted.groupBy("first.doc_id").agg(F.collect_list(F.struct("*")).alias("places"))
+    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"),
+                        F.col("text").cast("string").alias("text"))
+
+    def taken(lines: Column) -> Column:
+        return F.transform("places", lambda p: F.struct(p.alias("p"), F.get(lines, p["first"]["line_no"]).alias("line")))
+
+    return (marked(texts, wanted.select("first.doc_id"), wanted.count()).join(by_doc, "doc_id")
+            .select(F.explode(F.transform(F.array(F.split("text", "\n")), taken)[0]).alias("found"))
+            .select("found.p.*", "found.line").where("line is not null and hash(line) = first.tag")
+            .dropDuplicates(["id"]))
+
+
 def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFrame]:
     """All links: (first, copies) of equal lines and (a, b) of different lines within ``edits``.
 
@@ -178,29 +303,25 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
         F.min("place").alias("first"), F.count("*").alias("copies"), F.first("letters").alias("letters"),
         F.first("keys").alias("keys")).withColumn("id", F.monotonically_increasing_id()), "lines")
     probes = _probes(edits)
-    keys = distinct.select("id", "letters", F.posexplode("keys").alias("at", "key")).where("key is not null")
-    owned = keys.where(F.col("at").isin([n for n, (k, _, s) in enumerate(probes) if not k and not s]))
-    same = F.col("at") < sum(not k for k, _, _ in probes)
-    met = (owned.select("key", F.col("id").alias("p"), F.col("letters").alias("x"))
-           .join(keys.select("key", F.col("id").alias("q"), F.col("letters").alias("y"), same.alias("same")), "key")
-           .where("p <> q and (not same or p < q)").where(letters_apart(F.col("x"), F.col("y")) <= 2 * edits)
-           .select("p", "q").distinct())
-    named = distinct.select("id", "first")
-    met = staged(met.join(named.select(F.col("id").alias("p"), F.col("first").alias("a")), "p")
-                 .join(named.select(F.col("id").alias("q"), F.col("first").alias("b")), "q")
-                 .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "met")
-    wanted = met.select(F.col("a").alias("place")).union(met.select("b")).distinct()
-    by_doc = wanted.groupBy("place.doc_id").agg(F.collect_set("place").alias("places"))
-    texts = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc_id"), "text")
-    texts = (marked(texts, wanted.select("place.doc_id"), 2 * met.count()).join(by_doc, "doc_id")
-             .select("doc_id", "places", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-             .select(place.alias("place"), "line", "places")
-             .where(F.expr("exists(places, p -> p = place)")).select("place", "line").dropDuplicates(["place"]))
-    texts = staged(texts, "texts")
-    pairs = (met.join(texts.select(F.col("place").alias("a"), F.col("line").alias("x")), "a")
-             .join(texts.select(F.col("place").alias("b"), F.col("line").alias("y")), "b"))
-    return distinct.select("same_line", "first", "copies"), staged(pairs.where(within_edits(F.col("x"), F.col("y"), edits)).select("a", "b"),
-                                         "links")
+    at = F.col("at")
+    shared = sharing(distinct.select("id", "letters", F.posexplode("keys").alias("at", "key")).where("key is not null")
+                     .select("key", "id", "letters", (at < sum(not k for k, _, _ in probes)).alias("same"),
+                             at.isin([n for n, (k, _, s) in enumerate(probes) if not k and not s]).alias("owned")),
+                     "shared")
+    crowd = F.col("owners") > (MOST if edits <= EDITS else LAST)
+    met = staged(meeting(shared.where(~crowd), edits), "met_alone")
+    crowded = shared.where(crowd).select("id", F.lit(True).alias("crowded"))
+    wanted = staged(met.select(F.col("p").alias("id"), F.lit(False).alias("crowded")).union(
+        met.select("q", F.lit(False))).union(crowded).groupBy("id").agg(F.max("crowded").alias("crowded"))
+        .join(distinct.select("id", "first", "letters"), "id"), "wanted")
+    texts = staged(looked_up(docs, wanted), "texts")
+    met = staged(met.union(crowded_pairs(texts.where("crowded"), edits)).distinct(), "met")
+    pairs = (met.join(texts.select(F.col("id").alias("p"), F.col("first").alias("a"), F.col("line").alias("x")), "p")
+             .join(texts.select(F.col("id").alias("q"), F.col("first").alias("b"), F.col("line").alias("y")), "q"))
+    links = (pairs.where(all_letters_apart(F.col("x"), F.col("y")) <= 2 * edits)
+             .where(within_edits(F.col("x"), F.col("y"), edits)))
+    return distinct.select("same_line", "first", "copies"), staged(
+        links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), "links")
 
 
 def repeated_lines(docs: DataFrame, edits: int = EDITS) -> DataFrame:
