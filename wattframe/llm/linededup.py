@@ -296,25 +296,22 @@ def line_links(docs: DataFrame, edits: int = EDITS) -> tuple[DataFrame, DataFram
     """
     lines = lines_of(docs).where(F.col("line").rlike(WORD))
     place = F.struct("doc_id", "line_no", F.hash("line").alias("tag"))
-    keyed = with_keys(lines, edits).select(F.unhex(F.md5("line")).alias("same_line"), place.alias("place"),
-                                           letter_counts(F.col("line")).alias("letters"), "keys")
+    keyed = with_keys(lines, edits).select(F.unhex(F.md5("line")).alias("same_line"), place.alias("place"), "keys")
     # numbered once they are grouped; the number is stored with the line
     distinct = staged(keyed.groupBy("same_line").agg(
-        F.min("place").alias("first"), F.count("*").alias("copies"), F.first("letters").alias("letters"),
-        F.first("keys").alias("keys")).withColumn("id", F.monotonically_increasing_id()), "lines")
+        F.min("place").alias("first"), F.count("*").alias("copies"), F.first("keys").alias("keys"))
+        .withColumn("id", F.monotonically_increasing_id()), "lines")
     probes = _probes(edits)
     at = F.col("at")
-    shared = sharing(distinct.select("id", "letters", F.posexplode("keys").alias("at", "key")).where("key is not null")
-                     .select("key", "id", "letters", (at < sum(not k for k, _, _ in probes)).alias("same"),
+    shared = sharing(distinct.select("id", F.posexplode("keys").alias("at", "key")).where("key is not null")
+                     .select("key", "id", (at < sum(not k for k, _, _ in probes)).alias("same"),
                              at.isin([n for n, (k, _, s) in enumerate(probes) if not k and not s]).alias("owned")),
                      "shared")
     crowd = F.col("owners") > (MOST if edits <= EDITS else LAST)
-    met = staged(meeting(shared.where(~crowd), edits), "met_alone")
-    crowded = shared.where(crowd).select("id", F.lit(True).alias("crowded"))
-    wanted = staged(met.select(F.col("p").alias("id"), F.lit(False).alias("crowded")).union(
-        met.select("q", F.lit(False))).union(crowded).groupBy("id").agg(F.max("crowded").alias("crowded"))
-        .join(distinct.select("id", "first", "letters"), "id"), "wanted")
-    texts = staged(looked_up(docs, wanted), "texts")
+    wanted = staged(shared.groupBy("id").agg(F.max(crowd).alias("crowded"))
+                    .join(distinct.select("id", "first"), "id"), "wanted")
+    texts = staged(looked_up(docs, wanted).withColumn("letters", letter_counts(F.col("line"))), "texts")
+    met = meeting(shared.where(~crowd).join(texts.select("id", "letters"), "id"), edits)
     met = staged(met.union(crowded_pairs(texts.where("crowded"), edits)).distinct(), "met")
     pairs = (met.join(texts.select(F.col("id").alias("p"), F.col("first").alias("a"), F.col("line").alias("x")), "p")
              .join(texts.select(F.col("id").alias("q"), F.col("first").alias("b"), F.col("line").alias("y")), "q"))
