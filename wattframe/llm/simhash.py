@@ -111,9 +111,9 @@ def near_pairs(fps: DataFrame) -> DataFrame:
     small = (few.select(*key, F.col("fp").alias("a"))
              .join(few.select(*key, F.col("fp").alias("b")), key)
              .where("a < b").select("a", "b").where(apart <= 4).distinct())
+    # Not joined: Spark takes exploded rows for as many bytes as their source and would broadcast them.
     balls = _ball(many.select("fp").distinct(), _flips(list(range(64)), 2))
-    least = balls.groupBy("variant").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1")
-    large = (balls.join(least.select("variant", "a"), "variant").select("a", F.col("fp").alias("b"))
+    large = (balls.select(F.min("fp").over(Window.partitionBy("variant")).alias("a"), F.col("fp").alias("b"))
              .where("a <> b").distinct())
     return small.union(large)
 
