@@ -4,6 +4,7 @@ import random
 from collections import Counter
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,30 @@ def test_each_pair_is_listed_once(spark, monkeypatch):
     docs = list(enumerate(family(random.Random(8), 300, 40, 60)))
     assert found(minhash.near_duplicates(spark.createDataFrame(docs, KINDS))) == plain(docs)
     assert 0 < listed[0].count() == listed[0].distinct().count()
+
+
+def test_whole_sets_of_a_family_are_not_joined_pair_by_pair(spark, monkeypatch):
+    """Copies far from all others were listed with every copy that shares a bucket: their number grew with its square."""
+    listed, confirmed = [], minhash._confirmed
+    monkeypatch.setattr(minhash, "_confirmed", lambda pairs, whole: listed.append(pairs.count()) or confirmed(pairs, whole))
+    monkeypatch.setattr(minhash, "WIDE", 64, raising=False)
+    texts = family(random.Random(11), 200, 120, 60) + family(random.Random(11), 200, 120, 6)  # of one base
+    docs = list(enumerate(texts))
+    assert found(minhash.near_duplicates(spark.createDataFrame(docs, KINDS))) == plain(docs)
+    assert len(listed) == 1  # pairs with a centre
+
+
+def test_links_of_a_block_join_what_all_its_links_join():
+    """Two sets of different components in a block pair, some of them asked for only."""
+    chance = random.Random(12)
+    sets = [sorted(chance.sample(range(30), chance.randint(22, 30))) for _ in range(60)]
+    roots = [chance.randrange(12) for _ in sets]
+    asks, told = ([chance.random() < p for _ in sets] for p in (0.5, 0.7))
+    rows = pa.table({"set": pa.array(range(60), pa.int64()), "root": pa.array(roots, pa.int64()), "asks": asks,
+                     "told": told, "names": pa.array(sets, pa.list_(pa.int64()))})
+    wanted = {(min(a, b), max(a, b)) for a in range(60) for b in range(60) if asks[a] and told[b] and roots[a] != roots[b]
+              and 100 * len(set(sets[a]) & set(sets[b])) >= 80 * len(set(sets[a]) | set(sets[b]))}
+    links = {(r["a"], r["b"]) for r in minhash._linked(rows).to_pylist()}
+    ends = [frozenset((roots[a], roots[b])) for a, b in links]
+    assert links and links <= wanted and len(set(ends)) == len(ends)
+    assert set(ends) == {frozenset((roots[a], roots[b])) for a, b in wanted}

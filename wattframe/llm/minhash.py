@@ -8,10 +8,12 @@ instead of 864.  A link of similarity s is missed with probability of at most
 2 * (1 - s**HALF) ** COLLECTED, 0.0004 at 0.8 and falling quickly above it.
 
 Equal sets are merged first.  Members of a key's bucket are compared with its
-smallest member, and whatever these links leave in different components is then
-compared across components, so a bucket costs no more than its rows where its
-members belong together.  A parity vector of each set (its bits cannot differ
+smallest member, its centre.  A parity vector of each set (its bits cannot differ
 in more places than the sets do) rules out pairs before whole sets are compared.
+Whatever these links leave in different components is then compared across
+components, by whole sets in blocks and once for all buckets of a centre: members
+of a family share most of their buckets, and pairs listed bucket by bucket would
+take most of the time.
 """
 
 from __future__ import annotations
@@ -32,7 +34,9 @@ LINK = (80, 100)  # links hold LINK[1] * intersection >= LINK[0] * union
 PARITY = 512
 AT_ONCE = 1 << 17  # shingles hashed at a time
 ROWS_AT_ONCE = 4096  # sets whose keys are combined before they are shuffled
-PER_BLOCK = 1000  # members of a bucket that one task compares with the rest
+PER_BLOCK = 1000  # members of a centre's buckets that are compared with another such block at a time
+NAMES_PER_BLOCK = 1 << 20  # shingles of them
+WIDE = 4096  # shingles whose holders are multiplied at a time
 
 _ODD, _TURN = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
@@ -137,15 +141,6 @@ def _may_link(a: str, b: str) -> Column:
             & (apart * (high + low) <= (n + m) * (high - low)))
 
 
-def _first_shared(a: str, b: str) -> Column:
-    """The number of the first table in which two sets have the same key."""
-    def first(low: int) -> Column:
-        return F.coalesce(*[F.when(F.col(f"{a}.marks")[low + i] == F.col(f"{b}.marks")[low + i], i)
-                            for i in range(COLLECTED)])
-
-    return first(0) * COLLECTED + first(COLLECTED)
-
-
 def _confirmed(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     """The pairs (a, b) that are links by their whole sets."""
     low, high = LINK
@@ -155,15 +150,52 @@ def _confirmed(pairs: DataFrame, whole: DataFrame) -> DataFrame:
     return met.where(both * high >= (F.size("of_a") + F.size("of_b") - both) * low).select("a", "b").distinct()
 
 
+def _linked(rows: pa.Table) -> pa.Table:
+    """One link (a, b) for each two components that have one, of those that are asked for, from whole sets.
+
+    Overlaps are products of matrices: a column for each name that two sets have.
+    """
+    sets, roots, asks, told = (rows.column(c).to_numpy() for c in ("set", "root", "asks", "told"))
+    names = rows.column("names").combine_chunks()
+    sizes = names.value_lengths().to_numpy().astype(np.int64)
+    _, column, held = np.unique(names.flatten().to_numpy(), return_inverse=True, return_counts=True)
+    row, several = np.repeat(np.arange(len(sets)), sizes), held > 1
+    row, column = row[several[column]], (np.cumsum(several) - 1)[column[several[column]]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    left, right = np.flatnonzero(asks), np.flatnonzero(told)
+    both = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, int(several.sum()), WIDE):
+        low, high = np.searchsorted(column, [start, start + WIDE])
+        has = np.zeros((len(sets), WIDE), np.float32)
+        has[row[low:high], column[low:high] - start] = 1
+        both += has[left] @ has[right].T
+    low, high = LINK
+    either = (sizes[left, None] + sizes[right]) - both
+    x, y = np.nonzero((both * high >= either * low) & (roots[left, None] != roots[right]))
+    x, y = left[x], right[y]
+    ends = np.sort(np.stack([roots[x], roots[y]], axis=1), axis=1)
+    first = np.unique(ends, axis=0, return_index=True)[1] if len(x) else np.empty(0, np.int64)
+    pair = np.sort(np.stack([sets[x[first]], sets[y[first]]], axis=1), axis=1)
+    return pa.table({"a": pa.array(pair[:, 0], pa.int64()), "b": pa.array(pair[:, 1], pa.int64())})
+
+
 def _across(apart: DataFrame) -> DataFrame:
-    """(a, b): the pairs of members of different components that may link, each in one of its buckets only."""
-    x = apart.where("root <> top").withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")).alias("x")
-    y = apart.withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).alias("y")
-    across = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.block") == F.col("y.block"))
-                    & (F.col("x.root") != F.col("y.root"))
-                    & ((F.col("y.root") == F.col("y.top")) | (F.col("x.set") < F.col("y.set"))) & _may_link("x", "y")
-                    & (F.col("x.bucket").bitwiseAND(F.lit(255)) == _first_shared("x", "y")))
-    return across.select(F.least("x.set", "y.set").alias("a"), F.greatest("x.set", "y.set").alias("b"))
+    """(centre, i, j, set, root, names, told, asks): the rows of each pair of blocks to compare, each listed once.
+
+    Of each centre's rows those outside its largest component ask all others
+    (told) whether they are linked.
+    """
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    dealt = apart.withColumn("block", F.pmod(F.xxhash64("set"), F.col("blocks")).cast("int")).withColumn(
+        "outside", F.col("root") != F.col("top"))
+    # Where both are outside, the one of the smaller block asks; in (i, i) a row is there once and does both.
+    told = dealt.withColumn("i", F.explode(F.filter(every, lambda i: ~F.col("outside") | (i <= F.col("block")))))
+    asks = dealt.where("outside").withColumn("j", F.explode(F.filter(every, lambda j: j != F.col("block"))))
+    kept = ["set", "root", "names"]
+    return told.select("centre", "i", F.col("block").alias("j"), *kept, F.lit(True).alias("told"),
+                       (F.col("outside") & (F.col("i") == F.col("block"))).alias("asks")).union(
+        asks.select("centre", F.col("block").alias("i"), "j", *kept, F.lit(False), F.lit(True)))
 
 
 def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -191,17 +223,19 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     tried = staged(stars.select(F.col("c.set").alias("a"), F.col("set").alias("b")).distinct(), "stars")
     first = staged(_confirmed(tried, whole), "links")
 
-    own = held.join(components(first).withColumnRenamed("node", "set"), "set", "left").withColumn(
-        "root", F.coalesce("root", "set"))
-    parts = own.groupBy("bucket", "root").agg(F.count("*").alias("n"))
-    mixed = (parts.groupBy("bucket").agg(F.max_by("root", F.struct("n", "root")).alias("top"),
-                                         F.count("*").alias("roots"), F.sum("n").alias("n")).where("roots > 1")
-             .select("bucket", "top", F.ceil(F.col("n") / PER_BLOCK).cast("int").alias("blocks")))
-    # A pair is listed in the first of the buckets it shares; 31 bits of each value tell which that is.
-    marks = sets.select("set", F.transform("halves", lambda h: h.bitwiseAND(F.lit((1 << 31) - 1)).cast("int")).alias("marks"))
-    apart = staged(join_figures(own, mixed, ["bucket"]).where("blocks is not null").join(marks, "set"), "apart")
-    more = _across(apart).distinct()
-    return first.union(_confirmed(more.join(tried, ["a", "b"], "left_anti"), whole))
+    # What is linked otherwise is compared with its centre only so far; buckets of one centre have most members in common.
+    own = (join_figures(met, centre.select("bucket", F.col("c.set").alias("centre")), ["bucket"]).where("set <> centre")
+           .join(components(first).withColumnRenamed("node", "set"), "set", "left")
+           .select("bucket", "centre", "set", F.coalesce("root", "set").alias("root")))
+    mixed = (own.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high")
+             .select("bucket", F.lit(True).alias("mixed")))
+    others = staged(join_figures(own, mixed, ["bucket"]).where("mixed").select("centre", "set", "root").distinct()
+                    .join(sets.select("set", "n_shingles"), "set"), "others")
+    parts = others.groupBy("centre", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("names"))
+    sizes = parts.groupBy("centre").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.ceil(F.greatest(
+        F.sum("n") / PER_BLOCK, F.sum("names") / NAMES_PER_BLOCK)).cast("int").alias("blocks"))
+    apart = staged(join_figures(others.select("centre", "set", "root"), sizes, ["centre"]).join(whole, "set"), "apart")
+    return first.union(_across(apart).groupBy("centre", "i", "j").applyInArrow(_linked, "a long, b long").distinct())
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
