@@ -234,7 +234,8 @@ def links(docs: DataFrame, sets: DataFrame) -> DataFrame:
     parts = others.groupBy("centre", "root").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("names"))
     sizes = parts.groupBy("centre").agg(F.max_by("root", F.struct("n", "root")).alias("top"), F.ceil(F.greatest(
         F.sum("n") / PER_BLOCK, F.sum("names") / NAMES_PER_BLOCK)).cast("int").alias("blocks"))
-    apart = staged(join_figures(others.select("centre", "set", "root"), sizes, ["centre"]).join(whole, "set"), "apart")
+    apart = staged(join_figures(others.select("centre", "set", "root"), sizes, ["centre"], spread=1)
+                   .join(whole, "set"), "apart")
     return first.union(_across(apart).groupBy("centre", "i", "j").applyInArrow(_linked, "a long, b long").distinct())
 
 
